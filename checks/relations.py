@@ -11,6 +11,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from mapledger.session import fresh_path
+
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages",
 )
@@ -170,27 +172,50 @@ def _needed(names: list[str]) -> list[str]:
     return [name for name in order if name in wanted]
 
 
+# Written relations by (application, data folder, name): path and schema.
+_WRITTEN: dict[tuple[str, str, str], tuple[str, object]] = {}
+
+
 class Relations:
-    """Lazy access to tables and relations of one data folder."""
+    """Tables and relations of one data folder.
+
+    A relation stands for a source table of the service. It is derived by Spark from the
+    given tables, written once per application to the shared folder, and read from there by
+    every query, so that filters and column selections reach a scan.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """A given table; one that sits in fewer splits than there are cores is spread."""
+        df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        cores = self.spark.sparkContext.defaultParallelism
+        return df.repartition(cores) if df.rdd.getNumPartitions() < min(cores, 64) else df
 
     def __call__(self, name: str) -> DataFrame:
         if name in TABLES:
             return self.table(name)
-        needed = _needed([name])
-        text = " ".join(SPARK_SQL[n] for n in needed)
-        chain = [
-            f"{n} AS (SELECT * FROM parquet.`{self.sf_dir}/{n}.parquet`)"
-            for n in TABLES
-            if re.search(rf"\b(FROM|JOIN) {n}\b", text)
-        ]
-        chain += [f"{n} AS ({SPARK_SQL[n]})" for n in needed]
-        return self.spark.sql(f"WITH {', '.join(chain)} SELECT * FROM {name}")
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        if key not in _WRITTEN:
+            _WRITTEN[key] = self._write(name)
+        path, schema = _WRITTEN[key]
+        return self.spark.read.schema(schema).parquet(path)
+
+    def _write(self, name: str) -> tuple[str, object]:
+        text = SPARK_SQL[name]
+        inputs = {
+            other: self(other)
+            for other in (*TABLES, *SPARK_SQL)
+            if re.search(rf"\b(FROM|JOIN) {other}\b", text)
+        }
+        text = text.replace("{", "{{").replace("}", "}}")
+        for other in inputs:
+            text = re.sub(rf"\b(FROM|JOIN) {other}\b", rf"\1 {{{other}}}", text)
+        df = self.spark.sql(text, **inputs)
+        path = fresh_path(self.spark, name)
+        df.write.parquet(path)
+        return path, df.schema
 
 
 def duck_query(sql: str, *relations: str) -> str:

@@ -6,48 +6,57 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import fixed
-from .text import given, stripped
+from .text import given
+
+
+# The last run of letters and digits after a dot or underscore of the last path segment. A
+# query, a fragment, trailing slashes and one ".gz" are looked through.
+_EXT_IN_URL = (
+    r"(?s)\A[^?#]*(?:\.(?!gz/*(?:[?#]|\z))|_)([\p{L}\p{N}]{2,8})(?:\.gz)?/*(?:[?#].*)?\z"
+)
+
+
+def _looked_up(table: dict[str, str], key: Column) -> Column:
+    """The entry of a small constant table; null when there is none. Names ``key`` once."""
+    pairs = [F.lit(x) for pair in table.items() for x in pair]
+    return F.try_element_at(F.create_map(*pairs), key)
 
 
 def ext_from_url(url: Column) -> Column:
     """Extension in the last path segment of ``url``; ``''`` when there is none."""
-    path = F.regexp_replace(F.lower(F.coalesce(url, F.lit(""))), r"(?s)[?#].*\z", "")
-    segment = F.substring_index(F.regexp_replace(path, r"/+\z", ""), "/", -1)
-    segment = F.regexp_replace(segment, r"\.gz\z", "")
-    dotted = F.regexp_extract(segment, r"\.([\p{L}\p{N}]{2,8})\z", 1)
-    joined = F.regexp_extract(segment, r"_([\p{L}\p{N}]{2,8})\z", 1)
-    return F.coalesce(given(dotted), joined)
+    return F.regexp_extract(F.lower(F.coalesce(url, F.lit(""))), _EXT_IN_URL, 1)
 
 
 def canonical_ext(ext: Column) -> Column:
     """The one token used for all spellings of a format."""
-    renamed = ext
-    for alias, token in fixed.EXTENSION_ALIASES.items():
-        renamed = F.when(ext == alias, token).otherwise(renamed)
-    return renamed
+    return F.coalesce(_looked_up(fixed.EXTENSION_ALIASES, ext), ext)
 
 
 def resource_ext(fmt: Column, url: Column) -> Column:
     """Canonical extension: the declared format, else the one in the address."""
-    declared = F.regexp_replace(stripped(F.lower(fmt)), r"\A\.+", "")
+    declared = F.regexp_extract(F.lower(fmt), r"(?s)(?U)\A\s*\.*(.*?)\s*\z", 1)
     return canonical_ext(F.coalesce(given(declared), ext_from_url(url)))
 
 
+_CATEGORIES = dict.fromkeys(
+    fixed.CONTAINER_EXTENSIONS + fixed.RASTER_EXTENSIONS + fixed.VECTOR_EXTENSIONS + fixed.STYLE_EXTENSIONS, "spatial"
+) | dict.fromkeys(fixed.TABLE_EXTENSIONS, "data")
+
+_LAYER_KINDS = (
+    dict.fromkeys(fixed.CONTAINER_EXTENSIONS + fixed.VECTOR_EXTENSIONS, "vector")
+    | dict.fromkeys(fixed.RASTER_EXTENSIONS, "raster")
+    | dict.fromkeys(fixed.TABLE_EXTENSIONS, "table")
+)
+
+
 def category(ext: Column) -> Column:
     """``spatial``, ``data`` or ``other``."""
-    spatial = (
-        fixed.CONTAINER_EXTENSIONS + fixed.RASTER_EXTENSIONS + fixed.VECTOR_EXTENSIONS + fixed.STYLE_EXTENSIONS
-    )
-    return F.when(ext.isin(*spatial), "spatial").when(ext.isin(*fixed.TABLE_EXTENSIONS), "data").otherwise("other")
+    return F.coalesce(_looked_up(_CATEGORIES, ext), F.lit("other"))
 
 
 def layer_kind(ext: Column) -> Column:
     """``vector``, ``raster`` or ``table``; null for a file that is no map layer."""
-    return (
-        F.when(ext.isin(*fixed.CONTAINER_EXTENSIONS, *fixed.VECTOR_EXTENSIONS), "vector")
-        .when(ext.isin(*fixed.RASTER_EXTENSIONS), "raster")
-        .when(ext.isin(*fixed.TABLE_EXTENSIONS), "table")
-    )
+    return _looked_up(_LAYER_KINDS, ext)
 
 
 def is_container(ext: Column) -> Column:
