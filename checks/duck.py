@@ -48,7 +48,7 @@ def bucket(source: str, group: int) -> str:
 
 # classified: every resource with its class.
 CLASSIFIED = f"""
-typed AS (SELECT version_id, dataset_id, res_ord, coalesce(nullif(name,''),'resource') AS name, lower(coalesce(format,'')) AS fmt,
+typed AS MATERIALIZED (SELECT version_id, dataset_id, res_ord, coalesce(nullif(name,''),'resource') AS name, lower(coalesce(format,'')) AS fmt,
                  CASE WHEN download_url IS NULL THEN '' ELSE {resource_ext('format', 'download_url')} END AS ext,
                  nullif(download_url,'') AS download_url, CASE WHEN download_url IS NULL THEN odata_url END AS odata_url FROM resources),
 bundled AS (SELECT *, ext = 'zip' AND contains(lower(name||' '||coalesce(download_url,'')),'symbology') AS is_bundle FROM typed),
@@ -83,7 +83,7 @@ SCAN = f"""{FILES}, {LATEST}, {SAVED},
 current_version AS (SELECT f.dataset_id, f.file_name, v.version_number, substr(v.detected_at,1,10) AS detected, v.total_rows
     FROM version_files f JOIN versions v USING (version_id)
     QUALIFY row_number() OVER (PARTITION BY f.dataset_id, f.file_name ORDER BY coalesce(v.version_number,0) DESC, v.version_ord) = 1),
-bundles AS (SELECT version_id, download_url AS sym_url FROM resources WHERE download_url IS NOT NULL AND {resource_ext('format', 'download_url')} = 'zip'
+bundles AS MATERIALIZED (SELECT version_id, download_url AS sym_url FROM resources WHERE download_url IS NOT NULL AND {resource_ext('format', 'download_url')} = 'zip'
     QUALIFY row_number() OVER (PARTITION BY version_id ORDER BY CASE WHEN contains(lower(coalesce(name,'')),'symbology') THEN 0 ELSE 1 END, res_ord) = 1),
 scanned AS (SELECT s.layer_id, s.layer_name, s.group_id, s.source, s.dataset_id, s.old_file,
     CASE WHEN l.version_id IS NULL THEN 'error' WHEN n.file_name IS NULL THEN 'missing' WHEN n.file_name = s.old_file THEN 'current' ELSE 'update' END AS status,

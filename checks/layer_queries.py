@@ -113,12 +113,12 @@ def _(r):
 @registered(
     "names_difference",
     """SELECT l.layer_id, l.field_ord, l.field_name FROM layer_fields l
-       WHERE NOT EXISTS (SELECT 1 FROM file_fields f WHERE f.field_name = l.field_name AND f.field_ord = l.field_ord)""",
-    ("layer_fields", "file_fields"),
+       WHERE l.field_name NOT IN (SELECT trim(machine_name) FROM field_dictionary)""",
+    ("layer_fields", "field_dictionary"),
 )
 def _(r):
-    published = r("file_fields").select("field_ord", "field_name").distinct()
-    return field_ops.names_difference(r("layer_fields"), published, ["field_ord", "field_name"])
+    captioned = r("field_dictionary").select(F.trim("machine_name").alias("field_name")).distinct()
+    return field_ops.names_difference(r("layer_fields"), captioned, ["field_name"])
 
 
 SCAN_COLUMNS = (

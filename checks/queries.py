@@ -1,4 +1,11 @@
 """All registered queries."""
 
-from . import file_queries, layer_queries  # noqa: F401
+from . import (  # noqa: F401
+    catalog_queries,
+    feature_queries,
+    file_queries,
+    layer_queries,
+    source_queries,
+    style_queries,
+)
 from .registry import ORACLES, QUERIES  # noqa: F401
