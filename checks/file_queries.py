@@ -50,10 +50,7 @@ def _(r):
 def _(r):
     ext = F.col("ext")
     counted = r("pages").select(files.ext_from_url(F.col("url")).alias("ext")).groupBy("ext").agg(F.count("*").alias("n"))
-    return counted.select(
-        "ext", files.category(ext).alias("category"), files.layer_kind(ext).alias("layer_kind"),
-        files.is_container(ext).alias("container"), "n",
-    )
+    return counted.withColumn("c", files.file_class(ext)).select("ext", "c.category", "c.layer_kind", "c.container", "n")
 
 
 ROW_COUNTS = """

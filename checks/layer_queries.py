@@ -10,7 +10,7 @@ from mapledger.operators import layers as ops
 from mapledger.operators import resources as resource_ops
 from mapledger.operators import versions as version_ops
 from mapledger.plans import refresh
-from mapledger.session import fresh_path
+from mapledger.session import fresh_path, written
 from mapledger.sources import results
 
 from . import duck
@@ -23,6 +23,11 @@ def scan(r):
     )
 
 
+def scan_table(r):
+    """The scan as a table, which planning reads several times."""
+    return written(scan(r), "refresh-scan")
+
+
 @registered(
     "parse_bucket_source",
     f"SELECT layer_id, {duck.bucket('source', 1)} AS dataset_id, {duck.bucket('source', 2)} AS old_file FROM layers",
@@ -163,7 +168,7 @@ planned AS (SELECT s.*, x.f AS layer_filter, z.layer_id IS NOT NULL AS filter_lo
     duck.SCAN_NEEDS,
 )
 def _(r):
-    planned = refresh.plan_updates(scan(r), r("file_fields"))
+    planned = refresh.plan_updates(scan_table(r), r("file_fields"))
     return planned.select("layer_id", "status", "new_source", "carried_filter", "filter_lost", "result")
 
 
@@ -175,7 +180,7 @@ def _(r):
     duck.SCAN_NEEDS,
 )
 def _(r):
-    planned = refresh.plan_updates(scan(r), r("file_fields"), dry_run=False)
+    planned = refresh.plan_updates(scan_table(r), r("file_fields"), dry_run=False)
     return planned.select("layer_id", "status", "new_source", "filter_lost", "result")
 
 
@@ -190,7 +195,7 @@ report AS (SELECT concat_ws(' / ', w.path, p.layer_name) AS layer, p.dataset_id
 
 
 def report(r):
-    return refresh.refresh_report(refresh.plan_updates(scan(r), r("file_fields")), r("layer_groups"))
+    return refresh.refresh_report(refresh.plan_updates(scan_table(r), r("file_fields")), r("layer_groups"))
 
 
 @registered("refresh_report")

@@ -11,8 +11,7 @@ from .text import given, stripped
 
 def resource_suffix(file_name: Column) -> Column:
     """The part of a stored file name that stays the same across versions."""
-    name = F.coalesce(file_name, F.lit(""))
-    return F.coalesce(given(F.regexp_extract(name, fixed.HASHED_NAME_PATTERN, 2)), name)
+    return F.regexp_replace(F.coalesce(file_name, F.lit("")), fixed.HASH_PATTERN, "")
 
 
 def bucket_dataset(source: Column) -> Column:

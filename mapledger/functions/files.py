@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import fixed
-from .text import given
+from .text import stripped
 
 
 # The last run of letters and digits after a dot or underscore of the last path segment. A
@@ -18,8 +18,8 @@ _EXT_IN_URL = (
 
 def _looked_up(table: dict[str, str], key: Column) -> Column:
     """The entry of a small constant table; null when there is none. Names ``key`` once."""
-    pairs = [F.lit(x) for pair in table.items() for x in pair]
-    return F.try_element_at(F.create_map(*pairs), key)
+    pairs = ", ".join(f"'{name}', '{entry}'" for name, entry in table.items())
+    return F.try_element_at(F.expr(f"map({pairs})"), key)
 
 
 def ext_from_url(url: Column) -> Column:
@@ -34,34 +34,39 @@ def canonical_ext(ext: Column) -> Column:
 
 def resource_ext(fmt: Column, url: Column) -> Column:
     """Canonical extension: the declared format, else the one in the address."""
-    declared = F.regexp_extract(F.lower(fmt), r"(?s)(?U)\A\s*\.*(.*?)\s*\z", 1)
-    return canonical_ext(F.coalesce(given(declared), ext_from_url(url)))
+    declared = F.ltrim(stripped(F.lower(F.coalesce(fmt, F.lit("")))), F.lit("."))
+    # The pattern runs only where no format is declared.
+    return F.when(declared != "", canonical_ext(declared)).otherwise(canonical_ext(ext_from_url(url)))
 
 
-_CATEGORIES = dict.fromkeys(
-    fixed.CONTAINER_EXTENSIONS + fixed.RASTER_EXTENSIONS + fixed.VECTOR_EXTENSIONS + fixed.STYLE_EXTENSIONS, "spatial"
-) | dict.fromkeys(fixed.TABLE_EXTENSIONS, "data")
-
-_LAYER_KINDS = (
-    dict.fromkeys(fixed.CONTAINER_EXTENSIONS + fixed.VECTOR_EXTENSIONS, "vector")
-    | dict.fromkeys(fixed.RASTER_EXTENSIONS, "raster")
-    | dict.fromkeys(fixed.TABLE_EXTENSIONS, "table")
-)
-
-
-def category(ext: Column) -> Column:
-    """``spatial``, ``data`` or ``other``."""
-    return F.coalesce(_looked_up(_CATEGORIES, ext), F.lit("other"))
-
-
-def layer_kind(ext: Column) -> Column:
-    """``vector``, ``raster`` or ``table``; null for a file that is no map layer."""
-    return _looked_up(_LAYER_KINDS, ext)
+def _classes() -> dict[str, tuple[str, str | None, bool]]:
+    """Category, layer kind and container flag of every known extension."""
+    return (
+        dict.fromkeys(fixed.CONTAINER_EXTENSIONS, ("spatial", "vector", True))
+        | dict.fromkeys(fixed.RASTER_EXTENSIONS, ("spatial", "raster", False))
+        | dict.fromkeys(fixed.VECTOR_EXTENSIONS, ("spatial", "vector", False))
+        | dict.fromkeys(fixed.STYLE_EXTENSIONS, ("spatial", None, False))
+        | dict.fromkeys(fixed.TABLE_EXTENSIONS, ("data", "table", False))
+    )
 
 
-def is_container(ext: Column) -> Column:
-    """True for a file that holds several layers."""
-    return ext.isin(*fixed.CONTAINER_EXTENSIONS)
+def file_class(ext: Column, styled: Column | None = None) -> Column:
+    """``category, layer_kind, container`` of an extension as one struct.
+
+    A ZIP that ``styled`` marks holds a style and is neither a layer nor a container. The
+    extension is named once, so a filter on the class stays one lookup.
+    """
+    key, table = ext, _classes()
+    if styled is not None:
+        key = F.concat(F.when(styled, "styled ").otherwise(""), ext)
+        table |= {f"styled {e}": c for e, c in table.items()} | {"styled zip": ("spatial", None, False)}
+    rows = ", ".join(
+        f"'{e}', named_struct('category', '{c}', 'layer_kind', {f"'{k}'" if k else 'CAST(NULL AS STRING)'},"
+        f" 'container', {str(n).lower()})"
+        for e, (c, k, n) in table.items()
+    )
+    unknown = F.expr("named_struct('category', 'other', 'layer_kind', CAST(NULL AS STRING), 'container', false)")
+    return F.coalesce(F.try_element_at(F.expr(f"map({rows})"), key), unknown)
 
 
 def is_symbology(name: Column, url: Column) -> Column:

@@ -44,7 +44,8 @@ PSEUDO_FIELDS = ("shape", "shape_area", "shape_length", "geometry", "the_geom")
 
 # Patterns of addresses, file names and style documents.
 BUCKET_PATTERN = r"https://pub-[0-9a-z]+\.r2\.dev/datasets/([0-9a-fA-F-]{36})/v[0-9]+/([^/?|]+)"
-HASHED_NAME_PATTERN = r"^([0-9a-fA-F]+)_(.+)$"
+BUCKET_TAIL_PATTERN = r"https://pub-[0-9a-z]+\.r2\.dev/datasets/([0-9a-fA-F-]{36}/v[0-9]+/[^/?|]+)"
+HASH_PATTERN = r"\A[0-9a-fA-F]+_(?=.)"
 UUID_PATTERN = r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
 PROPERTY_PATTERN = r"<(?:ogc:)?PropertyName>([^<]+)</(?:ogc:)?PropertyName>"
 STYLE_ATTRIBUTE_PATTERN = r'(?:attr|fieldName)="([^"]+)"'

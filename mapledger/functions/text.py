@@ -11,9 +11,16 @@ def given(value: Column) -> Column:
     return F.nullif(value, F.lit(""))
 
 
+# The characters that count as white space at the ends of a text.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009"
+    "\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def stripped(value: Column) -> Column:
     """The text without white space at both ends, Unicode spaces included."""
-    return F.regexp_replace(value, r"(?U)\A\s+|\s+\z", "")
+    return F.btrim(value, F.lit(WHITE_SPACE))
 
 
 def tokens(text: str) -> list[str]:

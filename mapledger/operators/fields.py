@@ -6,26 +6,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed
+from .joins import split_join
 
 
 def schema_drift(layer_targets: DataFrame, layer_fields: DataFrame, file_fields: DataFrame) -> DataFrame:
     """Field names of a layer that its new file lacks, in the layer's order.
 
     ``layer_targets`` has ``layer_id, new_url``. A file whose fields are unknown has no drift.
-    Lists are as long as a layer has fields.
+    The fields of a layer and of a file become one list each, as long as its schema, so the
+    wide address meets the layers once per layer and not once per field.
     """
-    published = file_fields.select(F.col("download_url").alias("new_url"), "field_name")
-    readable = published.select("new_url").distinct()
-    lost = (
+    published = file_fields.groupBy(F.col("download_url").alias("new_url")).agg(
+        F.collect_set("field_name").alias("published")
+    )
+    listed = (
         layer_targets.select("layer_id", "new_url")
-        .join(readable, "new_url", "left_semi")
-        .join(layer_fields, "layer_id")
-        .join(published, ["new_url", "field_name"], "left_anti")
+        .join(layer_fields.select("layer_id", "field_ord", "field_name"), "layer_id")
+        .groupBy("layer_id", "new_url")
+        .agg(F.sort_array(F.collect_list(F.struct("field_ord", "field_name"))).alias("fields"))
     )
-    return lost.groupBy("layer_id").agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("field_ord", "field_name"))), lambda f: f.field_name)
-        .alias("missing_fields")
+    names = F.transform("fields", lambda f: f.field_name)
+    compared = split_join(listed, published, ["new_url"]).select(
+        "layer_id", F.filter(names, lambda n: ~F.array_contains("published", n)).alias("missing_fields")
     )
+    return compared.filter(F.size("missing_fields") > 0)
 
 
 def names_difference(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
@@ -50,7 +54,7 @@ def apply_captions(fields: DataFrame, dictionary: DataFrame) -> DataFrame:
     """
     captions = dictionary.withColumnRenamed("machine_name", "field_name")
     return (
-        fields.join(captions, ["bundle_url", "field_name"], "left")
+        split_join(fields, captions, ["bundle_url", "field_name"], "left")
         .withColumn("caption", F.coalesce("alias", "field_name"))
         .drop("alias")
     )
@@ -59,19 +63,20 @@ def apply_captions(fields: DataFrame, dictionary: DataFrame) -> DataFrame:
 def reconcile_field_case(refs: DataFrame, layer_fields: DataFrame) -> DataFrame:
     """Map references of a layer onto the spelling of its fields.
 
-    ``refs`` has ``layer_id, ref``. An exact name stays, else a name equal but for case is
+    ``refs`` has distinct rows with ``layer_id, ref``. An exact name stays, else a name equal but for case is
     taken (the last field among several), else the reference stays and is missing unless
     it is empty or a pseudo-field.
     """
-    spelled = layer_fields.groupBy("layer_id", F.lower("field_name").alias("ref_key")).agg(
+    keyed = refs.withColumn("ref_key", F.lower("ref"))
+    spelled = layer_fields.select("layer_id", F.lower("field_name").alias("ref_key"), "field_name", "field_ord")
+    # Only fields that equal a reference but for case get past the join.
+    found = keyed.join(spelled, ["layer_id", "ref_key"], "left").groupBy(*refs.columns).agg(
+        F.bool_or(F.col("field_name") == F.col("ref")).alias("exact"),
         F.max_by("field_name", "field_ord").alias("spelling"),
-        F.collect_set("field_name").alias("spellings"),
     )
-    keyed = refs.withColumn("ref_key", F.lower("ref"))
-    exact = F.array_contains("spellings", F.col("ref"))
     known = F.col("spelling").isNotNull()
-    return keyed.join(spelled, ["layer_id", "ref_key"], "left").select(
+    return found.select(
         *refs.columns,
-        F.when(known & ~exact, F.col("spelling")).otherwise(F.col("ref")).alias("mapped"),
-        (~known & (F.col("ref") != "") & ~F.col("ref_key").isin(*fixed.PSEUDO_FIELDS)).alias("is_missing"),
+        F.when(known & ~F.col("exact"), F.col("spelling")).otherwise(F.col("ref")).alias("mapped"),
+        (~known & (F.col("ref") != "") & ~F.lower("ref").isin(*fixed.PSEUDO_FIELDS)).alias("is_missing"),
     )

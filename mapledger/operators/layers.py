@@ -5,17 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import addresses
+from ..functions import addresses, fixed
 from ..functions.text import given
+from .joins import split_join
 from .versions import version_rank
 
 
 def bucket_layers(layers: DataFrame) -> DataFrame:
     """The layers served from a bucket, with dataset and file name."""
-    return layers.withColumns({
-        "dataset_id": addresses.bucket_dataset(F.col("source")),
-        "old_file": addresses.bucket_file(F.col("source")),
-    }).filter(F.col("old_file").isNotNull())
+    found = F.filter(F.array(F.regexp_extract("source", fixed.BUCKET_TAIL_PATTERN, 1)), lambda t: t != "")
+    parts = F.transform(found, lambda t: F.struct(
+        F.substring(t, 1, 36).alias("dataset_id"), F.substring_index(t, "/", -1).alias("old_file")
+    ))
+    # Exploding a list of at most one keeps the pattern from being matched again per filter.
+    return layers.select("*", F.inline(parts))
 
 
 def chosen_layers(layers: DataFrame, chosen: DataFrame | None) -> DataFrame:
@@ -91,7 +94,7 @@ def suffix_files(ranked_files: DataFrame) -> DataFrame:
 def layer_current_version(layers: DataFrame, files: DataFrame, versions: DataFrame) -> DataFrame:
     """The newest version that contains the file a layer points at; null when none does."""
     found = file_versions(versioned_files(files, versions))
-    return bucket_layers(layers).join(found, ["dataset_id", "old_file"], "left")
+    return split_join(bucket_layers(layers), found, ["dataset_id", "old_file"], "left")
 
 
 def layer_latest_file(layers: DataFrame, files: DataFrame, latest: DataFrame) -> DataFrame:
@@ -100,7 +103,7 @@ def layer_latest_file(layers: DataFrame, files: DataFrame, latest: DataFrame) ->
         "dataset_id", "suffix", F.col("file_name").alias("new_file"), F.col("download_url").alias("new_url")
     )
     wanted = bucket_layers(layers).withColumn("suffix", addresses.resource_suffix(F.col("old_file")))
-    return wanted.join(newest, ["dataset_id", "suffix"], "left")
+    return split_join(wanted, newest, ["dataset_id", "suffix"], "left")
 
 
 def layer_bundle(layers: DataFrame, registrations: DataFrame) -> DataFrame:
@@ -115,7 +118,7 @@ def layer_bundle(layers: DataFrame, registrations: DataFrame) -> DataFrame:
         .agg(F.max_by("bundle_url", "reg_ord").alias("bundle_url"))
     )
     keyed = layers.withColumn("source_key", addresses.norm_source(F.col("source")))
-    return keyed.join(known, "source_key", "left").drop("source_key")
+    return split_join(keyed, known, ["source_key"], "left").drop("source_key")
 
 
 def bundle_registrations(classified: DataFrame, bundles: DataFrame, versions: DataFrame) -> DataFrame:

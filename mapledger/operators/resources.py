@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import addresses, files
+from ..functions import addresses, files, fixed
 from ..functions.text import given
 
 
@@ -43,17 +43,17 @@ def classify_resources(resources: DataFrame) -> DataFrame:
         "odata_url": F.when(~has_url, F.col("odata_url")),
         "ext": F.when(has_url, files.resource_ext(fmt, url)).otherwise(""),
     }).drop("format")
-    ext = F.col("ext")
-    bundle = (ext == "zip") & files.is_symbology(F.col("name"), F.col("download_url"))
-    fetched = F.col("download_url").isNotNull()
-    return typed.withColumns({
-        "category": F.when(fetched, files.category(ext)).otherwise("other"),
-        "layer_kind": F.when(fetched & ~bundle, files.layer_kind(ext)),
-        "container": fetched & ~bundle & files.is_container(ext),
-        "kind": F.when(fetched, F.when(bundle, "other").otherwise(files.coarse_kind(files.layer_kind(ext))))
-        .otherwise("odata"),
-        "uri": F.when(fetched, files.open_uri(F.col("download_url"), ext)),
-    })
+    url, kind = F.col("download_url"), F.col("class.layer_kind")
+    styled = files.is_symbology(F.col("name"), url)
+    fetched = url.isNotNull()
+    classed = typed.withColumn("class", F.when(fetched, files.file_class(F.col("ext"), styled)))
+    return classed.withColumns({
+        "category": F.coalesce("class.category", F.lit("other")),
+        "layer_kind": kind,
+        "container": F.coalesce("class.container", F.lit(False)),
+        "kind": F.when(fetched, files.coarse_kind(kind)).otherwise("odata"),
+        "uri": F.when(fetched, files.open_uri(url, F.col("ext"))),
+    }).drop("class")
 
 
 def resolve_resources(resources: DataFrame, change_rows: DataFrame, versions: DataFrame) -> DataFrame:
@@ -97,17 +97,19 @@ def pick_default(classified: DataFrame, prefer_geojson: bool = True) -> DataFram
 
 def pick_bundle(classified: DataFrame) -> DataFrame:
     """The archive a version takes its style from: the first named as symbology, else the first."""
-    archives = classified.filter((F.col("ext") == "zip") & F.col("download_url").isNotNull())
+    archives = classified.select("version_id", "res_ord", "name", "ext", "download_url").filter(
+        (F.col("ext") == "zip") & F.col("download_url").isNotNull()
+    )
     unnamed = ~F.lower("name").contains("symbology")
     return _first_by(archives, F.struct(unnamed, F.col("res_ord")))
 
 
 def files_by_suffix(resources: DataFrame) -> DataFrame:
     """One bucket file per version and suffix; the last listed wins."""
+    names = F.filter(F.array(F.regexp_extract("download_url", fixed.BUCKET_PATTERN, 2)), lambda n: n != "")
     in_bucket = resources.select(
-        "version_id", "dataset_id", "res_ord", "download_url",
-        addresses.bucket_file(F.col("download_url")).alias("file_name"),
-    ).filter(F.col("file_name").isNotNull())
+        "version_id", "dataset_id", "res_ord", "download_url", F.explode(names).alias("file_name")
+    )
     last = (
         in_bucket.withColumn("suffix", addresses.resource_suffix(F.col("file_name")))
         .groupBy("version_id", "dataset_id", "suffix")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import documents, fixed
 from ..functions.text import given
 from .fields import reconcile_field_case
+from .joins import split_join
 
 
 def style_refs(docs: DataFrame) -> DataFrame:
@@ -24,9 +25,8 @@ def style_refs(docs: DataFrame) -> DataFrame:
 def style_missing_refs(pairs: DataFrame, refs: DataFrame, layer_fields: DataFrame) -> DataFrame:
     """References of a layer's style that the layer does not publish; case matters."""
     published = layer_fields.select("layer_id", F.col("field_name").alias("ref"))
-    return pairs.select("layer_id", "bundle_url").join(refs, "bundle_url").join(
-        published, ["layer_id", "ref"], "left_anti"
-    )
+    wanted = split_join(pairs.select("layer_id", "bundle_url"), refs, ["bundle_url"])
+    return wanted.join(published, ["layer_id", "ref"], "left_anti")
 
 
 def attribute_refs(docs: DataFrame) -> DataFrame:
@@ -42,13 +42,13 @@ def remap_field_refs(pairs: DataFrame, docs: DataFrame, layer_fields: DataFrame)
     The spelling map of a layer has an entry per reference that changes, so it is as long as
     its document has references.
     """
-    refs = pairs.select("layer_id", "bundle_url").join(attribute_refs(docs), "bundle_url")
+    refs = split_join(pairs.select("layer_id", "bundle_url"), attribute_refs(docs), ["bundle_url"])
     changed = reconcile_field_case(refs, layer_fields).filter("mapped <> ref")
     spelling = changed.groupBy("layer_id", "bundle_url").agg(
         F.map_from_entries(F.collect_list(F.struct("ref", "mapped"))).alias("spelling")
     )
     texts = docs.filter(F.col("qml").isNotNull()).select("bundle_url", "qml")
-    joined = pairs.select("layer_id", "bundle_url").join(texts, "bundle_url").join(
+    joined = split_join(pairs.select("layer_id", "bundle_url"), texts, ["bundle_url"]).join(
         spelling, ["layer_id", "bundle_url"], "left"
     )
     nothing = F.create_map().cast("map<string,string>")
@@ -71,7 +71,7 @@ def style_outcome(
     """
     sld_missing = style_missing_refs(pairs, style_refs(docs), layer_fields)
     sld_missing = sld_missing.groupBy("layer_id").agg(F.count("*").alias("sld_missing"))
-    qml_refs = pairs.select("layer_id", "bundle_url").join(attribute_refs(docs), "bundle_url")
+    qml_refs = split_join(pairs.select("layer_id", "bundle_url"), attribute_refs(docs), ["bundle_url"])
     qml_missing = reconcile_field_case(qml_refs, layer_fields).filter("is_missing")
     qml_missing = qml_missing.groupBy("layer_id").agg(F.count("*").alias("qml_missing"))
     contents = docs.select(
@@ -80,7 +80,7 @@ def style_outcome(
     captions = dictionary.groupBy("bundle_url").agg(F.count("*").alias("captions"))
     bundles = contents.join(captions, "bundle_url", "full")
     rows = (
-        pairs.join(bundles, "bundle_url", "left")
+        split_join(pairs, bundles, ["bundle_url"], "left")
         .join(sld_missing, "layer_id", "left")
         .join(qml_missing, "layer_id", "left")
     )

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import fields, layers as layer_ops, resources as resource_ops, styles as style_ops
+from ..session import written
 
 
 def style_audit(
@@ -20,7 +21,8 @@ def style_audit(
     """Bundle, outcome, unmatched references and captioned fields of every layer."""
     classified = resource_ops.classify_resources(resources)
     registered = layer_ops.bundle_registrations(classified, resource_ops.pick_bundle(classified), versions)
-    pairs = layer_ops.layer_bundle(layers, registered).select("layer_id", "bundle_url")
+    # Read by every branch below, so it is worked out once.
+    pairs = written(layer_ops.layer_bundle(layers, registered).select("layer_id", "bundle_url"), "layer-bundles")
     dictionary = fields.clean_dictionary(dictionary_lines)
     outcomes = style_ops.style_outcome(
         pairs.filter(F.col("bundle_url").isNotNull()), docs, dictionary, layer_fields, converter_available
