@@ -120,7 +120,8 @@ FROM resources r {fan('f', 'ord, name, new_name', "1, 'objectId', 'objectId'", "
                       "3, 'מרחב', 'merchav'", "4, 'term_name', 'term_name'")}
 WHERE r.download_url IS NOT NULL""",
         "features": """
-SELECT feature_ord, table_name, xmin, ymin, xmax, ymax, geom_type,
+SELECT feature_ord, table_name, CASE WHEN geom_type IS NOT NULL THEN xmin END AS xmin, CASE WHEN geom_type IS NOT NULL THEN ymin END AS ymin,
+       CASE WHEN geom_type IS NOT NULL THEN xmax END AS xmax, CASE WHEN geom_type IS NOT NULL THEN ymax END AS ymax, geom_type,
        CASE WHEN feature_ord % 11 = 0 THEN NULL
             WHEN feature_ord % 17 = 1 THEN '{"id":'||cast(feature_ord AS string)||',"value":null,"ok":true}'
             ELSE '{"id":'||cast(feature_ord AS string)||',"value":'||cast(val AS string)||',"name":"'||table_name||'","ok":false}' END AS properties,

@@ -1,7 +1,8 @@
 """Rows of feature tables: boxes, filters, caps, schemas and extents.
 
 A features relation has ``feature_ord, table_name, properties, geojson`` and the box
-``xmin, ymin, xmax, ymax``; ``properties`` and ``geojson`` are JSON text.
+``xmin, ymin, xmax, ymax``; ``properties`` and ``geojson`` are JSON text. The box is null
+without geometry, so box filters need not read the geometry.
 """
 
 from __future__ import annotations
@@ -25,13 +26,13 @@ def with_box(features: DataFrame) -> DataFrame:
 
 
 def bbox_overlap(features: DataFrame, box: tuple[float, float, float, float]) -> DataFrame:
-    """Features whose box overlaps the clamped ``box``; the comparisons reach the scan."""
+    """Features whose box overlaps the clamped ``box``; four comparisons that reach the scan."""
     cut = geometry.clamp_literal(box)
     if cut is None:
         return features.filter(F.lit(False))
     own = {name: F.col(name) for name in geometry.BOX}
     wanted = dict(zip(geometry.BOX, map(F.lit, cut)))
-    return features.filter(has_geometry() & geometry.boxes_overlap(own, wanted))
+    return features.filter(geometry.boxes_overlap(own, wanted))
 
 
 def intersects_box(features: DataFrame, box: tuple[float, float, float, float]) -> DataFrame:
@@ -39,7 +40,7 @@ def intersects_box(features: DataFrame, box: tuple[float, float, float, float])
     xmin, ymin, xmax, ymax = (float(v) for v in box)
     own = {name: F.col(name) for name in geometry.BOX}
     wanted = dict(zip(geometry.BOX, map(F.lit, (xmin, ymin, xmax, ymax))))
-    near = features.filter(has_geometry() & geometry.boxes_overlap(own, wanted))
+    near = features.filter(geometry.boxes_overlap(own, wanted))
     sides = (f"CAST({v!r} AS DOUBLE)" for v in (xmin, ymin, xmax, ymax))
     return near.filter(F.expr(geometry.intersects_sql("geojson", *sides)))
 
@@ -155,7 +156,7 @@ def first_geometry_type(features: DataFrame) -> DataFrame:
 
 def layer_extent(features: DataFrame) -> DataFrame:
     """Overall box and number of features with geometry of every table."""
-    return features.filter(has_geometry()).groupBy("table_name").agg(
+    return features.filter("xmin IS NOT NULL").groupBy("table_name").agg(
         F.min("xmin").alias("xmin"), F.min("ymin").alias("ymin"),
         F.max("xmax").alias("xmax"), F.max("ymax").alias("ymax"),
         F.count("*").alias("n_features"),

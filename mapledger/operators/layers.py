@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import addresses, fixed
 from ..functions.text import given
+from ..session import written
 from .joins import split_join
 from .versions import version_rank
 
@@ -29,22 +30,24 @@ def chosen_layers(layers: DataFrame, chosen: DataFrame | None) -> DataFrame:
 def group_paths(groups: DataFrame) -> DataFrame:
     """Names of a group and its ancestors joined by `` / ``; the root is left out.
 
-    ``groups`` has ``group_id, parent_id, group_name``; the root has no parent. The walk
-    goes one level down per step.
+    ``groups`` has ``group_id, parent_id, group_name``; the root has no parent. The walk goes
+    one level down per step, and every level is written before the next one reads it, so
+    neither the depth nor the number of groups is limited.
     """
-    spark = groups.sparkSession
-    return spark.sql(
-        """
-        WITH RECURSIVE walk(group_id, path) AS (
-          SELECT group_id, CAST(NULL AS STRING) FROM {groups} WHERE parent_id IS NULL
-          UNION ALL
-          SELECT g.group_id, concat_ws(' / ', w.path, g.group_name)
-          FROM {groups} g JOIN walk w ON g.parent_id = w.group_id
+    named = groups.filter(F.col("parent_id").isNotNull())
+    level = groups.filter(F.col("parent_id").isNull()).select("group_id", F.lit(None).cast("string").alias("group_path"))
+    paths = level
+    while True:
+        above = level.select(F.col("group_id").alias("parent_id"), F.col("group_path").alias("above"))
+        level = written(
+            named.join(above, "parent_id").select(
+                "group_id", F.concat_ws(" / ", "above", "group_name").alias("group_path")
+            ),
+            "group-level",
         )
-        SELECT group_id, path AS group_path FROM walk
-        """,
-        groups=groups,
-    )
+        if level.isEmpty():
+            return paths
+        paths = paths.unionByName(level)
 
 
 def layer_paths(layers: DataFrame, groups: DataFrame) -> DataFrame:
