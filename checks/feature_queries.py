@@ -162,6 +162,12 @@ def _(r):
     return ops.infer_schema(r("features"))
 
 
+def event_records(r):
+    return r("events").select(
+        F.col("event_id").alias("feature_ord"), F.col("event_type").alias("table_name"), F.col("props").alias("properties")
+    )
+
+
 @registered(
     "infer_schema_props",
     f"""WITH f AS (SELECT event_type AS table_name, props FROM events QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY event_id) = 1),
@@ -170,10 +176,7 @@ def _(r):
         SELECT table_name, field_ord, field_name, {FIELD_TYPES} AS field_type FROM t""",
 )
 def _(r):
-    events = r("events").select(
-        F.col("event_id").alias("feature_ord"), F.col("event_type").alias("table_name"), F.col("props").alias("properties")
-    )
-    return ops.infer_schema(events)
+    return ops.infer_schema(event_records(r))
 
 
 @registered(
@@ -258,13 +261,11 @@ def _(r):
 
 @registered(
     "load_table",
-    """SELECT feature_ord, CAST(json_extract(properties,'$.id') AS bigint) AS id, json_extract_string(properties,'$.value') AS value,
-       CAST(json_extract_string(properties,'$.ok') AS boolean) AS ok, false AS truncated FROM features WHERE table_name = 'click'""",
-    ("features",),
+    """SELECT event_id AS feature_ord, CAST(json_extract(props,'$.k') AS bigint) AS k, (SELECT count(*) FROM events WHERE event_type = 'click') >= 50000 AS truncated
+       FROM events WHERE event_type = 'click' ORDER BY event_id LIMIT 50000""",
 )
 def _(r):
-    # The first record has no name and a null value, so the name is dropped and the value is text.
-    return loads.load_table(r("features"), "click", "clicks")
+    return loads.load_table(event_records(r), "click", "clicks")
 
 
 @registered(

@@ -89,7 +89,7 @@ FROM (SELECT y.*, y.hash8||'_'||CASE y.k WHEN 0 THEN 'geojson.gz' WHEN 1 THEN 't
              CASE y.k WHEN 0 THEN '' WHEN 1 THEN 'CSV' WHEN 2 THEN '.gpkg' WHEN 3 THEN 'GeoParquet' WHEN 4 THEN 'ZIP' WHEN 5 THEN NULL ELSE 'odata' END AS format
       FROM (SELECT v.version_id, v.dataset_id, cast(l.l_linenumber - 1 AS bigint) AS k,
                    substr(md5(v.dataset_id||cast(l.l_partkey % 3 AS string)),1,8) AS hash8,
-                   cast(l.l_linenumber AS bigint) + 8 * (cast(l.l_suppkey AS bigint) + 1000003 * cast(l.l_partkey AS bigint)) AS res_ord
+                   cast(l.l_linenumber AS bigint) + 8 * (cast(l.l_quantity AS bigint) + 64 * (cast(l.l_suppkey AS bigint) + 1000003 * cast(l.l_partkey AS bigint))) AS res_ord
             FROM lineitem l JOIN versions v ON v.version_id = l.l_orderkey) y) x""",
         "resource_rows": """
 SELECT version_id, res_ord AS row_ord,
