@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed, geometry
 from ..functions.text import given
+from ..session import written
 
 
 def has_geometry() -> Column:
@@ -104,9 +105,17 @@ def capped(rows: DataFrame, cap: int, route: str, key: str = "feature_ord", bins
     return rows.filter(F.col(key) <= last).withColumn("truncated", truncated)
 
 
-def first_records(features: DataFrame) -> DataFrame:
-    """The properties of the first record of every table."""
-    return features.groupBy("table_name").agg(F.min_by("properties", "feature_ord").alias("properties"))
+def first_rows(features: DataFrame, among: Column, *columns: str) -> DataFrame:
+    """The given columns of the first row of every table among the rows that count.
+
+    The ordinals alone are aggregated, in a hash aggregate over two narrow columns. They are
+    written, which gives the join their true size: it broadcasts them as long as they are
+    small, and wide rows are neither sorted nor shuffled. ``feature_ord`` is unique in a table.
+    """
+    firsts = features.groupBy("table_name").agg(F.min(F.when(among, F.col("feature_ord"))).alias("feature_ord"))
+    places = written(firsts, "first-ordinals")
+    found = features.select("table_name", "feature_ord", *columns)
+    return places.join(found, ["table_name", "feature_ord"], "left").drop("feature_ord")
 
 
 def field_type(variant: Column) -> Column:
@@ -122,7 +131,12 @@ def field_type(variant: Column) -> Column:
 
 def infer_schema(features: DataFrame) -> DataFrame:
     """Name, type and position of every attribute of the first record of every table."""
-    records = first_records(features).filter(F.col("properties").isNotNull())
+    records = first_rows(features, F.lit(True), "properties").filter(F.col("properties").isNotNull())
+    return record_fields(records)
+
+
+def record_fields(records: DataFrame) -> DataFrame:
+    """The same for records with ``table_name, properties``."""
     keys = records.select(
         "table_name", "properties", F.posexplode(F.json_object_keys("properties")).alias("pos", "field_name")
     )
@@ -136,9 +150,7 @@ def infer_schema(features: DataFrame) -> DataFrame:
 
 def detect_geometry_type(features: DataFrame) -> DataFrame:
     """The geometry type of every table's first record with geometry; MultiPolygon when unusual."""
-    first = features.groupBy("table_name").agg(
-        F.min_by("geojson", F.when(has_geometry(), F.col("feature_ord"))).alias("geojson")
-    )
+    first = first_rows(features, has_geometry(), "geojson")
     kind = F.try_variant_get(F.try_parse_json("geojson"), "$.type", "string")
     return first.select(
         "table_name",
@@ -149,7 +161,7 @@ def detect_geometry_type(features: DataFrame) -> DataFrame:
 
 def first_geometry_type(features: DataFrame) -> DataFrame:
     """The upper-case geometry type of every table's very first feature; null when it has none."""
-    first = features.groupBy("table_name").agg(F.min_by("geojson", "feature_ord").alias("geojson"))
+    first = first_rows(features, F.lit(True), "geojson")
     kind = F.try_variant_get(F.try_parse_json("geojson"), "$.type", "string")
     return first.select("table_name", F.upper(given(kind)).alias("geometry_type"))
 

@@ -23,31 +23,32 @@ def typed_records(records: DataFrame, fields: list[tuple[str, str]]) -> list:
     return [parsed.getField(name).alias(name) for name, _ in fields]
 
 
-def fields_of_first(records: DataFrame) -> list[tuple[str, str]]:
-    """Name and type of the attributes of the first record; an error when there is no record.
+def count_and_fields(rows: DataFrame) -> tuple[int, list[tuple[str, str]]]:
+    """How many rows there are, and name and type of the attributes of the first one.
 
-    One record comes to the driver, as in any schema inference.
+    One scan; one record comes to the driver, as in any schema inference. No row is an error.
     """
-    first = records.agg(
-        F.count("*").alias("n"), F.min_by(F.col("properties"), F.col("feature_ord")).alias("properties")
-    ).withColumn("table_name", F.lit("")).withColumn("feature_ord", F.lit(0))
-    found = first.filter("n > 0")
-    inferred = found.select("table_name").join(
-        feature_ops.infer_schema(found).select("table_name", "field_ord", "field_name", "field_type"),
-        "table_name", "left",
-    ).orderBy("field_ord").collect()
-    if not inferred:
+    first = rows.agg(F.count("*").alias("n"), F.min_by("properties", "feature_ord").alias("properties")).head()
+    if not first.n:
         raise LoadError("no rows returned")
-    return [(row.field_name, row.field_type) for row in inferred if row.field_name is not None]
+    record = rows.sparkSession.createDataFrame([("", first.properties)], "table_name STRING, properties STRING")
+    fields = feature_ops.record_fields(record.filter("properties IS NOT NULL")).orderBy("field_ord").collect()
+    return first.n, [(row.field_name, row.field_type) for row in fields]
+
+
+def first_rows_of(rows: DataFrame, n: int, cap: int, route: str) -> DataFrame:
+    """The first ``cap`` of ``n`` rows with ``truncated``; a table below the cap needs no cut."""
+    if n <= cap:
+        return rows.withColumn("truncated", F.lit(route == "sql" and n == cap))
+    return feature_ops.capped(rows, cap, route)
 
 
 def _selected(rows: DataFrame, where: str | None, columns: list[tuple[str, str]]) -> DataFrame:
     """Rows that a WHERE clause over the declared columns keeps."""
     if not where:
         return rows
-    kept = [c for c in rows.columns]
-    typed = rows.select(*kept, *[c for c in typed_records(rows, columns)])
-    return feature_ops.where_fragment(typed, where).select(*kept)
+    typed = rows.select("*", *typed_records(rows, columns))
+    return feature_ops.where_fragment(typed, where).select(*rows.columns)
 
 
 def load_layer(
@@ -72,8 +73,8 @@ def load_layer(
         rows = _selected(rows, where, columns or [])
     elif bbox is not None:
         rows = feature_ops.bbox_overlap(rows, bbox)
-    records = feature_ops.capped(rows, row_cap, "sql" if where else "features")
-    fields = fields_of_first(rows)
+    n, fields = count_and_fields(rows)
+    records = first_rows_of(rows, n, row_cap, "sql" if where else "features")
     typed = records.select(
         "feature_ord", *typed_records(records, fields), F.col("geojson").alias(fixed.GEOJSON_COLUMN), "truncated"
     )
@@ -92,8 +93,9 @@ def load_table(
     if not table:
         raise LoadError("dataset has no datastore table")
     rows = _selected(features.filter(F.col("table_name") == table), where, columns or [])
-    records = feature_ops.capped(rows, row_cap, "sql")
-    typed = records.select("feature_ord", *typed_records(records, fields_of_first(rows)), "truncated")
+    n, fields = count_and_fields(rows)
+    records = first_rows_of(rows, n, row_cap, "sql")
+    typed = records.select("feature_ord", *typed_records(records, fields), "truncated")
     return materialize_result(typed, name, spatial=False)
 
 
