@@ -6,6 +6,7 @@ import pytest
 
 from checks.compare import TESTDATA, compare, connect
 from checks.queries import ORACLES, QUERIES
+from checks.relations import SPARK_SQL, Relations, duck_query
 
 SF_DIR = f"{TESTDATA}/sf0.001"
 
@@ -15,6 +16,15 @@ def con():
     return connect(SF_DIR)
 
 
+@pytest.mark.parametrize("name", list(SPARK_SQL))
+def test_relation(spark, con, name):
+    def build(session, sf_dir):
+        return Relations(session, sf_dir)(name)
+
+    good, text = compare(spark, con, name, build, duck_query(f"SELECT * FROM {name}", name), SF_DIR)
+    assert good, text
+
+
 def test_every_query_has_a_twin():
     assert set(ORACLES) == set(QUERIES)
 
