@@ -132,6 +132,6 @@ def bundle_registrations(classified: DataFrame, bundles: DataFrame, versions: Da
     picked = bundles.select("version_id", F.col("download_url").alias("bundle_url"))
     loadable = classified.filter(F.col("layer_kind").isNotNull()).select("version_id", "res_ord", "uri")
     ordered = versions.select("version_id", "version_ord")
-    return loadable.join(picked, "version_id").join(ordered, "version_id").select(
+    return split_join(loadable, picked, ["version_id"]).join(ordered, "version_id").select(
         "uri", "bundle_url", F.struct("version_ord", "res_ord").alias("reg_ord")
     )

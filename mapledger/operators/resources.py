@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import addresses, files, fixed
 from ..functions.text import given
+from .joins import split_join
 
 
 def attach_row_counts(resources: DataFrame, change_rows: DataFrame, versions: DataFrame) -> DataFrame:
@@ -23,7 +24,7 @@ def attach_row_counts(resources: DataFrame, change_rows: DataFrame, versions: Da
     totals = versions.select("version_id", "total_rows")
     named = resources.withColumn("listed_name", F.coalesce(given(F.col("name")), F.lit("resource")))
     return (
-        named.join(listed, ["version_id", "listed_name"], "left")
+        split_join(named, listed, ["version_id", "listed_name"], "left")
         .join(totals, "version_id", "left")
         .withColumn("rows", F.coalesce("listed_rows", "total_rows"))
         .drop("listed_name", "listed_rows", "total_rows")

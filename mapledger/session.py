@@ -26,6 +26,10 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "map
     )
 
 
+# Folders of local applications without a checkpoint folder of their own.
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
@@ -36,9 +40,10 @@ def shared_folder(spark: SparkSession) -> str:
     if named:
         return named.rstrip("/")
     if spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="mapledger-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-        return folder
+        application = spark.sparkContext.applicationId
+        if application not in _LOCAL_FOLDERS:
+            _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="mapledger-")
+        return _LOCAL_FOLDERS[application]
     return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_mapledger"
 
 
