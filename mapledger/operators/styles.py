@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import documents, fixed
-from ..functions.text import given
 from .fields import reconcile_field_case
 from .joins import split_join
 
