@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from mapledger.functions import fixed
 from mapledger.operators import catalog as ops
 from mapledger.plans.contents import dataset_contents
 
@@ -126,9 +127,13 @@ def _(r):
     return ops.datasets(full_catalog(r), organization="—").select(*SHOWN)
 
 
-@registered("sort_by_title", f"WITH {duck.CATALOG} SELECT {COLUMNS} FROM catalog", duck.CATALOG_NEEDS)
+@registered(
+    "sort_by_title",
+    f"WITH {duck.CATALOG} SELECT {COLUMNS}, row_number() OVER (ORDER BY lower(coalesce(title,'')), file_only, first_ord) AS rank FROM catalog",
+    duck.CATALOG_NEEDS,
+)
 def _(r):
-    return ops.sort_by_title(full_catalog(r)).select(*SHOWN)
+    return ops.title_places(full_catalog(r)).select(*SHOWN, "rank")
 
 
 @registered(
@@ -138,7 +143,7 @@ def _(r):
     duck.CATALOG_NEEDS,
 )
 def _(r):
-    return ops.search_titles(full_catalog(r), "אנדרטאות רמת הנגב").select(*SHOWN)
+    return ops.search_titles(full_catalog(r), "אנדרטאות רמת הנגב", fixed.SEARCH_LIMIT).select(*SHOWN)
 
 
 @registered(
@@ -147,13 +152,13 @@ def _(r):
     duck.CATALOG_NEEDS,
 )
 def _(r):
-    return ops.search_titles(full_catalog(r), "BUS", spatial_only=True).select(*SHOWN)
+    return ops.search_titles(full_catalog(r), "BUS", fixed.SEARCH_LIMIT, spatial_only=True).select(*SHOWN)
 
 
 SEARCHES = ["the", "the email", "Ring  RED", "שלום", "que le", "  "]
 
 
-def _search_twin(rows: str, text: str, key: str) -> str:
+def _search_twin(rows: str, text: str, key: str, capped: bool = True) -> str:
     parts = []
     for number, search in enumerate(SEARCHES):
         words = search.lower().split()
@@ -162,11 +167,17 @@ def _search_twin(rows: str, text: str, key: str) -> str:
             parts.append(f"SELECT cast({number} AS bigint) AS query_no, {key} FROM {rows} WHERE {test}")
     return (
         f"SELECT query_no, {key}, row_number() OVER (PARTITION BY query_no ORDER BY {key}) AS rank FROM ({' UNION ALL '.join(parts)}) x"
-        f" QUALIFY row_number() OVER (PARTITION BY query_no ORDER BY {key}) <= 25"
+        + (f" QUALIFY row_number() OVER (PARTITION BY query_no ORDER BY {key}) <= 25" if capped else "")
     )
 
 
 @registered("search_documents", _search_twin("documents", "text", "doc_id"))
+def _(r):
+    found = ops.search_many(r("documents").select("doc_id", "text"), SEARCHES, fixed.SEARCH_LIMIT, title="text", order=("doc_id",))
+    return found.select("query_no", "doc_id", "rank")
+
+
+@registered("search_documents_all", _search_twin("documents", "text", "doc_id", capped=False))
 def _(r):
     found = ops.search_many(r("documents").select("doc_id", "text"), SEARCHES, title="text", order=("doc_id",))
     return found.select("query_no", "doc_id", "rank")
@@ -174,7 +185,7 @@ def _(r):
 
 @registered("search_many", _search_twin("catalog_tables", "title", "table_ord"), ("catalog_tables",))
 def _(r):
-    found = ops.search_many(r("catalog_tables"), SEARCHES, order=("table_ord",))
+    found = ops.search_many(r("catalog_tables"), SEARCHES, fixed.SEARCH_LIMIT, order=("table_ord",))
     return found.select("query_no", "table_ord", "rank")
 
 
@@ -185,7 +196,7 @@ def _(r):
     duck.CATALOG_NEEDS,
 )
 def _(r):
-    return ops.route_search(full_catalog(r), " ring RED ").select(*SHOWN)
+    return ops.route_search(full_catalog(r), " ring RED ", fixed.SEARCH_LIMIT).select(*SHOWN)
 
 
 KNOWN_ID = "d93fa3b2-5f83-f202-cc51-257eee2c9207"
@@ -210,6 +221,27 @@ def _(r):
     return page.select(*SHOWN, "total", "limit", "offset")
 
 
+@registered(
+    "list_datasets_all",
+    f"""WITH {duck.CATALOG}, m AS (SELECT * FROM catalog WHERE contains(lower(title),'customer'))
+        SELECT {COLUMNS}, (SELECT count(*) FROM m) AS total FROM m""",
+    duck.CATALOG_NEEDS,
+)
+def _(r):
+    return ops.list_datasets(full_catalog(r), query="Customer").select(*SHOWN, "total")
+
+
+@registered(
+    "list_datasets_tag",
+    f"""WITH {duck.CATALOG}, m AS (SELECT * FROM catalog WHERE source_type = 'govmap' OR is_spatial)
+        SELECT {COLUMNS}, (SELECT count(*) FROM m) AS total FROM m""",
+    duck.CATALOG_NEEDS,
+)
+def _(r):
+    tags = F.array(F.col("source_type"), F.when(F.col("is_spatial"), F.lit("govmap")))
+    return ops.list_datasets(full_catalog(r).withColumn("tags", tags), tag="govmap").select(*SHOWN, "total")
+
+
 @registered(
     "top_datasets",
     f"""WITH {duck.CATALOG}, c AS (SELECT dataset_id, title, coalesce(nullif(source_type,''),'—') AS source_type,
@@ -223,6 +255,19 @@ def _(r):
     return top.select("dataset_id", "title", "source_type", "organization", "file_only", "first_ord", "rank", "overflow")
 
 
+@registered(
+    "top_datasets_all",
+    f"""WITH {duck.CATALOG}, c AS (SELECT dataset_id, title, coalesce(nullif(source_type,''),'—') AS source_type,
+            coalesce(nullif(organization,''),'—') AS organization, file_only, first_ord FROM catalog)
+        SELECT *, row_number() OVER (PARTITION BY source_type, organization ORDER BY lower(coalesce(title,'')), file_only, first_ord) AS rank,
+               cast(0 AS bigint) AS overflow FROM c""",
+    duck.CATALOG_NEEDS,
+)
+def _(r):
+    top = ops.top_datasets(full_catalog(r))
+    return top.select("dataset_id", "title", "source_type", "organization", "file_only", "first_ord", "rank", "overflow")
+
+
 @registered(
     "table_fallback",
     f"WITH {duck.CATALOG} SELECT dataset_id, primary_table, primary_schema FROM catalog WHERE NOT is_spatial AND coalesce(primary_table,'') <> ''",

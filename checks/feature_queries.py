@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from mapledger.functions import geometry
+from mapledger.functions import fixed, geometry
 from mapledger.operators import features as ops
 from mapledger.operators.boxjoin import bbox_join
 from mapledger.plans import loads
@@ -138,11 +138,11 @@ def _(r):
 
 @registered(
     "capped_sql",
-    "SELECT feature_ord, table_name, (SELECT count(*) FROM features) >= 50000 AS truncated FROM features ORDER BY feature_ord LIMIT 50000",
+    "SELECT feature_ord, table_name, (SELECT count(*) FROM features) >= 1500 AS truncated FROM features ORDER BY feature_ord LIMIT 1500",
     ("features",),
 )
 def _(r):
-    return ops.capped(r("features"), 50_000, "sql").select("feature_ord", "table_name", "truncated")
+    return ops.capped(r("features"), 1500, "sql").select("feature_ord", "table_name", "truncated")
 
 
 FIRST = """
@@ -240,29 +240,58 @@ TYPED = """CAST(json_extract(properties,'$.id') AS bigint) AS id, CAST(json_extr
 @registered(
     "load_layer_where",
     f"""WITH typed AS (SELECT *, {TYPED} FROM features WHERE table_name = 'purchase' AND {EXACT})
-        SELECT feature_ord, id, value, name, ok, geojson AS _geojson, false AS truncated FROM typed WHERE value > 20 AND NOT ok""",
+        SELECT feature_ord, id, value, name, ok, geojson AS _geojson, count(*) OVER () >= 200 AS truncated FROM typed WHERE value > 20 AND NOT ok
+        ORDER BY feature_ord LIMIT 200""",
     ("features",),
 )
 def _(r):
     return loads.load_layer(
-        r("features"), "purchase", "purchases", bbox=BOX, where='"value" > 20 AND NOT "ok"', columns=COLUMNS
+        r("features"), "purchase", "purchases", bbox=BOX, where='"value" > 20 AND NOT "ok"', columns=COLUMNS, row_cap=200
     )
 
 
+@registered(
+    "load_layer_where_all",
+    f"""WITH typed AS (SELECT *, {TYPED} FROM features WHERE table_name = 'purchase' AND {EXACT})
+        SELECT feature_ord, id, value, name, ok, geojson AS _geojson, false AS truncated FROM typed WHERE value > 20 AND NOT ok""",
+    ("features",),
+)
+def _(r):
+    # The table's own columns, from its first record.
+    return loads.load_layer(r("features"), "purchase", "purchases", bbox=BOX, where='"value" > 20 AND NOT "ok"')
+
+
 @registered(
     "load_layer_box",
-    f"""SELECT feature_ord, {TYPED}, geojson AS _geojson, (SELECT count(*) FROM features WHERE table_name = 'error' AND {OVERLAP}) > 50000 AS truncated
-        FROM features WHERE table_name = 'error' AND {OVERLAP}""",
+    f"""SELECT feature_ord, {TYPED}, geojson AS _geojson, (SELECT count(*) FROM features WHERE table_name = 'error' AND {OVERLAP}) > 150 AS truncated
+        FROM features WHERE table_name = 'error' AND {OVERLAP} ORDER BY feature_ord LIMIT 150""",
+    ("features",),
+)
+def _(r):
+    return loads.load_layer(r("features"), "error", "errors", bbox=BOX, row_cap=150)
+
+
+@registered(
+    "load_layer_all",
+    f"SELECT feature_ord, {TYPED}, geojson AS _geojson, false AS truncated FROM features WHERE table_name = 'error' AND geojson IS NOT NULL",
     ("features",),
 )
 def _(r):
-    return loads.load_layer(r("features"), "error", "errors", bbox=BOX)
+    return loads.load_layer(r("features"), "error", "errors")
 
 
 @registered(
     "load_table",
-    """SELECT event_id AS feature_ord, CAST(json_extract(props,'$.k') AS bigint) AS k, (SELECT count(*) FROM events WHERE event_type = 'click') >= 50000 AS truncated
-       FROM events WHERE event_type = 'click' ORDER BY event_id LIMIT 50000""",
+    """SELECT event_id AS feature_ord, CAST(json_extract(props,'$.k') AS bigint) AS k, (SELECT count(*) FROM events WHERE event_type = 'click') >= 300 AS truncated
+       FROM events WHERE event_type = 'click' ORDER BY event_id LIMIT 300""",
+)
+def _(r):
+    return loads.load_table(event_records(r), "click", "clicks", row_cap=300)
+
+
+@registered(
+    "load_table_all",
+    """SELECT event_id AS feature_ord, CAST(json_extract(props,'$.k') AS bigint) AS k, false AS truncated FROM events WHERE event_type = 'click'""",
 )
 def _(r):
     return loads.load_table(event_records(r), "click", "clicks")
@@ -270,11 +299,12 @@ def _(r):
 
 @registered(
     "load_table_where",
-    f"SELECT * FROM (SELECT feature_ord, {TYPED}, false AS truncated FROM features WHERE table_name = 'click') t WHERE value > 40",
+    f"""SELECT *, count(*) OVER () >= 100 AS truncated FROM (SELECT feature_ord, {TYPED} FROM features WHERE table_name = 'click') t WHERE value > 40
+        ORDER BY feature_ord LIMIT 100""",
     ("features",),
 )
 def _(r):
-    return loads.load_table(r("features"), "click", "clicks", where='"value" > 40', columns=COLUMNS)
+    return loads.load_table(r("features"), "click", "clicks", where='"value" > 40', columns=COLUMNS, row_cap=100)
 
 
 @registered(
@@ -322,7 +352,25 @@ SELECT l_orderkey, quantity, n FROM big ORDER BY quantity DESC, l_orderkey"""
 @registered("free_query_capped", f"SELECT *, true AS truncated FROM ({WIDE.format(s='')} LIMIT 1000) q")
 def _(r):
     _public(r, "lineitem")
-    return loads.load_free_query(r.spark, WIDE.format(s="public."), "large_orders")
+    return loads.load_free_query(r.spark, WIDE.format(s="public."), "large_orders", fixed.FREE_QUERY_CAP)
+
+
+@registered("free_query_all", f"SELECT *, false AS truncated FROM ({WIDE.format(s='')}) q")
+def _(r):
+    _public(r, "lineitem")
+    return loads.load_free_query(r.spark, WIDE.format(s="public."), "all_orders")
+
+
+@registered(
+    "free_query_names",
+    """SELECT cast(o_orderkey AS bigint) AS row_no, 'mine' AS truncated, cast(o_custkey AS bigint) AS id, cast(o_custkey AS bigint) + 1 AS "ID_2",
+       false AS truncated_2 FROM orders""",
+)
+def _(r):
+    _public(r, "orders")
+    sql = """SELECT cast(o_orderkey AS bigint) AS row_no, 'mine' AS truncated, cast(o_custkey AS bigint) AS id, cast(o_custkey AS bigint) + 1 AS ID
+             FROM "public"."orders" """
+    return loads.load_free_query(r.spark, sql, "own_names")
 
 
 @registered(
@@ -338,4 +386,4 @@ def _(r):
     loads.register_tables(r.spark, {("idx", "features"): path})
     sql = f"""SELECT feature_ord, extensions.ST_AsGeoJSON(geom) AS _geojson FROM "idx"."features"
               WHERE extensions.ST_Intersects(geom, extensions.ST_MakeEnvelope({X0},{Y0},{X1},{Y1}, 4326)) ORDER BY feature_ord"""
-    return loads.load_free_query(r.spark, sql, "in_view")
+    return loads.load_free_query(r.spark, sql, "in_view", fixed.FREE_QUERY_CAP)

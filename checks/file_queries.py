@@ -207,7 +207,8 @@ def _(r):
 
 @registered(
     "previous_versions",
-    f"""WITH {duck.LATEST} SELECT v.dataset_id, v.version_id, v.version_number, v.detected_at, v.total_rows FROM versions v JOIN latest l USING (dataset_id)
+    f"""WITH {duck.LATEST} SELECT v.dataset_id, v.version_id, v.version_number, v.detected_at, v.total_rows,
+        row_number() OVER (PARTITION BY v.dataset_id ORDER BY coalesce(v.version_number,0) DESC, v.version_ord) AS rank FROM versions v JOIN latest l USING (dataset_id)
         WHERE coalesce(l.version_number,1) > 1 AND v.version_id <> l.version_id""",
     ("versions",),
 )

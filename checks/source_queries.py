@@ -2,13 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mapledger.functions.addresses import bundle_key
 from mapledger.operators.fields import clean_dictionary
 from mapledger.session import fresh_path
 from mapledger.sources import payloads, snapshots
@@ -225,48 +221,36 @@ def _(r):
     return clean_dictionary(snapshots.field_dictionary_lines(r.spark.read.parquet(path)))
 
 
-def zipped(docs: DataFrame) -> DataFrame:
-    """A ZIP archive per document: notes, icons, and the styles and dictionary it has."""
-
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import io
-        import zipfile
-
-        for batch in batches:
-            contents = []
-            for sld, qml, alias in zip(batch["sld"], batch["qml"], batch["alias"]):
-                buffer = io.BytesIO()
-                with zipfile.ZipFile(buffer, "w") as archive:
-                    archive.writestr("README.txt", "notes")
-                    archive.writestr("icons/x.svg", "<svg/>")
-                    if sld is not None:
-                        archive.writestr("layer_1.SLD", sld)
-                    if qml is not None:
-                        archive.writestr("layer.lyr", qml)
-                    if alias is not None:
-                        archive.writestr("layer_fields.csv", alias)
-                contents.append(buffer.getvalue())
-            yield pd.DataFrame({"bundle_url": batch["bundle_url"], "content": contents})
-
-    return docs.select("bundle_url", "sld", "qml", "alias").mapInPandas(pack, "bundle_url STRING, content BINARY")
+def bundle_members(r) -> DataFrame:
+    """The top-level names of an archive per bundle: notes, icons, and the styles and dictionary it has."""
+    captions = r("field_dictionary").groupBy("bundle_url").agg(F.bool_or(F.trim("alias") != "").alias("named"))
+    docs = r("style_docs").join(captions, "bundle_url", "left")
+    names = F.array_compact(F.array(
+        F.lit("README.txt"), F.lit("icons"), F.when(F.col("sld").isNotNull(), "layer_1.SLD"), F.when(F.col("qml").isNotNull(), "layer.lyr"),
+        # Half of the bundles get a dictionary, so that some archives hold nothing of use.
+        F.when(F.col("named") & (F.sha1("bundle_url") < "8"), "layer_fields.csv"),
+    ))
+    return docs.select("bundle_url", F.posexplode(names).alias("pos", "member"))
 
 
 @registered(
     "bundle_manifest",
-    """SELECT substr(sha1(d.bundle_url),1,16) AS bundle_key, CASE WHEN d.sld IS NOT NULL THEN 'layer_1.SLD' END AS sld, CASE WHEN f.alias IS NOT NULL THEN 'layer_fields.csv' END AS fields_csv,
+    """SELECT d.bundle_url, CASE WHEN d.sld IS NOT NULL THEN 'layer_1.SLD' END AS sld, CASE WHEN f.bundle_url IS NOT NULL THEN 'layer_fields.csv' END AS fields_csv,
        CASE WHEN d.sld IS NULL AND d.qml IS NOT NULL THEN 'layer.lyr' END AS lyr
-       FROM style_docs d LEFT JOIN (SELECT bundle_url, alias FROM field_dictionary WHERE line_no = 3 AND substr(sha1(bundle_url),1,1) < '8' ) f USING (bundle_url)
-       WHERE d.sld IS NOT NULL OR d.qml IS NOT NULL OR f.alias IS NOT NULL""",
+       FROM style_docs d LEFT JOIN (SELECT bundle_url FROM field_dictionary WHERE substr(sha1(bundle_url),1,1) < '8' GROUP BY bundle_url HAVING bool_or(trim(alias) <> '')) f
+       USING (bundle_url) WHERE d.sld IS NOT NULL OR d.qml IS NOT NULL OR f.bundle_url IS NOT NULL""",
     ("style_docs", "field_dictionary"),
 )
 def _(r):
-    # Half of the bundles get a dictionary, so that some archives hold nothing of use.
-    third = r("field_dictionary").filter("line_no = 3").select(
-        "bundle_url", F.when(F.sha1("bundle_url") < "8", F.col("alias")).alias("alias")
-    )
-    path = fresh_path(r.spark, "archives")
-    zipped(r("style_docs").join(third, "bundle_url", "left")).write.parquet(path)
-    archives = r.spark.read.parquet(path).select(bundle_key(F.col("bundle_url")).alias("bundle_url"), "content")
-    once = archives.dropDuplicates(["bundle_url"])
-    manifest = snapshots.bundle_manifest(snapshots.archive_members(once))
-    return manifest.withColumnRenamed("bundle_url", "bundle_key")
+    return snapshots.bundle_manifest(bundle_members(r))
+
+
+@registered(
+    "file_field_names",
+    "SELECT a.ord AS field_ord, a.name AS field_name FROM (VALUES (0, 'o_orderkey'), (1, 'o \"key\", twice'), (2, 'שם')) a(ord, name) WHERE (SELECT count(*) FROM orders) > 0",
+)
+def _(r):
+    path = fresh_path(r.spark, "headers")
+    rows = r("orders").select("o_orderkey", F.col("o_orderkey").alias('o "key", twice'), F.lit("x").alias("שם"))
+    rows.write.csv(path, header=True, escape='"')
+    return snapshots.file_field_names(r.spark, path).select("field_ord", "field_name").distinct()

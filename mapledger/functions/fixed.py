@@ -17,7 +17,7 @@ OPENABLE_SOURCE_FORMATS = tuple(
     )
 )
 
-# Catalog defaults.
+# Catalog defaults. Caps are the service's own; operators cut only where a caller names a number.
 DEFAULT_SCHEMA = "idx"
 GATEWAY_SOURCE_TYPE = "ckan"
 NO_NAME = "—"
@@ -61,6 +61,13 @@ REPORT_COLUMNS = (
     "rows_before", "rows_after", "renamed_fields", "result",
 )
 
+# Words of an SQL filter that name no field.
+FILTER_KEYWORDS = (
+    "ALL", "AND", "ANY", "AS", "ASC", "BETWEEN", "CASE", "CAST", "COLLATE", "DATE", "DESC", "DISTINCT", "ELSE", "END",
+    "ESCAPE", "EXISTS", "FALSE", "ILIKE", "IN", "INTERVAL", "IS", "ISNULL", "LIKE", "NOT", "NOTNULL", "NULL", "OR",
+    "REGEXP", "SIMILAR", "THEN", "TIME", "TIMESTAMP", "TO", "TRUE", "WHEN",
+)
+
 # Outcomes of matching a style bundle to a layer.
 STYLED, STYLED_LYR, ALIASES = "styled", "styled_lyr", "aliases"
 NO_BUNDLE, SKIPPED, NEEDS_SLYR = "none", "skipped", "needs_slyr"

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..functions.text import given, tokens
+from .joins import split_join
+from .ranks import positions, ranked_in_groups
 
 CATALOG_ORDER = ("file_only", "first_ord")
 
@@ -175,6 +177,12 @@ def sort_by_title(catalog: DataFrame) -> DataFrame:
     return catalog.orderBy(F.lower(F.coalesce("title", F.lit(""))), *CATALOG_ORDER)
 
 
+def title_places(catalog: DataFrame) -> DataFrame:
+    """The catalog with ``rank``, its place by title from 1."""
+    placed = positions(catalog, F.lower(F.coalesce("title", F.lit(""))), *CATALOG_ORDER)
+    return placed.withColumn("rank", F.col("position") + 1).drop("position")
+
+
 def datasets(
     catalog: DataFrame, source_type: str | None = None, organization: str | None = None, mode=3
 ) -> DataFrame:
@@ -197,30 +205,32 @@ def _title_matches(title: Column, words: list[str]) -> Column:
 def search_titles(
     rows: DataFrame,
     text: str,
-    limit: int = fixed.SEARCH_LIMIT,
+    limit: int | None = None,
     spatial_only: bool = False,
     title: str = "title",
     order: tuple[str, ...] = CATALOG_ORDER,
 ) -> DataFrame:
-    """The first rows, in order, whose title holds every word of ``text``."""
+    """The rows, in order, whose title holds every word of ``text``; the first ``limit`` if one is named."""
     words = tokens(text)
     if not words:
         return rows.limit(0)
     found = rows.filter("is_spatial") if spatial_only else rows
-    return found.filter(_title_matches(F.coalesce(title, F.lit("")), words)).orderBy(*order).limit(limit)
+    matching = found.filter(_title_matches(F.coalesce(title, F.lit("")), words)).orderBy(*order)
+    return matching if limit is None else matching.limit(limit)
 
 
 def search_many(
     rows: DataFrame,
     texts: list[str],
-    limit: int = fixed.SEARCH_LIMIT,
+    limit: int | None = None,
     title: str = "title",
     order: tuple[str, ...] = CATALOG_ORDER,
 ) -> DataFrame:
     """The same for several search texts in one scan: ``query_no``, rank and the row.
 
-    A row is kept once per text it matches, so nothing is paired up front, and the per-text
-    limit is applied before the shuffle, so a text that matches everything stays cheap.
+    A row is kept once per text it matches, so nothing is paired up front. A per-text limit is
+    applied before the shuffle, so a text that matches everything stays cheap; without one all
+    matches are ranked by a range-partitioned sort, which spreads such a text over tasks.
     """
     wanted = [
         F.when(_title_matches(F.coalesce(title, F.lit("")), words), F.lit(number).cast("bigint"))
@@ -230,6 +240,8 @@ def search_many(
     if not wanted:
         return rows.limit(0).withColumns({"query_no": F.lit(0).cast("bigint"), "rank": F.lit(0).cast("bigint")})
     hits = rows.withColumn("query_no", F.explode(F.array_compact(F.array(*wanted))))
+    if limit is None:
+        return ranked_in_groups(hits, ["query_no"], list(order))
     return first_per_group(hits, ["query_no"], list(order), limit)
 
 
@@ -252,7 +264,7 @@ def first_per_group(rows: DataFrame, keys: list[str], order: list, limit: int, s
     )
 
 
-def route_search(catalog: DataFrame, text: str, limit: int = fixed.SEARCH_LIMIT) -> DataFrame:
+def route_search(catalog: DataFrame, text: str, limit: int | None = None) -> DataFrame:
     """What a search box shows: nothing under two characters, one dataset for an id, else titles.
 
     The id test ignores case, the lookup does not.
@@ -267,16 +279,17 @@ def route_search(catalog: DataFrame, text: str, limit: int = fixed.SEARCH_LIMIT)
 
 def list_datasets(
     catalog: DataFrame,
-    limit: int = 50,
+    limit: int | None = None,
     offset: int = 0,
     source_type: str | None = None,
     organization: str | None = None,
     tag: str | None = None,
     query: str | None = None,
 ) -> DataFrame:
-    """One page of the filtered catalog; ``total`` counts all matching datasets.
+    """One page of the filtered catalog, or all of it; ``total`` counts all matching datasets.
 
-    ``tag`` needs an array column ``tags``; ``query`` is a case-insensitive part of the title.
+    ``tag`` needs an array column ``tags``; ``query`` is a case-insensitive part of the title. Only
+    the rows of the page are gathered, however deep it lies.
     """
     rows = catalog
     if source_type:
@@ -287,7 +300,13 @@ def list_datasets(
         rows = rows.filter(F.array_contains("tags", tag))
     if query:
         rows = rows.filter(F.lower("title").contains(query.lower()))
-    page = rows.orderBy(*CATALOG_ORDER).offset(offset).limit(limit)
+    if offset:
+        wanted = positions(rows, *CATALOG_ORDER).filter(F.col("position") >= offset)
+        page = (wanted if limit is None else wanted.filter(F.col("position") < offset + limit)).drop("position")
+        page = page.orderBy(*CATALOG_ORDER)
+    else:
+        page = rows.orderBy(*CATALOG_ORDER)
+        page = page if limit is None else page.limit(limit)
     total = rows.agg(F.count("*").alias("total"))
     # The total is one row, so this attaches a constant.
     return page.withColumns({
@@ -297,10 +316,10 @@ def list_datasets(
     })
 
 
-def top_datasets(catalog: DataFrame, cap: int = fixed.ORGANIZATION_CAP) -> DataFrame:
-    """The first ``cap`` datasets by title of every source type and organization, and how many more.
+def top_datasets(catalog: DataFrame, cap: int | None = None) -> DataFrame:
+    """The datasets by title of every source type and organization, ranked; the first ``cap`` if one is named.
 
-    ``overflow`` repeats on every row of its group.
+    ``overflow``, how many more there are, repeats on every row of its group.
     """
     keys = ["source_type", "organization"]
     rows = catalog.withColumns({
@@ -308,9 +327,12 @@ def top_datasets(catalog: DataFrame, cap: int = fixed.ORGANIZATION_CAP) -> DataF
         "organization": F.coalesce(given(F.col("organization")), F.lit(fixed.NO_NAME)),
         "title_key": F.lower(F.coalesce("title", F.lit(""))),
     })
+    order = ["title_key", *CATALOG_ORDER]
+    if cap is None:
+        return ranked_in_groups(rows, keys, order).drop("title_key").withColumn("overflow", F.lit(0).cast("bigint"))
     counts = rows.groupBy(*keys).agg(F.greatest(F.count("*") - cap, F.lit(0)).alias("overflow"))
-    top = first_per_group(rows, keys, ["title_key", *CATALOG_ORDER], cap)
-    return top.drop("title_key").join(counts, keys)
+    top = first_per_group(rows, keys, order, cap)
+    return split_join(top.drop("title_key"), counts, keys)
 
 
 def table_fallback(catalog: DataFrame) -> DataFrame:

@@ -9,12 +9,13 @@ from __future__ import annotations
 
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed, geometry
 from ..functions.text import given
 from ..session import written
+from .ranks import positions
 
 
 def has_geometry() -> Column:
@@ -76,31 +77,28 @@ def drop_null_geometry(records: DataFrame, spatial: bool) -> DataFrame:
 
 
 def page(rows: DataFrame, limit: int, offset: int = 0, key: str = "feature_ord") -> DataFrame:
-    """One window of the rows in key order."""
-    return rows.orderBy(key).offset(offset).limit(limit)
+    """One window of the rows in the order of a unique key.
+
+    The keys alone are put in order and numbered, which gives the window's first and last key; only
+    the rows between them are gathered, however deep the window lies.
+    """
+    if not offset:
+        return rows.orderBy(key).limit(limit)
+    place = F.col("position")
+    window = positions(rows.select(F.col(key).alias("k")), "k").filter((place >= offset) & (place < offset + limit))
+    low, high = (window.agg(f("k")).scalar() for f in (F.min, F.max))
+    return rows.filter(F.col(key).between(low, high)).orderBy(key)
 
 
-def capped(rows: DataFrame, cap: int, route: str, key: str = "feature_ord", bins: int = 65_536) -> DataFrame:
-    """The first ``cap`` rows in key order, with ``truncated``.
+def capped(rows: DataFrame, cap: int, route: str, key: str = "feature_ord") -> DataFrame:
+    """The first ``cap`` rows in the order of a unique key, with ``truncated``.
 
     The ``features`` route knows whether more rows follow; the ``sql`` route says so as soon
-    as the cap is reached. ``key`` is a unique whole number. A histogram of the key finds
-    the bin that holds the cut, so only the keys up to that bin are ordered, and the rows
-    themselves are kept or dropped by one comparison.
+    as the cap is reached. Keys alone are put in order, and rows are kept by one comparison.
     """
-    more = cap + 1
-    keys = rows.select(F.col(key).cast("bigint").alias("k"))
-    low, high = keys.agg(F.min("k")).scalar(), keys.agg(F.max("k")).scalar()
-    width = F.floor((high - low) / bins) + 1
-    counts = keys.groupBy(F.floor((F.col("k") - low) / width).alias("bin")).agg(F.count("*").alias("n"))
-    # At most ``bins`` rows.
-    running = counts.withColumn("upto", F.sum("n").over(Window.orderBy("bin")))
-    last_bin = running.filter(F.col("upto") >= more).agg(F.min("bin")).scalar()
-    edge = F.coalesce(low + (last_bin + 1) * width - 1, high)
-    firsts = keys.filter(F.col("k") <= edge).orderBy("k").limit(more)
-    # At most cap + 1 rows.
-    numbered = firsts.withColumn("n", F.row_number().over(Window.orderBy("k")))
-    last, seen = (numbered.agg(c).scalar() for c in (F.max(F.when(F.col("n") <= cap, F.col("k"))), F.count("*")))
+    keys = rows.select(F.col(key).alias("k"))
+    last = keys.orderBy("k").limit(cap).agg(F.max("k")).scalar()
+    seen = keys.limit(cap + 1).agg(F.count("*")).scalar()
     truncated = seen >= cap if route == "sql" else seen > cap
     return rows.filter(F.col(key) <= last).withColumn("truncated", truncated)
 

@@ -33,18 +33,19 @@ _LOCAL_FOLDERS: dict[str, str] = {}
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    Where the setting is missing, a local session gets a folder of its own under the
-    temporary directory; a cluster falls back to its warehouse, which is shared too.
+    Where the setting is missing, a session whose executors are threads of the driver gets a folder of
+    its own under the temporary directory; on a cluster that is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master == "local" or master.startswith("local["):
         application = spark.sparkContext.applicationId
         if application not in _LOCAL_FOLDERS:
             _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="mapledger-")
         return _LOCAL_FOLDERS[application]
-    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_mapledger"
+    raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

@@ -62,13 +62,11 @@ def catalog_tables(payloads: DataFrame) -> DataFrame:
     )
 
 
-def dataset_pages(payloads: DataFrame, page_size: int = fixed.LISTING_PAGE_SIZE) -> DataFrame:
-    """Listing items of pages with ``page_offset, payload``; a short or empty page ends the sequence."""
+def dataset_pages(payloads: DataFrame) -> DataFrame:
+    """Listing items of pages with ``page_offset, payload``. All pages count, also those after a short one:
+    that a short page is the last is for the fetching of pages to say."""
     pages = payloads.select("page_offset", _listed(F.col("payload"), LISTING_ITEM, "items").alias("items"))
-    size = F.coalesce(F.size("items"), F.lit(0))
-    last = pages.filter((size < page_size) | F.col("items").isNull()).agg(F.min("page_offset")).scalar()
-    kept = pages.filter((F.col("page_offset") <= last) | last.isNull())
-    rows = kept.select("page_offset", F.posexplode("items").alias("pos", "i"))
+    rows = pages.select("page_offset", F.posexplode("items").alias("pos", "i"))
     org = F.col("i.organization")
     named = F.when(F.schema_of_variant(org).startswith("OBJECT"), F.try_variant_get(org, "$.name", "string"))
     return rows.select(

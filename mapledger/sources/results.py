@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..functions.text import given
+from ..session import written
 
 
 def write_refresh_report(report: DataFrame, path: str, fmt: str = "parquet") -> None:
@@ -27,12 +28,15 @@ def is_spatial_result(result: DataFrame) -> DataFrame:
     return result.agg(F.coalesce(F.bool_or(carries), F.lit(False)).alias("is_spatial"))
 
 
-def materialize_result(result: DataFrame, name: str, spatial: bool | None = None) -> DataFrame:
+def materialize_result(result: DataFrame, name: str, spatial: bool | None = None, stored: bool = False) -> DataFrame:
     """Register a result under ``name``: a spatial one without the records that lack geometry.
 
     Whether a free result is spatial follows from its records; a layer load is always
-    spatial, a table load never. Helper geometry columns other than the GeoJSON are dropped.
+    spatial, a table load never. Helper geometry columns other than the GeoJSON are dropped. A free
+    result is stored before its kind is asked for, so it is computed once, unless it is ``stored``.
     """
+    if spatial is None and not stored and fixed.GEOJSON_COLUMN in result.columns:
+        result = written(result, "free-result")
     columns = [c for c in result.columns if c not in (fixed.GEOMETRY_COLUMN, "geometry_wkt")]
     rows = result.select(*columns)
     if fixed.GEOJSON_COLUMN in columns:

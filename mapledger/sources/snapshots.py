@@ -9,10 +9,45 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def read_resource(spark: SparkSession, path: str, ext: str) -> DataFrame:
+def read_table_files(spark: SparkSession, path: str, sep: str, multi_line: bool = False) -> DataFrame:
+    """Delimited files by the names in their headers.
+
+    Files with one and the same header are read together; what a file lacks is null. Without
+    ``multi_line`` a large file is split among tasks; with it, quoted line breaks are understood.
+    """
+    heads = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value",
+        F.monotonically_increasing_id().alias("place"),
+    )
+    # One row for each file.
+    firsts = heads.filter("start = 0").groupBy("file").agg(F.min_by("value", "place").alias("header"))
+    files = firsts.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header").collect()
+    if len(files) <= 1:
+        return spark.read.csv(path, header=True, sep=sep, multiLine=multi_line, escape='"')
+    tables = [spark.read.csv(list(f.files), header=True, sep=sep, multiLine=multi_line, escape='"') for f in files]
+    whole = tables[0]
+    for table in tables[1:]:
+        whole = whole.unionByName(table, allowMissingColumns=True)
+    return whole
+
+
+def file_field_names(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
+    """The field lists of delimited files: ``file_name, field_ord, field_name`` from their headers, in one job."""
+    heads = spark.read.text(path).select(
+        F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"), "value", F.monotonically_increasing_id().alias("place"),
+    )
+    firsts = heads.filter("start = 0").groupBy("file", "file_name").agg(F.min_by("value", "place").alias("header"))
+    names = F.split(F.regexp_replace("header", "^\ufeff", ""), F.lit(rf"{sep}(?=(?:[^\"]*\"[^\"]*\")*[^\"]*$)"), -1)
+    rows = firsts.select("file_name", F.posexplode(names).alias("field_ord", "name"))
+    bare = F.regexp_replace(F.regexp_replace(F.trim("name"), '^"|"$', ""), '""', '"')
+    return rows.select("file_name", F.col("field_ord").cast("bigint").alias("field_ord"), bare.alias("field_name"))
+
+
+def read_resource(spark: SparkSession, path: str, ext: str, multi_line: bool = False) -> DataFrame:
     """Open files of one canonical extension: tables by header, GeoJSON as features."""
     if ext in ("csv", "tsv"):
-        return spark.read.csv(path, header=True, sep="," if ext == "csv" else "\t", multiLine=True, escape='"')
+        return read_table_files(spark, path, "," if ext == "csv" else "\t", multi_line)
     if ext == "txt":
         return spark.read.text(path)
     if ext == "parquet":

@@ -71,7 +71,9 @@ class Settings:
 def test_shared_folder():
     assert shared_folder(Settings("yarn", **{"spark.checkpoint.dir": "hdfs:///c/"})) == "hdfs:///c"
     assert shared_folder(Settings("local[2]", **{"spark.checkpoint.dir": "/c"})) == "/c"
-    assert shared_folder(Settings("yarn", **{"spark.sql.warehouse.dir": "hdfs:///w"})) == "hdfs:///w/_mapledger"
+    for master in ("yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_folder(Settings(master, **{"spark.sql.warehouse.dir": "hdfs:///w"}))
     local = Settings("local[2]")
     assert shared_folder(local) == shared_folder(local) and "mapledger-" in shared_folder(local)
 

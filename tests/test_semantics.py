@@ -31,7 +31,7 @@ def test_latest_and_previous_versions(spark):
     )
     assert rows(versions.latest_version(df).select("dataset_id", "version_id"), "dataset_id") == [("a", 1), ("b", 4), ("c", 6)]
     # Listed in order; datasets on version 1 have no history.
-    assert rows(versions.previous_versions(df).select("dataset_id", "version_id")) == [("a", 2), ("a", 3)]
+    assert rows(versions.previous_versions(df).select("dataset_id", "version_id", "rank"), "rank") == [("a", 2, 1), ("a", 3, 2)]
 
 
 def test_row_counts(spark):
@@ -198,7 +198,52 @@ def test_free_query_takes_only_queries(spark):
         loads.load_free_query(spark, "DROP TABLE x", "q")
     got = loads.load_free_query(spark, 'SELECT id AS "my id" FROM range(1000);', "q")
     assert got.columns == ["my id", "truncated"] and got.filter("truncated").isEmpty() and got.count() == 1000
-    assert loads.load_free_query(spark, "SELECT id FROM range(1001)", "q").filter("truncated").count() == 1000
+    assert loads.load_free_query(spark, "SELECT id FROM range(1001)", "q", 1000).filter("truncated").count() == 1000
+    assert loads.load_free_query(spark, "SELECT id FROM range(1001)", "q").filter("NOT truncated").count() == 1001
+    own = loads.load_free_query(spark, "SELECT 7 AS row_no, 1 AS id, 2 AS id, 'mine' AS truncated, NULL AS nothing", "q")
+    assert own.columns == ["row_no", "id", "id_2", "truncated", "nothing", "truncated_2"]
+    assert rows(own) == [(7, 1, 2, "mine", None, False)]
+
+
+def test_values_of_other_types_stay(spark):
+    df = feature_rows(
+        spark, ('{"v":5,"d":5,"b":true,"n":1,"id":1,"ID":2,"feature_ord":3,"table_name":"x","big":9007199254740993}', POINT),
+        ('{"v":"x","d":5.5,"b":"yes","n":"7","id":2,"ID":4,"feature_ord":4,"table_name":"y","big":9007199254740995}', POINT),
+        ('{"v":{"a":1},"d":7.0,"b":null,"n":7.0}', POINT),
+    )
+    got = loads.load_table(df, "t", "mixed").orderBy("feature_ord")
+    assert got.columns == ["feature_ord", "v", "d", "b", "n", "id", "ID_2", "feature_ord_2", "table_name", "big", "truncated"]
+    assert [tuple(r) for r in got.select("v", "d", "b", "n", "id", "ID_2", "feature_ord_2", "table_name", "big").collect()] == [
+        ("5", 5.0, "true", 1, 1, 2, 3, "x", 9007199254740993), ("x", 5.5, "yes", 7, 2, 4, 4, "y", 9007199254740995),
+        ('{"a":1}', 7.0, None, 7, None, None, None, None, None),
+    ]
+    assert loads.load_table(df, "t", "some", where='"n" = 7 AND "d" > 6').count() == 1
+    assert loads.load_table(df, "t", "some", where="\"table_name\" = 'y'").count() == 1
+    assert rows(loads.load_table(df, "t", "cut", row_cap=2).select("feature_ord", "truncated"), "feature_ord") == [(0, True), (1, True)]
+
+
+def test_capped_of_wide_keys(spark):
+    wide = spark.createDataFrame([(-9 * 10**18,), (0,), (9 * 10**18,)], "feature_ord bigint")
+    assert rows(features.capped(wide, 2, "features"), "feature_ord") == [(-9 * 10**18, True), (0, True)]
+
+
+def test_deep_pages(spark):
+    got = [r.feature_ord for r in features.page(numbered(spark, 5000), 7, 4321).collect()]
+    assert got == [3 * i for i in range(4321, 4328)]
+    cat = catalog_of(spark, *[(f"d{i}", "t", "o", "s", True, True, False, i) for i in range(300)])
+    assert [r.dataset_id for r in catalog.list_datasets(cat, 3, 250).collect()] == ["d250", "d251", "d252"]
+    assert catalog.list_datasets(cat, offset=250).count() == 50 and catalog.list_datasets(cat).count() == 300
+    assert [r.rank for r in catalog.top_datasets(cat).orderBy("first_ord").collect()] == list(range(1, 301))
+
+
+def test_lost_filters_by_quoted_and_bare_names(spark):
+    filters = {
+        "quoted": '"gone" = 5', "bare": "gone = 5", "kept": '"kept" = \'say "x" and gone\'', "any case": "KEPT > 1 AND kept IS NOT NULL",
+        "exact": '"KEPT" = 1', "call": "lower(kept) LIKE 'a%' OR kept IN (1, 2)",
+    }
+    scan = spark.createDataFrame([(k, "update", "u", f"/x|subset={v}") for k, v in filters.items()], "layer_id string, status string, new_url string, source string")
+    fields_of = spark.createDataFrame([("u", 0, "kept")], "download_url string, field_ord bigint, field_name string")
+    assert {r.layer_id for r in refresh.lost_filter_fields(scan, fields_of).collect()} == {"quoted", "bare", "exact"}
 
 
 def test_refresh_statuses(spark):

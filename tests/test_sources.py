@@ -27,18 +27,38 @@ def test_payload_files(spark, tmp_path):
     assert payloads.catalog_tables(empty).collect() == []
 
 
-def test_dataset_pages_end_at_a_short_page(spark):
+def test_dataset_pages_keep_all_pages(spark):
     def page(*ids, wrap=True):
         items = [{"id": i, "organization": {"name": "N"} if i == "a" else "plain", "new_resources_at_source": [{"format": "PDF"}]} for i in ids]
         return json.dumps({"items": items} if wrap else items)
 
-    answers = texts(spark, [(4, page("never")), (0, page("a", "b")), (2, page("c", wrap=False))], "page_offset bigint, payload string")
-    got = payloads.dataset_pages(answers, page_size=2).orderBy("listing_ord").collect()
+    answers = texts(spark, [(4, page("d")), (0, page("a", "b")), (2, page("c", wrap=False))], "page_offset bigint, payload string")
+    got = payloads.dataset_pages(answers).orderBy("listing_ord").collect()
     assert [(r.listing_ord, r.dataset_id, r.organization, r.formats) for r in got] == [
         (0, "a", "N", ["PDF"]), (1, "b", "plain", ["PDF"]), (2, "c", "plain", ["PDF"]),
+        (4, "d", "plain", ["PDF"]),
     ]
-    full = texts(spark, [(0, page("a", "b")), (2, '{"items": []}'), (4, page("never"))], "page_offset bigint, payload string")
-    assert payloads.dataset_pages(full, page_size=2).count() == 2
+    full = texts(spark, [(0, page("a", "b")), (2, '{"items": []}'), (4, page("e"))], "page_offset bigint, payload string")
+    assert payloads.dataset_pages(full).count() == 3
+
+
+def test_tables_by_header(spark, tmp_path):
+    """Columns are matched by name, and a large file is read by several tasks."""
+    (tmp_path / "a.csv").write_text("a,b\n1,2\n")
+    (tmp_path / "b.csv").write_text("b,a\n2,1\n")
+    (tmp_path / "c.csv").write_text("a,c\n1,3\n")
+    got = snapshots.read_resource(spark, str(tmp_path), "csv").select("a", "b", "c").collect()
+    assert sorted((r.a, r.b, r.c) for r in got if r.b) == [("1", "2", None)] * 2 and [r.c for r in got if r.c] == ["3"]
+    large = tmp_path / "large"
+    large.mkdir()
+    (large / "x.csv").write_text("a,b\n" + "1,2\n" * 300_000)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200000")
+    try:
+        read = snapshots.read_resource(spark, str(large), "csv")
+        assert read.rdd.getNumPartitions() > 4 and read.count() == 300_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
 def test_versions_in_any_wrapper(spark):
