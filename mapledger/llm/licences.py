@@ -16,18 +16,16 @@ from mapledger.operators.joins import split_join
 from .common import text_or_empty
 from .licence_texts import KNOWN
 
-# Equivalent spellings, as commonly listed for comparing licence texts, as rewriting rules.
-SPELLINGS = (
-    (r"\b(sub)?licen[cs]e(s|d|e|es)?\b", "$1license$2"),
-    (r"\b(col|fav|lab)our", "$1or"),
-    (r"\b(analy|authori|capitali|categori|emphasi|initiali|maximi|optimi|organi|reali|recogni|utili)s(e|ed|es|ing|ation|ations)\b", "$1z$2"),
-    (r"\b(acknowledg|judg)ement", "$1ment"),
-    (r"\b(cancel|label|model|signal)l(ed|ing)\b", "$1$2"),
-    (r"\bwhilst\b", "while"),
-    (r"\bfulfil(ment|s)?\b", "fulfill$1"),
-    (r"\bartefact", "artifact"),
-    (r"\b(program)me|\b(catalog)ue|\b(analog)ue", "$1$2$3"),
-)
+# Equivalent spellings, as commonly listed for comparing licence texts. They are replaced
+# wherever they stand, also inside longer words: a canonical form has to be the same for equals, no more.
+SPELLINGS = {
+    "acknowledgement": "acknowledgment", "analogue": "analog", "analyse": "analyze", "artefact": "artifact",
+    "authoris": "authoriz", "cancelled": "canceled", "catalogue": "catalog", "categoris": "categoriz",
+    "colour": "color", "emphasis": "emphasiz", "favour": "favor", "fulfill": "fulfil", "initialis": "initializ",
+    "judgement": "judgment", "labour": "labor", "licence": "license", "maximis": "maximiz", "modelling": "modeling",
+    "optimis": "optimiz", "organis": "organiz", "programme": "program", "realis": "realiz", "recognis": "recogniz",
+    "utilis": "utiliz", "whilst": "while",
+}
 
 # A copyright line names its owner, so it differs between copies of one licence.
 COPYRIGHT_LINE = r"(?m)^[^\p{L}\p{N}\n]*(?:copyright|\(c\)|©)[^\n]*(?:\(c\)|©|\d{4})[^\n]*$|(?m)^[^\p{L}\p{N}\n]*all rights reserved\.?[^\p{L}\p{N}\n]*$"
@@ -38,9 +36,9 @@ def canonical_lines(text: Column) -> Column:
     plain = F.regexp_replace(F.lower(text), COPYRIGHT_LINE, "")
     plain = F.regexp_replace(plain, r"https?://", " ")
     plain = F.regexp_replace(plain, r"[^\p{L}\p{N}\n]+", " ")
-    for spelling, kept in SPELLINGS:
-        plain = F.regexp_replace(plain, spelling, kept)
-    return F.filter(F.transform(F.split(plain, "\n", -1), F.trim), lambda line: line != "")
+    for spelling, kept in SPELLINGS.items():
+        plain = F.replace(plain, F.lit(spelling), F.lit(kept))
+    return F.filter(F.transform(F.split(plain, "\n", -1), lambda line: F.trim(line)), lambda line: line != "")
 
 
 def digest_of(lines: Column) -> Column:
