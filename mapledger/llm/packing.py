@@ -166,8 +166,8 @@ def sum_of_squares(lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarr
     """The sequence and the offset of each of some lengths below ``size``, in the order given.
 
     ``open_count[g]`` is the number of open sequences with gap g. Putting a length s into one with gap g
-    changes the sum of squares by 2 * (open_count[g - s] - open_count[g]) + 2, or by less where the gap
-    becomes zero, as a full sequence is not open. A new sequence is begun only if the length fits no open
+    changes the sum of squares by 2 * (open_count[g - s] - open_count[g]) + 2, or by 1 - 2 * open_count[g]
+    where the gap becomes zero, as a full sequence is not open. A new sequence is begun only if the length fits no open
     one, as few sequences are the aim. Of equally good places the smallest gap is taken.
     """
     open_count = np.zeros(size + 1, np.int64)
@@ -175,9 +175,9 @@ def sum_of_squares(lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarr
     sequence, offset = np.empty(len(lengths), np.int64), np.empty(len(lengths), np.int64)
     made, never = 0, np.iinfo(np.int64).max
     for i, s in enumerate(lengths.tolist()):
-        held, becomes = open_count[s:size], open_count[: size - s].copy()
+        held, becomes = open_count[s:size], 2 * open_count[: size - s]
         becomes[0] = -1
-        at = int(np.where(held > 0, becomes - held, never).argmin())
+        at = int(np.where(held > 0, becomes - 2 * held, never).argmin())
         if held[at]:
             gap = s + at
             own = stacks[gap].pop()
