@@ -1 +1,107 @@
-ORACLES: dict[str, str] = {}
+"""DuckDB SQL of the queries that SQL can express."""
+
+from __future__ import annotations
+
+from .licence_texts import KNOWN
+from .licences import COPYRIGHT_LINE, SPELLINGS
+
+_ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+
+
+def _spans(kind: str, rank: int, pattern: str, group: int, least: int) -> str:
+    return f"""
+SELECT doc_id, row, '{kind}' AS kind, {rank} AS rank,
+       list_sum([length(g) for g in gaps[1:i]]) + coalesce(list_sum([length(m) for m in whole[1:i - 1]]), 0) AS a,
+       length(whole[i]) AS n
+FROM (SELECT *, unnest(range(1, len(whole) + 1)) AS i
+      FROM (SELECT doc_id, row, string_split_regex(t, '{pattern}') AS gaps, regexp_extract_all(t, '{pattern}') AS whole,
+                   regexp_extract_all(t, '{pattern}', {group}) AS part FROM d))
+WHERE length(part[i]) >= {least}"""
+
+
+# A run of at least so many characters is a maximal run that is long enough.
+SECRETS = f"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS row, coalesce(text, '') AS t FROM documents),
+s AS ({_spans('assign', 0, _ASSIGN, 2, 12)}
+UNION ALL {_spans('access', 1, 'AKIA[A-Z0-9]{14,}', 0, 18)}
+UNION ALL {_spans('hex', 2, '[0-9a-f]{16,}', 0, 16)}),
+g AS (SELECT row, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+             count(*) FILTER (kind = 'hex') AS n_hex,
+             string_agg(kind || ':' || a || ':' || (a + n), ',' ORDER BY a, rank) AS spans FROM s GROUP BY row)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN g USING (row)"""
+
+
+def _digit(i: int, j: int) -> str:
+    """The j-th base-32 digit of the i-th five hexadecimal digits."""
+    value = " + ".join(f"(strpos('0123456789abcdef', x[{5 * i + k + 1}]) - 1) * {16 ** (4 - k)}" for k in range(5))
+    return f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (({value}) // {32 ** (3 - j)}) % 32, 1)"
+
+
+CAPTURES = f"""
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS x FROM pages),
+r AS (SELECT *, max(page_id) OVER (PARTITION BY x) AS response FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
+       {' || '.join(_digit(i, j) for i in range(8) for j in range(4))} AS payload_digest,
+       CASE WHEN page_id = response THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> response THEN response END AS refers_to
+FROM r"""
+
+
+def _canonical(text: str) -> str:
+    """List of canonical lines of a text expression."""
+    plain = f"regexp_replace(lower({text}), '{COPYRIGHT_LINE}', '', 'g')"
+    plain = f"regexp_replace({plain}, 'https?://', ' ', 'g')"
+    plain = f"regexp_replace({plain}, '[^\\p{{L}}\\p{{N}}\\n]+', ' ', 'g')"
+    for old, new in SPELLINGS.items():
+        plain = f"replace({plain}, '{old}', '{new}')"
+    return f"[trim(l) for l in string_split({plain}, chr(10)) if trim(l) <> '']"
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+LICENCES = f"""
+WITH k AS (SELECT min(name) AS licence, sha256(array_to_string(lines, ' ')) AS digest
+           FROM (SELECT name, {_canonical('words')} AS lines
+                 FROM (VALUES {', '.join(f'({_quoted(n)}, {_quoted(t)})' for n, t in KNOWN.items())}) v(name, words))
+           GROUP BY digest),
+d AS (SELECT doc_id, row_number() OVER () AS row, {_canonical("coalesce(text, '')")} AS lines FROM documents),
+n AS (SELECT row, string_agg(DISTINCT licence, ',' ORDER BY licence) AS notices
+      FROM (SELECT row, unnest(lines) AS line FROM d) JOIN k ON k.digest = sha256(line) GROUP BY row),
+w AS (SELECT doc_id, row, sha256(array_to_string(lines, ' ')) AS digest FROM d)
+SELECT w.doc_id, w.digest AS licence_digest, k.licence, coalesce(n.notices, '') AS notices
+FROM w LEFT JOIN k ON k.digest = w.digest LEFT JOIN n USING (row)"""
+
+
+def _shingles(table: str, key: str) -> str:
+    return f"""
+SELECT DISTINCT {key}, row, array_to_string(w[i:i + 4], ' ') AS s
+FROM (SELECT *, unnest(range(1, len(w) - 3)) AS i
+      FROM (SELECT {key}, row_number() OVER () AS row, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+') AS w
+            FROM {table} WHERE text IS NOT NULL))"""
+
+
+CONTAMINATION = f"""
+WITH d AS ({_shingles('documents', 'doc_id')}), i AS ({_shingles('benchmark', 'item_id')}),
+n AS (SELECT row, count(*) AS shingles FROM i GROUP BY row)
+SELECT d.doc_id, i.item_id, n.shingles, count(*) AS held
+FROM d JOIN i USING (s) JOIN n ON n.row = i.row
+GROUP BY d.doc_id, d.row, i.item_id, i.row, n.shingles
+HAVING count(*) >= ceil(n.shingles * 0.8 - 1e-9)"""
+
+TOP_K = """
+WITH v AS (SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) for x in embedding] AS v FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+             AND len([x for x in embedding if x IS NOT NULL AND isfinite(x)]) = len(embedding)),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+      FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score
+FROM s WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 5"""
+
+ORACLES: dict[str, str] = {
+    "op1_secret_scan": SECRETS, "op3_warc": CAPTURES, "op5_licences": LICENCES, "op6_decontamination": CONTAMINATION,
+    "op9_topk": TOP_K,
+}
