@@ -39,9 +39,7 @@ CLOSED_BY_SAME = {
     "td": ("td th", "tr table"), "th": ("td th", "tr table"), "option": ("option", "select"),
 }
 # Elements and words in class, id or role that are no part of an article.
-ASIDE_TAGS = frozenset(
-    "nav footer aside form script style button select dialog menu head object audio video canvas".split()
-) | RAW - {"textarea"} | {"textarea"}
+ASIDE_TAGS = RAW | frozenset("nav footer aside form button select dialog menu head object audio video canvas".split())
 ASIDE_WORDS = frozenset(
     "ad ads adv advert advertisement advertising sponsor sponsored promo promotion banner breadcrumb breadcrumbs comment "
     "comments disqus cookie cookies consent gdpr footer header masthead menu nav navbar navigation newsletter notice notices "
@@ -49,6 +47,9 @@ ASIDE_WORDS = frozenset(
     "widget complementary contentinfo navigation search alert reply replies respond".split()
 )
 
+# An article element may be a reader's comment.
+_MARKED_ARTICLE = frozenset("comment comments reply replies".split())
+
 _TOKEN = re.compile(
     r"<!--(?:.*?--!?>|.*)|<!\[CDATA\[(?P<data>.*?)\]\]>|<[!?][^>]*>"
     r"|<(?P<end>/?)(?P<tag>[A-Za-z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S
@@ -59,34 +60,42 @@ _MAIN = frozenset(("article", "main"))
 
 
 def _aside(tag: str, rest: str, in_main: bool) -> bool:
-    """Whether an element is by its markup no part of an article. The header of an article holds its title."""
+    """Whether an element is by its markup no part of an article. The header of an article holds its title,
+    and names such as ``has-sidebar`` tell of something else inside the element."""
     if tag in ASIDE_TAGS or (tag == "header" and not in_main):
         return True
-    if "=" not in rest or tag in ("html", "body", "article", "main"):
+    if tag in ("html", "body", "article", "main"):
+        tag, words = "", _MARKED_ARTICLE
+    else:
+        words = ASIDE_WORDS - {"header"} if in_main else ASIDE_WORDS
+    if not rest.strip(" /"):
         return False
     for names in _NAMES.findall(rest):
-        if not ASIDE_WORDS.isdisjoint(re.split(r"[^a-z0-9]+", "".join(names).lower())):
-            return True
-    return bool(re.search(r"(?:^|\s)(?:hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true)", rest, re.I))
+        for name in "".join(names).lower().split():
+            parts = re.split(r"[^a-z0-9]+", name)
+            if parts[0] not in ("has", "with", "no") and not words.isdisjoint(parts):
+                return True
+    return bool(tag and re.search(r"(?:^|\s)(?:hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true)", rest, re.I))
 
 
 class _Page:
-    """What is open while a page is read: (tag, is left out, in main, begin of its text, begin of its shape)."""
+    """What is open while a page is read: (tag, is left out, in main, first block)."""
 
     def __init__(self, html: str):
         self.open: list[tuple[str, bool, bool, int]] = []
         self.parts: list[str] = []
         self.blocks: list[list] = []  # text, in main
-        self.shape: list[str] = []
         self.subtrees: list[tuple[int, int, int]] = []  # hash, first block, block behind the last
         self.read(html)
 
+    def first_skipped(self) -> int:
+        return next(i for i, entry in enumerate(self.open) if entry[1])
+
     def flush(self) -> None:
         text = _SPACE.sub(" ", "".join(self.parts)).strip()
         self.parts = []
         if text:
             self.blocks.append([text, bool(self.open) and self.open[-1][2]])
-            self.shape.append(text)
 
     def text(self, raw: str) -> None:
         if raw and not (self.open and self.open[-1][1]):
@@ -105,10 +114,11 @@ class _Page:
         if tag in VOID:
             return
         skipped, in_main = (self.open[-1][1], self.open[-1][2]) if self.open else (False, False)
+        # Some sites put the whole page into one form: an article in it counts.
+        if skipped and tag in _MAIN and not in_main:
+            skipped = any(left_out and name != "form" for name, left_out, *_ in self.open[: self.first_skipped() + 1])
         skipped = skipped or _aside(tag, rest, in_main)
         self.open.append((tag, skipped, in_main or (tag in _MAIN and not skipped), len(self.blocks)))
-        if tag not in INLINE:
-            self.shape.append(f"<{tag} {len(self.open)}")
 
     def pop(self) -> None:
         if self.open[-1][0] not in INLINE:

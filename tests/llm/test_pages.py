@@ -51,6 +51,8 @@ TEXTS = [
     ("<main><header><h1>Title</h1></header><p>a<!-- <p>no</p> -->b</p><aside>side</aside><form><p>mail</p></form><section id=comments><p>me too</p></section></main>", "Title\n\nab"),
     ("<header>top</header><div id='content'><ul><li>x<li>y</ul><table><tr><td>1<td>2</table></div><div class='cookie-notice'>ok?</div>", "x\n\ny\n\n1\n\n2"),
     ("<article><p>5 &lt; 6 & 7 > 3</p><pre>a\n\tb</pre><p hidden>no</p></article>", "5 < 6 & 7 > 3\n\na b"),
+    ("<body class=has-sidebar><form><input><main class='with-ads'><p>in a form</p><article class=comment>no</article></main></form>", "in a form"),
+    ("<article><div class=article-header><h1>T</h1></div><p>a</p><div class='post-footer share'>s</div></article><div class=comments><article>c</article></div>", "T\n\na"),
     ("<article><p title='a>b'>q</p><p>un<i>cl</i>osed", "q\n\nunclosed"),
 ]
 
