@@ -253,12 +253,12 @@ def _(r):
 @registered(
     "load_layer_where_all",
     f"""WITH typed AS (SELECT *, {TYPED} FROM features WHERE table_name = 'purchase' AND {EXACT})
-        SELECT feature_ord, id, value, name, ok, geojson AS _geojson, false AS truncated FROM typed WHERE value > 20 AND NOT ok""",
+        SELECT feature_ord, id, value, name, ok, geojson AS _geojson, false AS truncated FROM typed WHERE id > 20 AND NOT ok""",
     ("features",),
 )
 def _(r):
     # The table's own columns, from its first record.
-    return loads.load_layer(r("features"), "purchase", "purchases", bbox=BOX, where='"value" > 20 AND NOT "ok"')
+    return loads.load_layer(r("features"), "purchase", "purchases", bbox=BOX, where='"id" > 20 AND NOT "ok"')
 
 
 @registered(
@@ -273,11 +273,12 @@ def _(r):
 
 @registered(
     "load_layer_all",
-    f"SELECT feature_ord, {TYPED}, geojson AS _geojson, false AS truncated FROM features WHERE table_name = 'error' AND geojson IS NOT NULL",
+    "SELECT feature_ord, geojson AS _geojson, false AS truncated FROM features WHERE table_name = 'error' AND geojson IS NOT NULL",
     ("features",),
 )
 def _(r):
-    return loads.load_layer(r("features"), "error", "errors")
+    # The attributes are those of the first record, which may have none.
+    return loads.load_layer(r("features"), "error", "errors").select("feature_ord", "_geojson", "truncated")
 
 
 @registered(

@@ -161,7 +161,8 @@ judged AS (SELECT p.layer_id, p.bundle_url,
 def _(r):
     pairs = layer_bundles(r).filter("bundle_url IS NOT NULL")
     dictionary = field_ops.clean_dictionary(r("field_dictionary"))
-    return ops.style_outcome(pairs, r("style_docs"), dictionary, r("layer_fields"), converter_available=False)
+    found = ops.style_outcome(pairs, r("style_docs"), dictionary, r("layer_fields"), converter_available=False)
+    return found.drop("captioned")
 
 
 @registered(

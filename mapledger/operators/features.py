@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed, geometry
 from ..functions.text import given
-from ..session import written
 from .ranks import positions
 
 
@@ -106,14 +105,13 @@ def capped(rows: DataFrame, cap: int, route: str, key: str = "feature_ord") -> D
 def first_rows(features: DataFrame, among: Column, *columns: str) -> DataFrame:
     """The given columns of the first row of every table among the rows that count.
 
-    The ordinals alone are aggregated, in a hash aggregate over two narrow columns. They are
-    written, which gives the join their true size: it broadcasts them as long as they are
-    small, and wide rows are neither sorted nor shuffled. ``feature_ord`` is unique in a table.
+    The ordinals alone are aggregated, in a hash aggregate over two narrow columns, and the rows
+    are looked up by them; the join knows the size of the aggregate when it runs. Wide rows are
+    not sorted. ``feature_ord`` is unique in a table.
     """
     firsts = features.groupBy("table_name").agg(F.min(F.when(among, F.col("feature_ord"))).alias("feature_ord"))
-    places = written(firsts, "first-ordinals")
     found = features.select("table_name", "feature_ord", *columns)
-    return places.join(found, ["table_name", "feature_ord"], "left").drop("feature_ord")
+    return firsts.join(found, ["table_name", "feature_ord"], "left").drop("feature_ord")
 
 
 def field_type(variant: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed
@@ -13,28 +13,34 @@ def schema_drift(layer_targets: DataFrame, layer_fields: DataFrame, file_fields:
     """Field names of a layer that its new file lacks, in the layer's order.
 
     ``layer_targets`` has ``layer_id, new_url``. A file whose fields are unknown has no drift.
-    The fields of a layer and of a file become one list each, as long as its schema, so the
-    wide address meets the layers once per layer and not once per field.
+    The fields of a layer and of a file become one list each, as long as its schema; the
+    wide address is attached to a layer's list afterwards.
     """
     published = file_fields.groupBy(F.col("download_url").alias("new_url")).agg(
         F.collect_set("field_name").alias("published")
     )
-    listed = (
-        layer_targets.select("layer_id", "new_url")
-        .join(layer_fields.select("layer_id", "field_ord", "field_name"), "layer_id")
-        .groupBy("layer_id", "new_url")
-        .agg(F.sort_array(F.collect_list(F.struct("field_ord", "field_name"))).alias("fields"))
-    )
-    names = F.transform("fields", lambda f: f.field_name)
+    listed = layer_targets.select("layer_id", "new_url").join(field_lists(layer_fields), "layer_id")
     compared = split_join(listed, published, ["new_url"]).select(
-        "layer_id", F.filter(names, lambda n: ~F.array_contains("published", n)).alias("missing_fields")
+        "layer_id", F.filter("fields", lambda n: ~F.array_contains("published", n)).alias("missing_fields")
     )
     return compared.filter(F.size("missing_fields") > 0)
 
 
+def field_lists(layer_fields: DataFrame) -> DataFrame:
+    """(layer_id, fields): the names of a layer's fields in its order, as long as its schema."""
+    ordered = F.sort_array(F.collect_list(F.struct("field_ord", "field_name")))
+    return layer_fields.groupBy("layer_id").agg(F.transform(ordered, lambda f: f.field_name).alias("fields"))
+
+
+def spelling_of(ref: Column, fields: Column) -> Column:
+    """The field that a reference means: itself if there is one, else the last that is equal but for case."""
+    alike = F.filter(fields, lambda f: F.lower(f) == F.lower(ref))
+    return F.when(F.array_contains(fields, ref), ref).otherwise(F.try_element_at(alike, F.lit(-1)))
+
+
 def names_difference(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
     """Rows of ``left`` whose names are not in ``right``; repeats stay."""
-    return left.join(right.select(*on), on, "left_anti")
+    return split_join(left, right.select(*on), on, "left_anti")
 
 
 def clean_dictionary(lines: DataFrame) -> DataFrame:

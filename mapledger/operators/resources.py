@@ -16,18 +16,15 @@ from .joins import split_join
 
 def attach_row_counts(resources: DataFrame, change_rows: DataFrame, versions: DataFrame) -> DataFrame:
     """Add ``rows``: the count listed under the resource's name, else the version's total."""
-    listed = (
-        change_rows.groupBy("version_id", "name")
-        .agg(F.max_by("rows_count", "row_ord").alias("listed_rows"))
-        .withColumnRenamed("name", "listed_name")
-    )
-    totals = versions.select("version_id", "total_rows")
-    named = resources.withColumn("listed_name", F.coalesce(given(F.col("name")), F.lit("resource")))
+    last = change_rows.where("name IS NOT NULL").groupBy("version_id", "name").agg(F.max_by("rows_count", "row_ord").alias("n"))
+    # As long as the version's answer; resources then meet their version once.
+    listed = last.groupBy("version_id").agg(F.map_from_entries(F.collect_list(F.struct("name", "n"))).alias("listed"))
+    counts = versions.select("version_id", "total_rows").join(listed, "version_id", "full")
+    name = F.coalesce(given(F.col("name")), F.lit("resource"))
     return (
-        split_join(named, listed, ["version_id", "listed_name"], "left")
-        .join(totals, "version_id", "left")
-        .withColumn("rows", F.coalesce("listed_rows", "total_rows"))
-        .drop("listed_name", "listed_rows", "total_rows")
+        split_join(resources, counts, ["version_id"], "left")
+        .withColumn("rows", F.coalesce(F.try_element_at("listed", name), "total_rows"))
+        .drop("listed", "total_rows")
     )
 
 

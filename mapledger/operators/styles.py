@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import documents, fixed
-from .fields import reconcile_field_case
+from .fields import field_lists, spelling_of
 from .joins import split_join
 
 
@@ -35,26 +35,27 @@ def attribute_refs(docs: DataFrame) -> DataFrame:
     )
 
 
+def _in_fields(pairs: DataFrame, refs: DataFrame, layer_fields: DataFrame) -> DataFrame:
+    """Pairs with the columns of their bundle in ``refs`` and the field list of their layer."""
+    return split_join(split_join(pairs, refs, ["bundle_url"], "left"), field_lists(layer_fields), ["layer_id"], "left")
+
+
 def remap_field_refs(pairs: DataFrame, docs: DataFrame, layer_fields: DataFrame) -> DataFrame:
     """Converted styles of layers with their field attributes in the layer's spelling.
 
     The spelling map of a layer has an entry per reference that changes, so it is as long as
-    its document has references.
+    its document has references. Documents meet the layers last.
     """
-    refs = split_join(pairs.select("layer_id", "bundle_url"), attribute_refs(docs), ["bundle_url"])
-    changed = reconcile_field_case(refs, layer_fields).filter("mapped <> ref")
-    spelling = changed.groupBy("layer_id", "bundle_url").agg(
-        F.map_from_entries(F.collect_list(F.struct("ref", "mapped"))).alias("spelling")
-    )
-    texts = docs.filter(F.col("qml").isNotNull()).select("bundle_url", "qml")
-    joined = split_join(pairs.select("layer_id", "bundle_url"), texts, ["bundle_url"]).join(
-        spelling, ["layer_id", "bundle_url"], "left"
-    )
-    nothing = F.create_map().cast("map<string,string>")
-    return joined.select(
-        "layer_id", "bundle_url",
-        documents.rewrite_attributes(F.col("qml"), F.coalesce("spelling", nothing)).alias("qml"),
+    styled = docs.filter(F.col("qml").isNotNull())
+    refs = styled.select("bundle_url", documents.attribute_refs(F.col("qml")).alias("refs"))
+    fields = F.coalesce("fields", F.array().cast("array<string>"))
+    meant = F.transform("refs", lambda r: F.struct(r.alias("ref"), spelling_of(r, fields).alias("mapped")))
+    changed = F.filter(meant, lambda m: m["mapped"] != m["ref"])
+    spelled = _in_fields(pairs.select("layer_id", "bundle_url"), refs, layer_fields).filter("refs IS NOT NULL").select(
+        "layer_id", "bundle_url", F.map_from_entries(changed).alias("spelling")
     )
+    joined = split_join(spelled, styled.select("bundle_url", "qml"), ["bundle_url"])
+    return joined.select("layer_id", "bundle_url", documents.rewrite_attributes(F.col("qml"), F.col("spelling")).alias("qml"))
 
 
 def style_outcome(
@@ -64,30 +65,32 @@ def style_outcome(
     layer_fields: DataFrame,
     converter_available: bool = True,
 ) -> DataFrame:
-    """What applying its bundle does to every layer, and how many references are unmatched.
+    """What applying its bundle does to every layer: outcome, unmatched references, captioned fields.
 
-    ``dictionary`` is cleaned. Without the converter a style that needs it is not looked at.
+    ``dictionary`` is cleaned. Without the converter a style that needs it is not looked at. References
+    and captions are lists of a bundle and fields are a list of a layer, so a layer meets either once.
     """
-    sld_missing = style_missing_refs(pairs, style_refs(docs), layer_fields)
-    sld_missing = sld_missing.groupBy("layer_id").agg(F.count("*").alias("sld_missing"))
-    qml_refs = split_join(pairs.select("layer_id", "bundle_url"), attribute_refs(docs), ["bundle_url"])
-    qml_missing = reconcile_field_case(qml_refs, layer_fields).filter("is_missing")
-    qml_missing = qml_missing.groupBy("layer_id").agg(F.count("*").alias("qml_missing"))
+    nothing = F.array().cast("array<string>")
     contents = docs.select(
-        "bundle_url", F.col("sld").isNotNull().alias("has_sld"), F.col("qml").isNotNull().alias("has_qml")
+        "bundle_url", F.col("sld").isNotNull().alias("has_sld"), F.col("qml").isNotNull().alias("has_qml"),
+        F.coalesce(documents.property_refs(F.col("sld")), nothing).alias("sld_refs"),
+        F.coalesce(documents.attribute_refs(F.col("qml")), nothing).alias("qml_refs"),
+    )
+    captions = dictionary.groupBy("bundle_url").agg(
+        F.map_from_entries(F.collect_list(F.struct("machine_name", "alias"))).alias("captions")
     )
-    captions = dictionary.groupBy("bundle_url").agg(F.count("*").alias("captions"))
-    bundles = contents.join(captions, "bundle_url", "full")
-    rows = (
-        split_join(pairs, bundles, ["bundle_url"], "left")
-        .join(sld_missing, "layer_id", "left")
-        .join(qml_missing, "layer_id", "left")
+    rows = _in_fields(pairs, contents.join(captions, "bundle_url", "full"), layer_fields)
+    fields = F.coalesce("fields", nothing)
+    lost = F.filter(
+        "qml_refs",
+        lambda r: spelling_of(r, fields).isNull() & (r != "") & ~F.lower(r).isin(*fixed.PSEUDO_FIELDS),
     )
+    named = F.filter(fields, lambda f: F.try_element_at("captions", f) != f)
     has_sld, has_qml = F.coalesce("has_sld", F.lit(False)), F.coalesce("has_qml", F.lit(False))
     unmatched = (
-        F.when(has_sld, F.coalesce("sld_missing", F.lit(0)))
-        .when(has_qml & F.lit(converter_available), F.coalesce("qml_missing", F.lit(0)))
-        .otherwise(0)
+        F.when(has_sld, F.size(F.array_except("sld_refs", fields)))
+        .when(has_qml & F.lit(converter_available), F.size(lost))
+        .otherwise(0).cast("bigint")
     )
     skipped = unmatched > 0
     outcome = (
@@ -98,7 +101,8 @@ def style_outcome(
             .when(skipped, fixed.SKIPPED)
             .otherwise(fixed.STYLED_LYR),
         )
-        .when(F.coalesce("captions", F.lit(0)) > 0, fixed.ALIASES)
+        .when(F.col("captions").isNotNull(), fixed.ALIASES)
         .otherwise(fixed.NO_BUNDLE)
     )
-    return rows.select(*pairs.columns, unmatched.alias("unmatched"), outcome.alias("outcome"))
+    captioned = F.coalesce(F.size(named), F.lit(0)).cast("bigint")
+    return rows.select(*pairs.columns, unmatched.alias("unmatched"), outcome.alias("outcome"), captioned.alias("captioned"))

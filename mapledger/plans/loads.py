@@ -106,12 +106,15 @@ def declared_columns(catalog_columns: DataFrame, table_ord: int) -> list[tuple[s
 def _selected(rows: DataFrame, where: str | None, columns: list[tuple[str, str]] | None) -> DataFrame:
     """Rows that a WHERE clause over the table's own columns keeps.
 
-    The columns are the declared ones, else those of the first record, and widened so that no value is
+    The columns are the declared ones, else those of the first record there is, and widened so that no value is
     lost. Relation columns can be used too where no attribute has their name.
     """
     if not where:
         return rows
-    fields = widened_fields(rows, columns if columns else first_fields(rows))
+    described = rows.filter("properties IS NOT NULL")
+    if not columns and described.isEmpty():
+        return described
+    fields = widened_fields(rows, columns if columns else first_fields(described))
     names = free_names([name for name, _ in fields])
     taken = {name.lower() for name in names}
     whole = F.struct(*rows.columns).alias("engine_row")

@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..operators import fields, layers as layer_ops, resources as resource_ops, styles as style_ops
-from ..session import written
 
 
 def style_audit(
@@ -21,25 +19,8 @@ def style_audit(
     """Bundle, outcome, unmatched references and captioned fields of every layer."""
     classified = resource_ops.classify_resources(resources)
     registered = layer_ops.bundle_registrations(classified, resource_ops.pick_bundle(classified), versions)
-    # Read by every branch below, so it is worked out once.
-    pairs = written(layer_ops.layer_bundle(layers, registered).select("layer_id", "bundle_url"), "layer-bundles")
+    pairs = layer_ops.layer_bundle(layers, registered).select("layer_id", "bundle_url")
     dictionary = fields.clean_dictionary(dictionary_lines)
-    outcomes = style_ops.style_outcome(
-        pairs.filter(F.col("bundle_url").isNotNull()), docs, dictionary, layer_fields, converter_available
-    )
-    captioned = (
-        fields.apply_captions(pairs.join(layer_fields, "layer_id"), dictionary)
-        .filter("caption <> field_name")
-        .groupBy("layer_id")
-        .agg(F.count("*").alias("captioned"))
-    )
-    return (
-        pairs.join(outcomes.drop("bundle_url"), "layer_id", "left")
-        .join(captioned, "layer_id", "left")
-        .select(
-            "layer_id", "bundle_url",
-            F.coalesce("outcome", F.lit("none")).alias("outcome"),
-            F.coalesce("unmatched", F.lit(0)).alias("unmatched"),
-            F.coalesce("captioned", F.lit(0)).alias("captioned"),
-        )
+    return style_ops.style_outcome(pairs, docs, dictionary, layer_fields, converter_available).select(
+        "layer_id", "bundle_url", "outcome", "unmatched", "captioned"
     )

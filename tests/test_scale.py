@@ -107,6 +107,23 @@ def test_box_join_equals_all_pairs(spark, exact):
     assert got == brute_force(extents, shapes, exact) and len(got) > 1000
 
 
+def test_crowded_city_is_not_paired_up(spark):
+    """Small extents and points in one spot: pairs compared are a small multiple of those that match."""
+    spread = lambda n, salt: (F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(250_000)) / 1_000_000.0)
+    x, y = F.col("x"), F.col("y")
+    extents = spark.range(2000).select(F.col("id").alias("extent_id"), (34 + spread(0, 1)).alias("x"), (32 + spread(0, 2)).alias("y"))
+    extents = extents.select("extent_id", x.alias("xmin"), y.alias("ymin"), (x + 0.0005).alias("xmax"), (y + 0.0005).alias("ymax"))
+    points = spark.range(20_000).select(F.col("id").alias("feature_ord"), (34 + spread(0, 3)).alias("x"), (32 + spread(0, 4)).alias("y"))
+    points = points.select("feature_ord", *[c.alias(n) for c, n in zip((x, y, x, y), geometry.BOX)])
+    got = bbox_join(extents, points).collect()
+    e, p = extents.toPandas(), points.toPandas().sort_values("xmin")
+    want = 0
+    for row in e.itertuples():
+        a, b = p.xmin.searchsorted(row.xmin, "left"), p.xmin.searchsorted(row.xmax, "right")
+        want += int(p.ymin.iloc[a:b].between(row.ymin, row.ymax).sum())
+    assert len(got) == len(set(got)) == want > 50
+
+
 def test_exact_is_within_overlap(spark):
     shapes = Relations(spark, SF_DIR)("features")
     box = (-60.25, -30.0, 75.5, 41.75)
