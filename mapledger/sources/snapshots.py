@@ -38,10 +38,9 @@ def file_field_names(spark: SparkSession, path: str, sep: str = ",") -> DataFram
         F.col("_metadata.file_block_start").alias("start"), "value", F.monotonically_increasing_id().alias("place"),
     )
     firsts = heads.filter("start = 0").groupBy("file", "file_name").agg(F.min_by("value", "place").alias("header"))
-    names = F.split(F.regexp_replace("header", "^\ufeff", ""), F.lit(rf"{sep}(?=(?:[^\"]*\"[^\"]*\")*[^\"]*$)"), -1)
-    rows = firsts.select("file_name", F.posexplode(names).alias("field_ord", "name"))
-    bare = F.regexp_replace(F.regexp_replace(F.trim("name"), '^"|"$', ""), '""', '"')
-    return rows.select("file_name", F.col("field_ord").cast("bigint").alias("field_ord"), bare.alias("field_name"))
+    names = _cells(F.regexp_replace("header", "\\A\ufeff", ""), sep)
+    rows = firsts.select("file_name", F.posexplode(names).alias("field_ord", "field_name"))
+    return rows.withColumn("field_ord", F.col("field_ord").cast("bigint"))
 
 
 def read_resource(spark: SparkSession, path: str, ext: str, multi_line: bool = False) -> DataFrame:
@@ -62,29 +61,34 @@ def read_resource(spark: SparkSession, path: str, ext: str, multi_line: bool = F
     raise ValueError(f"no reader for extension {ext!r}")
 
 
+# What stands outside quotes: an even number of them follows.
+_OUTSIDE = r'(?=(?:[^"]*"[^"]*")*[^"]*$)'
+
+
+def _cells(line: Column, sep: str = ",") -> Column:
+    """The cells of a delimited line, without their quotes."""
+    cells = F.split(line, sep + _OUTSIDE, -1)
+    return F.transform(cells, lambda c: F.regexp_replace(F.regexp_replace(c, r'\A\s*"|"\s*\z', ""), '""', '"'))
+
+
 def field_dictionary_lines(files: DataFrame) -> DataFrame:
     """Lines of field dictionaries with ``bundle_url, content`` (the file's bytes).
 
-    A dictionary has a line per field of one layer, so a file is read at a time: quoted line
+    A dictionary has a line per field of one layer, so a file is taken apart at a time: quoted line
     breaks, a byte order mark and any order of columns are allowed.
     """
-
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import csv
-        import io
-
-        for batch in batches:
-            rows = [
-                (url, number, row.get("machine_name"), row.get("hebrew_alias"))
-                for url, content in zip(batch["bundle_url"], batch["content"])
-                for number, row in enumerate(
-                    csv.DictReader(io.StringIO(bytes(content).decode("utf-8-sig", "replace"))), 1
-                )
-            ]
-            yield pd.DataFrame(rows, columns=["bundle_url", "line_no", "machine_name", "alias"])
-
-    return files.select("bundle_url", "content").mapInPandas(
-        parse, "bundle_url STRING, line_no BIGINT, machine_name STRING, alias STRING"
+    text = F.regexp_replace(F.make_valid_utf8(F.col("content").cast("string")), "\\A\ufeff", "")
+    lines = F.filter(F.split(text, r"\r?\n" + _OUTSIDE, -1), lambda line: line != "")
+    parsed = files.select("bundle_url", F.transform(lines, lambda line: _cells(line)).alias("rows"))
+    rows = parsed.select("bundle_url", F.try_element_at("rows", F.lit(1)).alias("head"), F.posexplode("rows").alias("line_no", "cells"))
+
+    def cell(name: str) -> Column:
+        place = F.array_position("head", name)
+        return F.when(place > 0, F.try_element_at("cells", F.greatest(place, F.lit(1)).cast("int")))
+
+    return rows.filter("line_no > 0").select(
+        "bundle_url", F.col("line_no").cast("bigint").alias("line_no"),
+        cell("machine_name").alias("machine_name"), cell("hebrew_alias").alias("alias"),
     )
 
 
