@@ -42,15 +42,16 @@ class Rule:
         return f"(?i){self.pattern}" if self.any_case else self.pattern
 
 
-# The three base rules.
+# The three base rules. A run that is long enough is the whole run there is, so rules whose length
+# is that of the match ask for it in the expression, and the many short runs of hex digits in words are no matches.
 RULES = (
     Rule(
         "assign",
         r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
         2, 12, True,
     ),
-    Rule("access", r"AKIA[A-Z0-9]+", 0, 18),
-    Rule("hex", r"[0-9a-f]+", 0, 16),
+    Rule("access", r"AKIA[A-Z0-9]{14,}", 0, 18),
+    Rule("hex", r"[0-9a-f]{16,}", 0, 16),
 )
 
 
