@@ -176,20 +176,27 @@ def held_out(doc_id: Column | str = "doc_id") -> Column:
 def fit_toxicity(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     """Train on labelled rows that are not held out.
 
-    The sample is bounded: per class, the texts whose hash of id and text is smallest, up to SAMPLE_TOXIC
-    and SAMPLE_ORDINARY. Two thirds of it train the dictionaries and the rest sets the weights. Label rows
+    The sample is bounded: per class, the documents whose id has the smallest hash, up to SAMPLE_TOXIC and
+    SAMPLE_ORDINARY. Two thirds of it train the dictionaries and the rest sets the weights. Label rows
     with null toxic or doc_id are left out; a document labelled more than once is toxic if one label says
     so. Without texts of both classes the model is empty, and every score is 0.
     """
     marked = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
     marked = marked.groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
-    rows = docs.select("doc_id", utf8().alias("bytes")).where(~held_out()).join(marked, "doc_id")
-    rows = rows.select("toxic", "bytes", F.xxhash64("doc_id", "bytes").alias("mark"))
+    ids = marked.where(~held_out()).join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
+    mark = F.xxhash64("doc_id").alias("mark")
     taken = [
-        rows.where(F.col("toxic") == toxic).orderBy("mark").limit(most)
+        ids.where(F.col("toxic") == toxic).select("doc_id", "toxic", mark).orderBy("mark").limit(most)
         for toxic, most in ((1, SAMPLE_TOXIC), (0, SAMPLE_ORDINARY))
     ]
-    sample = written(taken[0].unionByName(taken[1]).repartition(16), "toxicity-sample")
+    # Ids are chosen first, by narrow columns; texts are read for at most SAMPLE_TOXIC + SAMPLE_ORDINARY of them.
+    chosen = written(taken[0].unionByName(taken[1]), "toxicity-ids")
+    rows = docs.select("doc_id", utf8().alias("bytes")).join(F.broadcast(chosen), "doc_id")
+    bounded = [
+        rows.where(F.col("toxic") == toxic).orderBy("mark", "bytes").limit(most)
+        for toxic, most in ((1, SAMPLE_TOXIC), (0, SAMPLE_ORDINARY))
+    ]
+    sample = written(bounded[0].unionByName(bounded[1]).repartition(16), "toxicity-sample")
     teaching = F.pmod(F.xxhash64("mark"), F.lit(3)) < 2
     sizes = {r["toxic"]: r["n"] for r in sample.where(teaching).groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if len(sizes) < 2:
