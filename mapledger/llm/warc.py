@@ -35,6 +35,8 @@ from .common import utf8
 
 # Captures of a shard and of a block of it, and bytes after which a task begins another archive.
 SHARD_LINES, BLOCK_LINES, ARCHIVE_BYTES = 50_000, 500, 1 << 30
+# Tasks that read records, for each shard there is.
+TASKS_PER_SHARD = 16
 
 CAPTURE = "key string, page_id {kind}, file string, offset long, length long"
 
@@ -257,7 +259,8 @@ def look_up(path: str, shards: DataFrame, keys: DataFrame) -> DataFrame:
     places = routed.repartition("shard").sortWithinPartitions("shard", "key").mapInArrow(
         locate, "shard string, at long, size long, key string"
     )
-    near = places.repartition("shard", "at").sortWithinPartitions("shard", "at", "key")
+    # The rows that name blocks are tiny next to the records behind them: tasks are counted by blocks, not by bytes.
+    near = places.repartition(max(1, TASKS_PER_SHARD * len(tops)), "shard", "at").sortWithinPartitions("shard", "at", "key")
     return near.mapInArrow(
         fetch, "page_id string, type string, digest string, size long, refers_to string, payload binary"
     )
