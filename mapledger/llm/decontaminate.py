@@ -81,9 +81,9 @@ def contained_items(
     nothing and are in nothing. Item and document keys may be null or repeated: each row is held by itself,
     and equal result rows of repeated rows stay. Empty tables give no rows. Other columns are not looked at.
     """
-    items = written(
-        benchmark.select(F.col(f"`{item}`").alias("name"), F.col(f"`{text}`").alias("text")).where("text is not null"), "items"
-    ).withColumn("item", F.monotonically_increasing_id())
+    # Numbers of rows are stored with them, so that no later plan can number them otherwise.
+    named = benchmark.select(F.col(f"`{item}`").alias("name"), F.col(f"`{text}`").alias("text")).where("text is not null")
+    items = written(named.withColumn("item", F.monotonically_increasing_id()), "items")
     sketch = written(sketches(items, share), "sketches")
     held = docs.sparkSession.sparkContext.broadcast(hash_filter(sketch.select("hash")))
 
@@ -106,8 +106,8 @@ def contained_items(
 
     kind = docs.schema[key].dataType.simpleString()
     plain = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text")).where("text is not null")
-    near = written(plain.mapInArrow(look_up, f"key {kind}, text string, hits array<long>"), "look-up")
-    near = near.withColumn("doc", F.monotonically_increasing_id())
+    near = plain.mapInArrow(look_up, f"key {kind}, text string, hits array<long>")
+    near = written(near.withColumn("doc", F.monotonically_increasing_id()), "look-up")
     hits = near.select("doc", F.explode("hits").alias("hash"))
     tallied = split_join(hits, sketch, ["hash"]).groupBy("doc", "item", "shingles", "needed").agg(F.count("*").alias("n"))
     candidates = tallied.where("n >= needed").select("doc", "item", "shingles")
