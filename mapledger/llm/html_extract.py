@@ -198,19 +198,22 @@ def main_text(pages: DataFrame, html: str = "html", url: str = "url", least_page
             found = [[{"text": t, "around": a} for t, a in parse(p)[0]] for p in batch.to_pylist()]
             yield pa.array(found, _BLOCKS)
 
-    rows = written(pages.select(whole, host.alias("host"), blocks(text_or_empty(F.col(f"`{html}`"))).alias("blocks")), "blocks")
-    rows = rows.withColumn("page", F.monotonically_increasing_id())
-    subtree = F.explode(F.array_distinct(F.flatten(F.transform("blocks", lambda b: b["around"]))))
-    seen = rows.select("page", "host", subtree.alias("subtree"))
+    parsed = pages.select(whole, host.alias("host"), blocks(text_or_empty(F.col(f"`{html}`"))).alias("blocks"))
+    subtrees = F.array_distinct(F.flatten(F.transform("blocks", lambda b: b["around"])))
+    rows = written(parsed.withColumns({"subtrees": subtrees, "page": F.monotonically_increasing_id()}), "blocks")
+    seen = rows.select("page", "host", F.explode("subtrees").alias("subtree"))
     counted = seen.groupBy("host", "subtree").agg(F.count("*").alias("n")).where(F.col("n") >= least_pages)
     sizes = rows.groupBy("host").agg(F.count("*").alias("pages"))
     template = split_join(counted, sizes, ["host"]).where(F.col("n") >= F.col("pages") * share).select("host", "subtree")
     drop = split_join(seen, template, ["host", "subtree"], "left_semi").groupBy("page").agg(F.collect_set("subtree").alias("drop"))
-    cleaned = split_join(rows, drop, ["page"], "left")
+    # Pages without a subtree in question, such as those with an article element, stay where they are.
+    rest = F.size("subtrees") > 0
+    cleaned = split_join(rows.where(rest), drop, ["page"], "left")
     left = F.when(F.col("drop").isNull(), F.col("blocks")).otherwise(
         F.filter("blocks", lambda b: ~F.arrays_overlap(b["around"], F.col("drop")))
     )
-    text = F.array_join(F.transform(left, lambda b: b["text"]), "\n\n")
+    cleaned = cleaned.withColumn("blocks", left).drop("drop").unionByName(rows.where(~rest))
+    text = F.array_join(F.transform("blocks", lambda b: b["text"]), "\n\n")
     return cleaned.select(*(F.col("row").getField(c).alias(c) for c in kept), text.alias("text"))
 
 
