@@ -37,6 +37,8 @@ GROUP_PIECES = 50_000
 # A space between two spaces is the one place where cutting before a space could change tokens.
 _UNSAFE = re.compile(r"\s \s")
 _CUT = re.compile(r"(?<=\S)(?= \S)")
+# A line break beside other white space; one between words, or at an end, is a part by itself.
+_BLANKS = re.compile(r"\s\n|\n\s")
 
 
 # A word of plain or accented Latin letters, perhaps after a space, and marks that no contraction begins with.
@@ -55,8 +57,8 @@ def byte_letters() -> dict[int, str]:
 class PartEncoder:
     """Ids of whole texts, put together from the ids of parts that the tokenizer never joins.
 
-    The tokenizer cuts a text before a single space that a word follows and a word precedes, whatever else
-    the text holds, so the parts' ids in turn are the text's. Texts with one of its special tokens, and
+    The tokenizer cuts a text before a single space that a word follows and a word precedes, and around a
+    single line break between words, so the parts' ids in turn are the text's. Texts with one of its special tokens, and
     parts of other texts that are not yet in the bounded store, go to the library as they are.
     """
 
@@ -96,32 +98,30 @@ class PartEncoder:
                     end = store[marks] = self.encode([marks])[0]
                 ids += end
             store[part] = ids
-        self.store.update(zip(others, self.encode(others), strict=True))
-
-    def ids(self, texts: list[str]) -> Iterator[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit numbers."""
-        for start in range(0, len(texts), 256):
-            yield from self.group(texts[start : start + 256])
+        if others:
+            self.store.update(zip(others, self.encode(others), strict=True))
 
     def parts(self, text: str) -> list[str]:
         if any(s in text for s in self.special):
             return [text]
-        if _UNSAFE.search(text):
+        if _UNSAFE.search(text) or "\0" in text:
             return _CUT.split(text)
-        first, *rest = text.split(" ")
-        return [first, *[" " + part for part in rest]] if first else [" " + part for part in rest]
-
-    def group(self, texts: list[str]) -> list[bytes]:
-        split = [self.parts(text) for text in texts]
-        wanted: set[str] = set()
-        for parts in split:
-            wanted.update(parts)
-        if len(self.store) + len(wanted) > STORE_PARTS:
-            self.store = {}
-        new = [part for part in wanted if part not in self.store]
-        self.learn(new)
-        known = self.store
-        return [b"".join(map(known.__getitem__, parts)) for parts in split]
+        if "\n" in text and not _BLANKS.search(text):
+            text = text.replace("\n", "\0\n\0")
+        return text.replace(" ", "\0 ").split("\0")
+
+    def ids(self, texts: list[str]) -> Iterator[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit numbers."""
+        store = self.store
+        for text in texts:
+            if len(store) > STORE_PARTS:
+                store.clear()
+            parts = self.parts(text)
+            found = list(map(store.get, parts))
+            if None in found:
+                self.learn([part for part, ids in dict(zip(parts, found, strict=True)).items() if ids is None])
+                found = list(map(store.__getitem__, parts))
+            yield b"".join(found)
 
 
 @cache
@@ -201,10 +201,10 @@ def pack_documents(
     An empty table gives no rows. ``tokenizer`` is a file that every executor can open.
 
     The pieces, without their ids, are written once to the shared folder, so a lost executor costs no second
-    tokenising, and their places there give each a number to be dealt to a group by.
+    tokenising; a number stored with each deals it to a group.
     """
-    pieces = written(token_pieces(docs, size, tokenizer or public_tokenizers.path(TOKENIZER)), "pieces")
-    pieces = pieces.withColumn("number", F.monotonically_increasing_id())
+    pieces = token_pieces(docs, size, tokenizer or public_tokenizers.path(TOKENIZER))
+    pieces = written(pieces.withColumn("number", F.monotonically_increasing_id()), "pieces")
     whole = F.col("length") == size
     full = pieces.where(whole).withColumns({"sequence_id": -1 - F.col("number"), "offset": F.lit(0).cast("long")})
     rest = pieces.where(~whole)
