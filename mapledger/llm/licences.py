@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mapledger.operators.joins import split_join
+from mapledger.session import written
 
 from .common import text_or_empty
 from .licence_texts import KNOWN
@@ -27,6 +28,9 @@ SPELLINGS = {
     "utilis": "utiliz", "whilst": "while",
 }
 
+# Hexadecimal digits of a line's digest that are looked up: 128 bits.
+MARK_DIGITS = 32
+
 # A copyright line names its owner, so it differs between copies of one licence.
 COPYRIGHT_LINE = r"(?m)^[^\p{L}\p{N}\n]*(?:copyright|\(c\)|©)[^\n]*(?:\(c\)|©|\d{4})[^\n]*$|(?m)^[^\p{L}\p{N}\n]*all rights reserved\.?[^\p{L}\p{N}\n]*$"
 
@@ -54,26 +58,30 @@ def known_licences(spark: SparkSession, texts: dict[str, str] = KNOWN) -> DataFr
     return digests.groupBy("digest").agg(F.min("licence").alias("licence"))
 
 
-def find_licences(docs: DataFrame, known: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with licence_digest, licence and notices.
+def find_licences(docs: DataFrame, known: DataFrame, text: str = "text", keep_text: bool = True) -> DataFrame:
+    """``docs``, with or without its texts, with licence_digest, licence and notices.
 
     ``licence`` is the known licence whose text the whole document is, else null. ``notices`` are the
     distinct names, sorted, of known texts that stand as a line of the document, empty if there are none.
     Null text counts as empty; a text without letters and digits has the digest of the empty text, which is
     no licence. Rows are kept one by one, repeated rows too. ``known`` has columns digest and licence, one
-    row per digest. Texts that are equal share one lookup of their lines.
+    row per digest. Lines are looked up by the first half of their digests.
     """
     known = known.where(F.col("digest") != F.sha2(F.lit(""), 256)).select("digest", "licence")
-    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
-    words = text_or_empty(F.col(f"`{text}`"))
-    rows = docs.select(whole, F.xxhash64(words).alias("at"), canonical_lines(words).alias("lines"))
-    rows = rows.withColumn("digest", digest_of(F.col("lines")))
-    single = rows.select("at", F.explode("lines").alias("line")).select("at", F.sha2("line", 256).alias("digest"))
-    notices = single.join(known, "digest").groupBy("at").agg(F.sort_array(F.collect_set("licence")).alias("notices"))
-    found = rows.drop("lines").join(known, "digest", "left")
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns if keep_text or c != text), F.lit(0).alias("engine_pad")).alias("row")
+    lines = docs.select(whole, canonical_lines(text_or_empty(F.col(f"`{text}`"))).alias("lines"))
+    marks = F.transform("lines", lambda line: F.substring(F.sha2(line, 256), 1, MARK_DIGITS))
+    # Canonical forms are made once; rows carry digests from here on, and a number of their own.
+    rows = lines.select("row", digest_of(F.col("lines")).alias("digest"), F.array_distinct(marks).alias("marks"))
+    rows = written(rows.withColumn("at", F.monotonically_increasing_id()), "licence-digests")
+    marked = known.select(F.substring("digest", 1, MARK_DIGITS).alias("mark"), "licence")
+    single = rows.select("at", F.explode("marks").alias("mark"))
+    notices = split_join(single, marked, ["mark"]).groupBy("at").agg(F.sort_array(F.collect_set("licence")).alias("notices"))
+    found = split_join(rows.drop("marks"), known, ["digest"], "left")
     found = split_join(found, notices, ["at"], "left")
+    kept = [c for c in docs.columns if keep_text or c != text]
     return found.select(
-        *(F.col("row").getField(c).alias(c) for c in docs.columns),
+        *(F.col("row").getField(c).alias(c) for c in kept),
         F.col("digest").alias("licence_digest"), "licence",
         F.coalesce("notices", F.array().cast("array<string>")).alias("notices"),
     )
@@ -81,5 +89,5 @@ def find_licences(docs: DataFrame, known: DataFrame, text: str = "text") -> Data
 
 def licence_report(docs: DataFrame) -> DataFrame:
     """Licence and notices of every whole text of ``documents``."""
-    found = find_licences(docs.select("doc_id", "text"), known_licences(docs.sparkSession))
+    found = find_licences(docs.select("doc_id", "text"), known_licences(docs.sparkSession), keep_text=False)
     return found.select("doc_id", "licence_digest", "licence", F.array_join("notices", ",").alias("notices"))
