@@ -2,9 +2,11 @@
 
 A task parses each page once into blocks of text with the hashes of the element subtrees around them.
 Spark counts on how many pages of a host each subtree occurs; subtrees on many pages are the site's
-template, and blocks inside them are taken out. What markup itself names as no part of an article (menus,
-headers, footers, asides, notices, adverts, forms, comments, scripts) is left out while parsing. Inside an
-article or main element only such markup is believed, as its paragraphs may well recur on other pages.
+template, and blocks inside them are taken out, on every page and inside and outside its article alike. What
+markup itself names as no part of an article (menus, headers, footers, asides, notices, adverts, forms,
+comments, scripts) is left out while parsing. Inside an article or main element only containers are counted,
+as its paragraphs, headings and rows may well recur on other pages, and no subtree around the whole of such
+an element is template.
 """
 
 from __future__ import annotations
@@ -47,6 +49,12 @@ ASIDE_WORDS = frozenset(
     "widget complementary contentinfo navigation search alert reply replies respond".split()
 )
 
+# Elements that, inside an article, are its own text and not a container that a site puts there.
+OWN_TEXT = frozenset(
+    "p h1 h2 h3 h4 h5 h6 pre blockquote li dt dd caption thead tbody tfoot tr td th figure figcaption details summary address "
+    "center".split()
+)
+
 # An article element may be a reader's comment.
 _MARKED_ARTICLE = frozenset("comment comments reply replies".split())
 
@@ -86,6 +94,7 @@ class _Page:
         self.parts: list[str] = []
         self.blocks: list[list] = []  # text, in main
         self.subtrees: list[tuple[int, int, int]] = []  # hash, first block, block behind the last
+        self.mains: list[tuple[int, int]] = []  # first block of an article or main element, block behind its last
         self.read(html)
 
     def first_skipped(self) -> int:
@@ -124,7 +133,11 @@ class _Page:
         if self.open[-1][0] not in INLINE:
             self.flush()
         tag, skipped, in_main, first = self.open.pop()
-        if tag not in INLINE and not skipped and not in_main and len(self.blocks) > first:
+        if tag in INLINE or skipped or len(self.blocks) == first:
+            return
+        if tag in _MAIN:
+            self.mains.append((first, len(self.blocks)))
+        elif not in_main or tag not in OWN_TEXT:
             own = "\n".join([tag, *(text for text, _ in self.blocks[first:])])
             digest = hashlib.blake2b(own.encode("utf-8", "replace"), digest_size=8).digest()
             self.subtrees.append((int.from_bytes(digest, "big", signed=True), first, len(self.blocks)))
@@ -164,16 +177,22 @@ class _Page:
 
 
 def parse(html: str) -> tuple[list[tuple[str, list[int]]], bool]:
-    """The blocks of a page in order, each with the hashes of the subtrees around it, and whether they are
-    of an article or main element; then blocks outside it are left out."""
+    """The blocks of a page in order, each with the hashes of the subtrees around it that may be template,
+    and whether the page has an article or main element."""
     page = _Page(html)
-    if any(in_main for _, in_main in page.blocks):
-        return [(text, []) for text, in_main in page.blocks if in_main], True
+    # For each block the least end of an article or main element that begins there or later.
+    least = [len(page.blocks) + 1] * (len(page.blocks) + 1)
+    for start, stop in page.mains:
+        least[start] = min(least[start], stop)
+    for at in range(len(page.blocks) - 1, -1, -1):
+        least[at] = min(least[at], least[at + 1])
     around: list[list[int]] = [[] for _ in page.blocks]
     for digest, first, end in page.subtrees:
+        if least[first] <= end:
+            continue
         for block in range(first, end):
             around[block].append(digest)
-    return [(text, hashes) for (text, _), hashes in zip(page.blocks, around, strict=True)], False
+    return [(text, hashes) for (text, _), hashes in zip(page.blocks, around, strict=True)], bool(page.mains)
 
 
 _BLOCKS = pa.list_(pa.struct([("text", pa.string()), ("around", pa.list_(pa.int64()))]))
@@ -182,8 +201,8 @@ _BLOCKS = pa.list_(pa.struct([("text", pa.string()), ("around", pa.list_(pa.int6
 def main_text(pages: DataFrame, html: str = "html", url: str = "url", least_pages: int = 3, share: float = 0.02) -> DataFrame:
     """``pages`` with ``text``, the main text, in place of ``html``.
 
-    A subtree is template if it occurs on ``least_pages`` pages of its host and on that ``share`` of them;
-    both are about pages without an article or main element. Blocks are joined by an empty line, white space
+    A subtree is template if it occurs on ``least_pages`` pages of its host and on that ``share`` of them.
+    Text outside an article or main element stays unless it is template or named as no part of an article. Blocks are joined by an empty line, white space
     inside a block is one space, character references are decoded. Null and empty pages, and pages of markup
     alone, have the empty text. Pages with a null url, or one without a host, count as one host. Repeated
     rows stay and count as pages. An input column called ``text`` is replaced.
@@ -206,7 +225,7 @@ def main_text(pages: DataFrame, html: str = "html", url: str = "url", least_page
     sizes = rows.groupBy("host").agg(F.count("*").alias("pages"))
     template = split_join(counted, sizes, ["host"]).where(F.col("n") >= F.col("pages") * share).select("host", "subtree")
     drop = split_join(seen, template, ["host", "subtree"], "left_semi").groupBy("page").agg(F.collect_set("subtree").alias("drop"))
-    # Pages without a subtree in question, such as those with an article element, stay where they are.
+    # Pages without a subtree in question, such as those of plain paragraphs in an article element, stay where they are.
     rest = F.size("subtrees") > 0
     cleaned = split_join(rows.where(rest), drop, ["page"], "left")
     left = F.when(F.col("drop").isNull(), F.col("blocks")).otherwise(

@@ -73,6 +73,19 @@ def test_site_templates(engine):
     assert got[40] == "Welcome to one\n\nLog in\n\nx" and got[41] == "y"
 
 
+def test_templates_around_and_inside_articles(engine):
+    """Counts decide inside and outside articles: containers on many pages go; paragraphs, other text outside an
+    article, and what holds a whole article, stay."""
+    page = "<div>Welcome</div><div><article><h1>T{i}</h1><div><p>Read our terms</p></div><p>Same words</p><p>story {i}</p></article></div><div>Added on day {i}</div>"
+    pages = [(i, f"https://one.org/{i}", page.format(i=i)) for i in range(6)]
+    pages += [(20 + i, f"https://two.org/{i}", f"<p>day {i}</p><main><div><p>all</p><p>of it</p></div></main>") for i in range(6)]
+    pages += [(40, "https://three.org/", page.format(i=1))]
+    got = {r.page_id: r.text for r in html_extract.main_text(engine.createDataFrame(pages, PAGES)).collect()}
+    assert got[3] == "T3\n\nSame words\n\nstory 3\n\nAdded on day 3"
+    assert got[25] == "day 5\n\nall\n\nof it"
+    assert got[40] == "Welcome\n\nT1\n\nRead our terms\n\nSame words\n\nstory 1\n\nAdded on day 1"
+
+
 def vectors(n: int, width: int) -> list[tuple]:
     rng = random.Random(8)
     rows = [(i, [round(rng.gauss(0, 0.3), 3) for _ in range(width)]) for i in range(n)]
