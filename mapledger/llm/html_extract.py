@@ -1,8 +1,8 @@
 """Main text of web pages, with site templates removed.
 
 A task parses each page once into blocks of text with the hashes of the element subtrees around them.
-Spark counts on how many pages of a host each subtree occurs; subtrees on many pages are the site's
-template, and blocks inside them are taken out, on every page and inside and outside its article alike. What
+Spark counts on how many pages of a host, of distinct main texts, each subtree occurs; subtrees on several are the
+site's template, and blocks inside them are taken out, on every page and inside and outside its article alike. What
 markup itself names as no part of an article (menus, headers, footers, asides, notices, adverts, forms,
 comments, scripts) is left out while parsing. Inside an article or main element only containers are counted,
 as its paragraphs, headings and rows may well recur on other pages, and no subtree around the whole of such
@@ -138,9 +138,7 @@ class _Page:
         if tag in _MAIN:
             self.mains.append((first, len(self.blocks)))
         elif not in_main or tag not in OWN_TEXT:
-            own = "\n".join([tag, *(text for text, _ in self.blocks[first:])])
-            digest = hashlib.blake2b(own.encode("utf-8", "replace"), digest_size=8).digest()
-            self.subtrees.append((int.from_bytes(digest, "big", signed=True), first, len(self.blocks)))
+            self.subtrees.append((_digest([tag, *(text for text, _ in self.blocks[first:])]), first, len(self.blocks)))
 
     def close_until(self, ends, walls) -> None:
         """Close the innermost of some elements, if no wall is around it sooner."""
@@ -176,10 +174,18 @@ class _Page:
         self.flush()
 
 
-def parse(html: str) -> tuple[list[tuple[str, list[int]]], bool]:
+def _digest(parts: list[str]) -> int:
+    digest = hashlib.blake2b("\n".join(parts).encode("utf-8", "replace"), digest_size=8).digest()
+    return int.from_bytes(digest, "big", signed=True)
+
+
+def parse(html: str) -> tuple[list[tuple[str, list[int]]], int]:
     """The blocks of a page in order, each with the hashes of the subtrees around it that may be template,
-    and whether the page has an article or main element."""
+    and a hash of its content: the text of its article and main elements, or all text if it has none."""
     page = _Page(html)
+    content = _digest([text for text, in_main in page.blocks if in_main or not page.mains])
+    # A page without such an element is as a whole no template either.
+    page.mains = page.mains or [(0, len(page.blocks))]
     # For each block the least end of an article or main element that begins there or later.
     least = [len(page.blocks) + 1] * (len(page.blocks) + 1)
     for start, stop in page.mains:
@@ -192,38 +198,42 @@ def parse(html: str) -> tuple[list[tuple[str, list[int]]], bool]:
             continue
         for block in range(first, end):
             around[block].append(digest)
-    return [(text, hashes) for (text, _), hashes in zip(page.blocks, around, strict=True)], bool(page.mains)
+    return [(text, hashes) for (text, _), hashes in zip(page.blocks, around, strict=True)], content
 
 
-_BLOCKS = pa.list_(pa.struct([("text", pa.string()), ("around", pa.list_(pa.int64()))]))
+_PARSED = pa.struct([("content", pa.int64()), ("blocks", pa.list_(pa.struct([("text", pa.string()), ("around", pa.list_(pa.int64()))])))])
 
 
-def main_text(pages: DataFrame, html: str = "html", url: str = "url", least_pages: int = 3, share: float = 0.02) -> DataFrame:
+def main_text(pages: DataFrame, html: str = "html", url: str = "url", least_pages: int = 3) -> DataFrame:
     """``pages`` with ``text``, the main text, in place of ``html``.
 
-    A subtree is template if it occurs on ``least_pages`` pages of its host and on that ``share`` of them.
-    Text outside an article or main element stays unless it is template or named as no part of an article. Blocks are joined by an empty line, white space
-    inside a block is one space, character references are decoded. Null and empty pages, and pages of markup
-    alone, have the empty text. Pages with a null url, or one without a host, count as one host. Repeated
-    rows stay and count as pages. An input column called ``text`` is replaced.
+    A subtree is template if it occurs on ``least_pages`` pages of its host that differ in their content, the
+    text of their article and main elements or else their whole text, however many pages the host has. What
+    holds a page's whole content is never template.
+    Text outside an article or main element stays unless it is template or named as no part of an article.
+    Blocks are joined by an empty line, white space inside a block is one space, character references are
+    decoded. Null and empty pages, and pages of markup alone, have the empty text. Pages with a null url, or
+    one without a host, count as one host. Repeated rows stay, each with its text; copies of a page
+    count once. An input column called ``text`` is replaced.
     """
     kept = [c for c in pages.columns if c not in (html, "text")]
     whole = F.struct(*(F.col(f"`{c}`") for c in kept), F.lit(0).alias("engine_pad")).alias("row")
     host = F.coalesce(F.lower(F.regexp_extract(F.col(f"`{url}`"), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#]*)", 1)), F.lit(""))
 
-    @F.arrow_udf("array<struct<text:string,around:array<bigint>>>")
-    def blocks(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    @F.arrow_udf("struct<content:bigint,blocks:array<struct<text:string,around:array<bigint>>>>")
+    def parsed_page(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            found = [[{"text": t, "around": a} for t, a in parse(p)[0]] for p in batch.to_pylist()]
-            yield pa.array(found, _BLOCKS)
+            found = [parse(p) for p in batch.to_pylist()]
+            yield pa.array([{"content": c, "blocks": [{"text": t, "around": a} for t, a in b]} for b, c in found], _PARSED)
 
-    parsed = pages.select(whole, host.alias("host"), blocks(text_or_empty(F.col(f"`{html}`"))).alias("blocks"))
+    parsed = pages.select(whole, host.alias("host"), parsed_page(text_or_empty(F.col(f"`{html}`"))).alias("parsed"))
+    parsed = parsed.select("row", "host", "parsed.content", "parsed.blocks")
     subtrees = F.array_distinct(F.flatten(F.transform("blocks", lambda b: b["around"])))
     rows = written(parsed.withColumns({"subtrees": subtrees, "page": F.monotonically_increasing_id()}), "blocks")
-    seen = rows.select("page", "host", F.explode("subtrees").alias("subtree"))
-    counted = seen.groupBy("host", "subtree").agg(F.count("*").alias("n")).where(F.col("n") >= least_pages)
-    sizes = rows.groupBy("host").agg(F.count("*").alias("pages"))
-    template = split_join(counted, sizes, ["host"]).where(F.col("n") >= F.col("pages") * share).select("host", "subtree")
+    seen = rows.select("page", "host", "content", F.explode("subtrees").alias("subtree"))
+    distinct = seen.select("host", "subtree", "content").distinct()
+    counted = distinct.groupBy("host", "subtree").agg(F.count("*").alias("n"))
+    template = counted.where(F.col("n") >= least_pages).select("host", "subtree")
     drop = split_join(seen, template, ["host", "subtree"], "left_semi").groupBy("page").agg(F.collect_set("subtree").alias("drop"))
     # Pages without a subtree in question, such as those of plain paragraphs in an article element, stay where they are.
     rest = F.size("subtrees") > 0

@@ -86,6 +86,24 @@ def test_templates_around_and_inside_articles(engine):
     assert got[40] == "Welcome\n\nT1\n\nRead our terms\n\nSame words\n\nstory 1\n\nAdded on day 1"
 
 
+def test_copies_and_large_hosts(engine):
+    """Copies of a page count once, a whole page is no template, and a notice goes on hosts of any size."""
+    story = "<body><div>Log in</div><div><p>The only story</p><p>of this host</p></div></body>"
+    pages = [(i, f"https://copies.org/{i}", story) for i in range(5)]
+    pages += [(10 + i, f"https://whole.org/{i}", f"<div><p>same</p></div>{'<p>more</p>' * (i > 2)}") for i in range(4)]
+    pages += [(100 + i, f"https://large.org/{i}", f"{'<div>Notice</div>' * (i < 4)}<div>story {i}</div>") for i in range(400)]
+    got = {r.page_id: r.text for r in html_extract.main_text(engine.createDataFrame(pages, PAGES)).collect()}
+    assert {got[i] for i in range(5)} == {"Log in\n\nThe only story\n\nof this host"}
+    assert got[10] == "same" and got[13] == "same\n\nmore"
+    assert got[102] == "story 2" and got[499] == "story 399"
+
+
+@pytest.mark.parametrize("html", ["<p>a</p><div>b</div>", "<div>x</div><article><p>b</p></article>"])
+def test_content_of_a_page(html):
+    same = html_extract.parse(html.replace("x", "y"))[1]
+    assert html_extract.parse(html)[1] == same != html_extract.parse(html.replace("b", "c"))[1]
+
+
 def vectors(n: int, width: int) -> list[tuple]:
     rng = random.Random(8)
     rows = [(i, [round(rng.gauss(0, 0.3), 3) for _ in range(width)]) for i in range(n)]
