@@ -25,7 +25,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash component, the one with the smallest id."""
+    """One document of each SimHash component, the one with the smallest id.
+
+    Texts are linked by fingerprints of 64 bits over three words that differ in at most three bits, without a
+    look at the texts. Copies with scattered changed words differ in more bits and stay, though most of their
+    five-word shingles may be shared.
+    """
     importable(spark)
     return simhash.keep_one_of_each(docs)
 
