@@ -8,6 +8,8 @@ licence notices that stand as a line of their own inside a longer document. Data
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,8 +33,12 @@ SPELLINGS = {
 # Hexadecimal digits of a line's digest that are looked up: 128 bits.
 MARK_DIGITS = 32
 
-# A copyright line names its owner, so it differs between copies of one licence.
-COPYRIGHT_LINE = r"(?m)^[^\p{L}\p{N}\n]*(?:copyright|\(c\)|©)[^\n]*(?:\(c\)|©|\d{4})[^\n]*$|(?m)^[^\p{L}\p{N}\n]*all rights reserved\.?[^\p{L}\p{N}\n]*$"
+# A copyright line names its owner, so it differs between copies of one licence. Without a sign or year it is one if
+# only such lines are between blank lines or begin the text: sentences may go on with "copyright" in a new line.
+COPYRIGHT_LINE = (
+    r"(?m)(?:\A|^[^\p{L}\p{N}\n]*\n)(?:[^\p{L}\p{N}\n]*(?:copyright\b|\(c\)|©|all rights reserved)[^\n]{0,120}\n)+[^\p{L}\p{N}\n]*$"
+    r"|(?m)^[^\p{L}\p{N}\n]*(?:copyright|\(c\)|©)[^\n]*(?:\(c\)|©|\d{4})[^\n]*$|(?m)^[^\p{L}\p{N}\n]*all rights reserved\.?[^\p{L}\p{N}\n]*$"
+)
 
 
 def canonical_lines(text: Column) -> Column:
@@ -52,10 +58,11 @@ def digest_of(lines: Column) -> Column:
 
 def known_licences(spark: SparkSession, texts: dict[str, str] = KNOWN) -> DataFrame:
     """(digest, licence) of known texts, one row per digest: the first name in order of the alphabet."""
-    names = F.explode(F.array(*(F.struct(F.lit(n).alias("licence"), F.lit(t).alias("words")) for n, t in texts.items())))
+    given = json.dumps([{"licence": n, "words": t} for n, t in texts.items()])
+    names = F.explode(F.from_json(F.lit(given), "array<struct<licence:string,words:string>>"))
     rows = spark.range(1).select(names.alias("known")).select("known.*")
     digests = rows.select("licence", digest_of(canonical_lines(F.col("words"))).alias("digest"))
-    return digests.groupBy("digest").agg(F.min("licence").alias("licence"))
+    return written(digests.groupBy("digest").agg(F.min("licence").alias("licence")), "known-licences")
 
 
 def find_licences(docs: DataFrame, known: DataFrame, text: str = "text", keep_text: bool = True) -> DataFrame:

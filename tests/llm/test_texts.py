@@ -75,6 +75,21 @@ def test_licences(engine):
     }
 
 
+def test_licences_by_whole_texts_and_other_wordings(engine):
+    """Whole texts as published, notices in other words, and copyright lines without a year."""
+    mit = KNOWN["MIT"].strip()
+    whole = [f"MIT License\n\nCopyright {owner}\n\n{mit}" for owner in ("Jane Doe", "The Authors\nCopyright others\nAll rights reserved.")]
+    whole += [KNOWN[n] for n in ("GPL-3.0", "MPL-2.0", "Unlicense", "BSL-1.0", "CC0-1.0", "Apache-2.0 (terms)")]
+    lines = ["# SPDX-License-Identifier: GPL-2.0-or-later", "a\nLicensed under the MIT License\nb", "This project is licensed under the GNU Affero General Public License v3.0.", "MIT"]
+    wrapped = KNOWN["BSD-2-Clause"].replace("the above copyright notice", "the above\ncopyright notice").replace("THE COPYRIGHT", "THE\nCOPYRIGHT")
+    docs = engine.createDataFrame(list(enumerate(whole + lines + [wrapped])), DOCS)
+    got = {r.doc_id: (r.licence, r.notices.split(" (")[0]) for r in licences.licence_report(docs).collect()}
+    names = ["MIT (titled)", "MIT (titled)", "GPL-3.0", "MPL-2.0", "Unlicense", "BSL-1.0", "CC0-1.0", "Apache-2.0 (terms)"]
+    assert [got[i][0] for i in range(8)] == names
+    assert [got[i][1] for i in range(8, 12)] == ["GPL-2.0-or-later", "MIT", "AGPL-3.0-only", ""]
+    assert got[12][0] == "BSD-2-Clause"
+
+
 def test_fingerprints(engine, rows):
     docs = documents(engine, ODD)
     got = rows(simhash.simhash_report(docs).select("doc_id", "fingerprint"))
