@@ -39,16 +39,19 @@ STORE_WINDOWS = 600_000
 
 
 def windows(text: bytes) -> list[bytes]:
-    """Words of a text in lower case, each after a space; longer ones go on in further windows. What is
-    shorter than five bytes, hardly more than a match of the compressor, tells nothing and is no window."""
+    """Words of a text in lower case, each after a space; longer ones go on in further windows. Less than five
+    bytes are hardly more than a match of the compressor: a short word is written until it has them, and
+    the last window of a long word reaches back into the one before."""
     found = []
     for word in text.lower().split():
         word = b" " + word
         if len(word) <= WINDOW_BYTES:
-            found.append(word)
+            found.append(word if len(word) >= LEAST_BYTES else word * -(-LEAST_BYTES // len(word)))
         else:
             found += [word[i : i + WINDOW_BYTES] for i in range(0, len(word), WINDOW_BYTES)]
-    return [window for window in found if len(window) >= LEAST_BYTES]
+            if len(found[-1]) < LEAST_BYTES:
+                found[-1] = word[-WINDOW_BYTES:]
+    return found
 
 
 @dataclass(frozen=True)
@@ -88,8 +91,9 @@ class Distances:
         self.toxic, self.ordinary = compressor(toxic), compressor(ordinary)
         self.store: dict[bytes, int] = {}
 
-    def of(self, text: bytes) -> np.ndarray:
-        store, found = self.store, []
+    def of(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Distances of windows, and of those that are short words."""
+        store, found, short = self.store, [], []
         if len(store) > STORE_WINDOWS:
             store.clear()
         for window in windows(text):
@@ -98,15 +102,16 @@ class Distances:
                 copies = window * COPIES
                 distance = len(self.ordinary.compress(copies)) - len(self.toxic.compress(copies))
                 store[window] = distance
-            found.append(distance)
-        return np.array(found or [0])
+            (short if b" " in window[1:] else found).append(distance)
+        return np.array(found or [0]), np.array(short or [0])
 
     def features(self, text: bytes) -> list[float]:
-        distances = self.of(text)
+        distances, short = self.of(text)
         top = np.sort(distances)[::-1][:3]
         top = np.concatenate([top, np.repeat(top[-1:], 3 - len(top))])
         return [
             1.0, *top.tolist(), *(np.log1p((distances >= d).sum()) for d in (1, 2, 3, 4)), np.log1p(len(distances)),
+            float(short.max()), *(np.log1p((short >= d).sum()) for d in (2, 4)),
         ]
 
 
@@ -191,7 +196,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     ]
     # Ids are chosen first, by narrow columns; texts are read for at most SAMPLE_TOXIC + SAMPLE_ORDINARY of them.
     chosen = written(taken[0].unionByName(taken[1]), "toxicity-ids")
-    rows = docs.select("doc_id", utf8().alias("bytes")).join(F.broadcast(chosen), "doc_id")
+    # Copies of a row count once, or one document could fill the sample.
+    rows = docs.select("doc_id", utf8().alias("bytes")).join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id", "bytes"])
     bounded = [
         rows.where(F.col("toxic") == toxic).orderBy("mark", "bytes").limit(most)
         for toxic, most in ((1, SAMPLE_TOXIC), (0, SAMPLE_ORDINARY))
@@ -215,7 +221,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
         return [(bytes(r["window"]), r["n"]) for r in df.orderBy(F.desc("n"), "window").limit(n).collect()]
 
     bad = most(told, SAMPLE_TOXIC_WINDOWS) or most(toxic, SAMPLE_TOXIC_WINDOWS)
-    good = most(counted.where(F.col("toxic") == 0), SAMPLE_ORDINARY_WINDOWS)
+    # Short words are in most texts and would fill the ordinary dictionary; without them there, both are even.
+    longer = F.locate(" ", F.col("window").cast("string"), 2) == 0
+    good = most(counted.where((F.col("toxic") == 0) & longer), SAMPLE_ORDINARY_WINDOWS)
     if not bad or not good:
         return ToxicityModel()
     dictionaries = dictionary(bad, TOXIC_BYTES), dictionary(good, ORDINARY_BYTES)

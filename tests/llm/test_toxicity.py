@@ -40,6 +40,28 @@ def test_held_out_accuracy(engine):
     assert known.predicted[9001] == known.predicted[9002] == known.predicted[9003] == 0
 
 
+def test_short_words(engine):
+    """Toxic words of three letters are learnt and found; no byte of a word is left out."""
+    assert toxicity.windows(b"a Abc abcdefghijklmn") == [b" a a a", b" abc abc", b" abcdefghijk", b"cdefghijklmn"]
+    rng = random.Random(6)
+    docs, labels = corpus(1500)
+    bad = ["wretchful", "scumbag", "dirtlord", "vileness", "trashface"]
+    short = dict(zip(bad, ["zok", "qix", "fug", "vex", "wup"], strict=True))
+    docs = [(i, " ".join([*(short.get(w, w) for w in text.split()), *rng.choices(["the", "of", "an"], k=9)]), x) for i, text, x in docs]
+    frame, marks = engine.createDataFrame(docs, DOCS), engine.createDataFrame(labels, "doc_id long, toxic int")
+    got = {r.doc_id: r.predicted for r in toxicity.toxicity_report(frame, marks).where("held_out").collect()}
+    assert sum(label == got[i] for i, label in labels if i in got) >= 0.95 * len(got)
+
+
+def test_copies_do_not_fill_the_sample(engine, monkeypatch):
+    monkeypatch.setattr(toxicity, "SAMPLE_TOXIC", 30)
+    docs, labels = corpus(200)
+    marks = engine.createDataFrame(labels, "doc_id long, toxic int")
+    toxic = [d for d in docs if (d[0], 1) in labels]
+    once, often = (toxicity.fit_toxicity(engine.createDataFrame(rows, DOCS), marks) for rows in (docs, docs + 40 * toxic))
+    assert once == often
+
+
 def test_one_class_or_nothing(engine):
     docs, labels = corpus(30)
     frame = engine.createDataFrame(docs, DOCS)
