@@ -101,7 +101,33 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) A
 SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score
 FROM s WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 5"""
 
+# CRC-32 of a number's decimal digits, bit by bit.
+_BITS = "list_reduce(list_concat([xor(a, x)], range(8)), lambda b, i: xor(b >> 1, (b & 1) * 3988292384))"
+_CRC = (
+    "xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], [ascii(y)::BIGINT for y in string_split(conv_id::VARCHAR, '')]), "
+    f"lambda a, x: {_BITS}))"
+)
+
+TRIE = rf"""
+WITH t AS (SELECT conv_id, turn, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS id,
+                  len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, list(id ORDER BY turn NULLS FIRST, id) AS ids, list(words ORDER BY turn NULLS FIRST, id) AS words FROM t GROUP BY conv_id),
+h AS (SELECT *, {_CRC} % 4 AS h FROM own),
+f AS (SELECT h.conv_id, list_concat(coalesce(b.ids[1:h.h], []), h.ids[h.h + 1:]) AS ids,
+             list_concat(coalesce(b.words[1:h.h], []), h.words[h.h + 1:]) AS words
+      FROM h LEFT JOIN own b ON b.conv_id = h.conv_id - h.conv_id % 20),
+p AS (SELECT conv_id, len(ids) AS n, d, ids[1:d] AS path, CASE WHEN d > 0 THEN words[d] ELSE 0 END AS words
+      FROM (SELECT *, unnest(range(0, len(ids) + 1)) AS d FROM f)),
+nodes AS (SELECT path, d, min(conv_id) AS conv_id, count(*) AS n_convs, max(words) AS words,
+                 sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = d), '')) AS ends_sha256 FROM p GROUP BY path, d),
+children AS (SELECT path[1:d - 1] AS path, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY 1),
+k AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN children USING (path)),
+below AS (SELECT path[1:a] AS path, count(*) FILTER (n_children = 0) AS n_leaves, sum((n_convs - 1) * words)::BIGINT AS saved_tokens
+          FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM k) GROUP BY 1)
+SELECT k.conv_id, k.d AS depth, parent.conv_id AS parent_conv_id, k.n_convs, k.n_children, n_leaves, saved_tokens, k.ends_sha256
+FROM k JOIN below USING (path) LEFT JOIN k parent ON k.d > 0 AND parent.path = k.path[1:k.d - 1]"""
+
 ORACLES: dict[str, str] = {
     "op1_secret_scan": SECRETS, "op3_warc": CAPTURES, "op5_licences": LICENCES, "op6_decontamination": CONTAMINATION,
-    "op9_topk": TOP_K,
+    "op9_topk": TOP_K, "op12_prefix_trie": TRIE,
 }

@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+import zlib
 from collections import defaultdict
 
 import numpy as np
@@ -92,3 +93,34 @@ def top_k(rows: list[tuple], k: int = 5, every: int = 50) -> list[tuple]:
             scores = sorted((-int(q @ v), j) for j, v in sound if j != i)[:k]
             out += [(i, r + 1, j, -s) for r, (s, j) in enumerate(scores)]
     return sorted(out)
+
+
+def prefix_trie(rows: list[tuple], family: int = 20) -> list[tuple]:
+    """The nodes of the trie of (conv_id, turn, role, text), with every prefix of every conversation at hand."""
+    own = defaultdict(list)
+    for c, turn, role, text in rows:
+        if c is not None:
+            role, text = role or "", text or ""
+            digest = hashlib.sha256(f"{len(role.encode())}:{role}{text}".encode()).digest()
+            own[c].append((turn is not None, turn or 0, digest, role, text))
+    own = {c: [t[3:] for t in sorted(turns)] for c, turns in own.items()}
+    members, full = defaultdict(list), {}
+    for c in sorted(own):
+        h = zlib.crc32(str(c).encode()) % 4
+        full[c] = (own.get(c - c % family, [])[:h]) + own[c][h:]
+        for d in range(len(full[c]) + 1):
+            members[tuple(full[c][:d])].append(c)
+    words = {p: len(re.findall(r"[^\x20\x09-\x0D]+", p[-1][1])) if p else 0 for p in members}
+    children, leaves, saved = defaultdict(int), defaultdict(int), defaultdict(int)
+    for p in members:
+        if p:
+            children[p[:-1]] += 1
+    for p in members:
+        for d in range(len(p) + 1):
+            leaves[p[:d]] += not children[p]
+            saved[p[:d]] += (len(members[p]) - 1) * words[p]
+    return sorted((
+        (min(m), len(p), min(members[p[:-1]]) if p else None, len(m), children[p], leaves[p], saved[p],
+         hashlib.sha256(",".join(str(c) for c in m if len(full[c]) == len(p)).encode()).hexdigest())
+        for p, m in members.items()
+    ), key=repr)
