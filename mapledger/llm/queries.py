@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (
-    decontaminate, html_extract, licences, packing, prefix_trie, secret_scan, simhash, token_counts, topk, toxicity, warc,
+    decontaminate, html_extract, licences, packing, prefix_trie, retrieval_packing, secret_scan, simhash, token_alignment,
+    token_counts, topk, toxicity, warc,
 )
 from .common import importable, table
 from .oracles import ORACLES  # noqa: F401
@@ -33,7 +34,9 @@ QUERIES = {
     "op8_html_text": _over(html_extract.text_report, "pages"),
     "op9_topk": _over(topk.topk_report, "embeddings"),
     "op10_packing": _over(packing.packing_report, "documents"),
+    "op11_alignment": _over(token_alignment.alignment_report, "documents"),
     "op12_prefix_trie": _over(prefix_trie.trie_report, "conversations"),
+    "op13_related_packing": _over(retrieval_packing.related_report, "documents"),
 }
 
 

@@ -124,3 +124,36 @@ def prefix_trie(rows: list[tuple], family: int = 20) -> list[tuple]:
          hashlib.sha256(",".join(str(c) for c in m if len(full[c]) == len(p)).encode()).hexdigest())
         for p, m in members.items()
     ), key=repr)
+
+
+def alignment(rows: list[tuple], encode_a, bytes_a, encode_b, bytes_b) -> list[tuple]:
+    """(doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256), whole texts and all pairs of tokens.
+
+    ``encode_a`` and ``encode_b`` give the ids of space+text and of text, ``bytes_a`` and ``bytes_b`` an id's bytes.
+    """
+    linked, counts, seen = [], defaultdict(int), []
+    for _, text in rows:
+        a, b = (encode_a(" " + text), encode_b(text)) if text else ([], [])
+        want = (" " + (text or "")).encode()
+        if not text or b"".join(map(bytes_a, a)) != want or b"".join(map(bytes_b, b)) != want:
+            a, b = [], []
+        ends = [list(np.cumsum([len(w(i)) for i in ids], dtype=int)) for ids, w in ((a, bytes_a), (b, bytes_b))]
+        spans = [list(zip([0, *e[:-1]], e)) for e in ends]
+        pairs = [(x, y) for (s, e), x in zip(spans[0], a) for (t, f), y in zip(spans[1], b) if s < f and t < e]
+        for p in pairs:
+            counts[p] += 1
+        both = sorted(set(ends[0]) & set(ends[1]))
+        groups = [
+            "|".join(",".join(str(i) for (s, e), i in zip(sp, ids) if lo <= s and e <= hi) for sp, ids in zip(spans, (a, b)))
+            for lo, hi in zip([0, *both[:-1]], both)
+        ]
+        linked.append(pairs)
+        seen.append((len(a), len(b), groups))
+    most = defaultdict(int)
+    for (_, y), n in counts.items():
+        most[y] = max(most[y], n)
+    return sorted((
+        (i, n_a, n_b, len(groups), len(pairs), sum(counts[p] == most[p[1]] for p in pairs), sum(counts[p] for p in pairs),
+         hashlib.sha256(";".join(groups).encode()).hexdigest() if groups else "")
+        for (i, _), (n_a, n_b, groups), pairs in zip(rows, seen, linked)
+    ), key=repr)
