@@ -14,9 +14,8 @@ from __future__ import annotations
 import re
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
-from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -28,6 +27,7 @@ from pyspark.sql import functions as F
 from mapledger.session import fresh_path
 
 from .common import text_or_empty
+from .packing import byte_letters
 
 TOKENIZER = "word_bpe_49k.json"
 SEPARATOR = 2
@@ -37,19 +37,38 @@ SHARD_TOKENS = 1 << 21
 TASK_TOKENS = 1 << 26
 # BM25's saturation of repeated terms, and its weight of lengths.
 K1, B = 1.2, 0.75
+# Terms that more than one document in so many holds are frequent.
+FULL_LINE = 8
 # Words that a task remembers.
 STORE_WORDS = 500_000
 # Longer words are not remembered.
 STORE_LETTERS = 64
 
 _SEPARATORS = re.compile("[\x1c-\x1f]")
+# A word of plain or accented Latin letters, and ASCII marks that no contraction begins with.
+_PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\\[-`{-~]*)")
+
+
+class KnownWords(dict):
+    """Ids of words, found when first asked for and kept unless the word is long."""
+
+    def __init__(self, find: Callable[[str], bytes]):
+        super().__init__()
+        self.find = find
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.find(word)
+        if len(word) <= STORE_LETTERS:
+            self[word] = ids
+        return ids
 
 
 class WordEncoder:
     """Ids of whole texts, word by word, as the tokenizer drops white space and never joins across it.
 
-    Texts that hold one of its special tokens, or a separator that only Python takes as white space, go to the library
-    as they are, and so does every word not in the bounded store.
+    Words of Latin letters, perhaps with marks after them, are put in lower case and given to the library's model, as the
+    tokenizer does; it cuts before such marks. Other words go to the library, and so do whole texts with one of its
+    special tokens or a separator that only Python takes as white space. Stores of what is known are bounded.
     """
 
     def __init__(self, path: str):
@@ -61,28 +80,36 @@ class WordEncoder:
         self.library = Tokenizer.from_file(path)
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.kind = "H" if self.library.get_vocab_size() <= 1 << 16 else "I"
-        self.store: dict[str, array] = {}
-
-    def encode(self, texts: list[str]) -> list[array]:
-        return [array(self.kind, e.ids) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        self.model, self.letters = self.library.model, byte_letters()
+        self.store = KnownWords(self.word)
+        self.pieces: dict[str, bytes] = {"": b""}
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        return [array(self.kind, e.ids).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def piece(self, piece: str) -> bytes:
+        """Ids of lower-case letters or of marks, by the library's model alone."""
+        ids = self.pieces.get(piece)
+        if ids is None:
+            ids = self.pieces[piece] = array(self.kind, [t.id for t in self.model.tokenize(piece.translate(self.letters))]).tobytes()
+        return ids
+
+    def word(self, word: str) -> bytes:
+        found = _PLAIN.fullmatch(word) if len(word) <= STORE_LETTERS else None
+        if found:
+            letters, marks = found.groups()
+            return self.piece(letters.lower()) + self.piece(marks)
+        return self.encode([word])[0]
 
     def ids(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of each text, in the machine's order of bytes."""
         for text in texts:
             if any(s in text for s in self.special) or _SEPARATORS.search(text):
-                yield self.encode([text])[0].tobytes()
+                yield self.encode([text])[0]
                 continue
             if len(self.store) > STORE_WORDS:
-                self.store = {}
-            known = self.store
-            words = text.split()
-            found = list(map(known.get, words))
-            if None in found:
-                new = list({w: None for w, ids in zip(words, found, strict=True) if ids is None})
-                local = dict(zip(new, self.encode(new), strict=True))
-                known.update((w, ids) for w, ids in local.items() if len(w) <= STORE_LETTERS)
-                found = [local[w] if ids is None else ids for w, ids in zip(words, found, strict=True)]
-            yield b"".join(found)
+                self.store, self.pieces = KnownWords(self.word), {"": b""}
+            yield b"".join(map(self.store.__getitem__, text.split()))
 
 
 @cache
@@ -119,14 +146,23 @@ def _unpacked(ids: bytes, dtype: str) -> np.ndarray:
     return np.frombuffer(ids, dtype)
 
 
+def term_counts(parts: list[np.ndarray], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(part, term, count) of every distinct term of every part, by part and term."""
+    lengths = np.array([len(p) for p in parts], np.int64)
+    rows = np.repeat(np.arange(len(parts), dtype=np.int64) * size, lengths)
+    found, counts = np.unique(rows + np.concatenate([*parts, np.empty(0, np.int64)]).astype(np.int64), return_counts=True)
+    return found // size, found % size, counts
+
+
 def held_counts(stored: DataFrame, size: int, dtype: str) -> np.ndarray:
     """How many documents hold each id of the vocabulary, the separator apart: one number for each entry."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.zeros(size, np.int64)
         for batch in batches:
-            for ids in batch.column(0).to_pylist():
-                held[np.unique(_unpacked(ids, dtype)[:-1])] += 1
+            for start in range(0, batch.num_rows, 512):
+                parts = [_unpacked(x, dtype)[:-1] for x in batch.column(0).slice(start, 512).to_pylist()]
+                held += np.bincount(term_counts(parts, size)[1], minlength=size)
         term = np.flatnonzero(held)
         yield pa.RecordBatch.from_arrays([pa.array(term, pa.int64()), pa.array(held[term], pa.int64())], ["term", "n"])
 
@@ -142,38 +178,60 @@ def rarity(held: np.ndarray, documents: int) -> np.ndarray:
     return np.log1p((documents - held + 0.5) / (held + 0.5))
 
 
-def telling_terms(ids: np.ndarray, weights: np.ndarray, held: np.ndarray, mean: float) -> tuple[int, int]:
-    """The two terms that say most about a document among those that others hold too, -1 where there is none."""
-    terms, counts = np.unique(ids, return_counts=True)
-    shared = held[terms] > 1
-    terms, counts = terms[shared], counts[shared]
-    score = weights[terms] * counts / (counts + K1 * (1 - B + B * len(ids) / mean))
-    best = np.lexsort((terms, -score))[:2].tolist()
-    return tuple([*(int(terms[i]) for i in best), -1, -1][:2])
+def telling_terms(parts: list[np.ndarray], weights: np.ndarray, held: np.ndarray, mean: float) -> list[np.ndarray]:
+    """The two terms that say most about each document among those that others hold too, -1 where there is none.
+
+    Of equally good terms the smaller one is taken.
+    """
+    row, term, count = term_counts(parts, len(weights))
+    shared = held[term] > 1
+    row, term, count = row[shared], term[shared], count[shared]
+    lengths = np.array([len(p) for p in parts], np.int64)
+    score = weights[term] * count / (count + K1 * (1 - B + B * lengths[row] / mean))
+    out = []
+    for _ in range(2):
+        best = np.full(len(parts), -1, np.int64)
+        if len(row):
+            first = np.flatnonzero(np.diff(row, prepend=-1))
+            top = np.maximum.reduceat(score, first)
+            at = np.flatnonzero((score == np.repeat(top, np.diff([*first, len(row)]))) & (score > 0))
+            at = at[np.flatnonzero(np.diff(row[at], prepend=-1))]
+            best[row[at]] = term[at]
+            score[at] = 0
+        out.append(best)
+    return out
 
 
 class Shard:
     """Windows of a bounded run of documents, given as (first id, ids without separator) of their last parts."""
 
     def __init__(self, parts: list[np.ndarray], weights: np.ndarray, mean: float):
-        n = len(parts)
         lengths = np.array([len(p) for p in parts], np.int64)
-        rows = np.repeat(np.arange(n, dtype=np.int64), lengths)
-        terms = np.concatenate([*parts, np.empty(0, np.int64)]).astype(np.int64)
+        row, term, count = term_counts(parts, len(weights))
         # The inverted index: postings by term, a row and its weight in each.
-        posts, counts = np.unique(terms * n + rows if n else terms, return_counts=True)
-        term, self.row = posts // max(n, 1), posts % max(n, 1)
+        order = np.argsort(term, kind="stable")
+        self.row, term, count = row[order], term[order], count[order]
         scale = K1 * (1 - B + B * lengths[self.row] / mean)
-        self.weight = weights[term] * counts * (K1 + 1) / (counts + scale)
+        self.weight = weights[term] * count * (K1 + 1) / (count + scale)
         self.begin = np.searchsorted(term, np.arange(len(weights) + 1))
-        self.parts, self.n = parts, n
+        self.parts, self.n = parts, len(parts)
+        # Postings of frequent terms are full lines instead, at most FULL_LINE numbers for each posting.
+        self.line = np.full(len(weights), -1)
+        frequent = np.flatnonzero(np.diff(self.begin) * FULL_LINE > self.n)
+        self.line[frequent] = np.arange(len(frequent))
+        self.lines = np.zeros((len(frequent), self.n))
+        held = self.line[term] >= 0
+        self.lines[self.line[term[held]], self.row[held]] = self.weight[held]
 
     def scores(self, seed: int) -> np.ndarray:
         """BM25 of every document for the distinct terms of one."""
         terms = np.unique(self.parts[seed]).astype(np.int64)
-        first, last = self.begin[terms], self.begin[terms + 1]
-        at = np.concatenate([*map(np.arange, first, last), np.empty(0, np.int64)]).astype(np.int64)
-        return np.bincount(self.row[at], self.weight[at], self.n)
+        line = self.line[terms]
+        whole, terms = self.lines[line[line >= 0]].sum(axis=0), terms[line < 0]
+        lists = [slice(*ends) for ends in zip(self.begin[terms].tolist(), self.begin[terms + 1].tolist(), strict=True)]
+        if not lists:
+            return whole
+        return whole + np.bincount(np.concatenate([self.row[x] for x in lists]), np.concatenate([self.weight[x] for x in lists]), self.n)
 
 
 def windows(shard: Shard, lengths: list[int], window: int) -> Iterator[list[tuple[int, int, int]]]:
@@ -267,11 +325,12 @@ def pack_related(
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            terms = [telling_terms(_unpacked(x, dtype)[:-1], weights, held, mean) for x in batch.column("ids").to_pylist()]
-            first, second = zip(*terms, strict=True) if terms else ((), ())
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(first, pa.int32()), pa.array(second, pa.int32())], [*batch.schema.names, "first", "second"]
-            )
+            for start in range(0, batch.num_rows, 512):
+                some = batch.slice(start, 512)
+                terms = telling_terms([_unpacked(x, dtype)[:-1] for x in some.column("ids").to_pylist()], weights, held, mean)
+                yield pa.RecordBatch.from_arrays(
+                    [*some.columns, *[pa.array(t, pa.int32()) for t in terms]], [*some.schema.names, "first", "second"]
+                )
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = TaskContext.get().partitionId() << 40

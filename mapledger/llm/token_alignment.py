@@ -6,14 +6,15 @@ Counts of pairs over the corpus are sums of these by the number of copies. To sc
 the corpus-wide counts: those of the most frequent pairs, a bounded number, go along with the tasks, and only the pairs
 that are not among them are joined. Measures of texts go back to documents by the SHA-256 of the text.
 
-Both tokenizers begin anew at a single space between other characters, so texts are put together from parts, and equal
-parts are aligned once for as long as they stay in a task's bounded store.
+Both tokenizers begin anew at a single space between other characters, and at most marks after a word, so texts are put
+together from parts, and equal parts are aligned once for as long as they stay in a task's bounded store.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from collections.abc import Iterator
 from functools import cache
 
@@ -27,16 +28,21 @@ from mapledger.operators.joins import split_join
 from mapledger.session import written
 
 from .common import text_or_empty
-from .packing import PartEncoder
+from .packing import byte_letters
 
 TOKENIZER_A, TOKENIZER_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 # Parts that a task remembers; longer parts are not remembered.
-STORE_PARTS = 200_000
+STORE_PARTS = 300_000
 STORE_LETTERS = 64
 # Pairs of ids whose counts go along with tasks, at most: some 17 bytes each.
 KNOWN_PAIRS = 1 << 17
 
-_CUT = re.compile(r"(?<=[^\s▁]) (?=[^\s▁])")
+LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+# Marks that no contraction begins with.
+MARKS = ".,;:!?*#%&$"
+_CUT = r"(?<=[^\s▁])(?= [^\s▁])"
+_BORDER = re.compile(f"(?<=[{LATIN}])[{re.escape(MARKS)}]")
+_WORD = re.compile(f" ?[{LATIN}]+")
 _BYTE = re.compile(r"<0x([0-9A-F]{2})>")
 
 
@@ -53,73 +59,100 @@ def bytes_of_b(pieces: list[str]) -> list[bytes]:
     return [bytes([int(m[1], 16)]) if (m := _BYTE.fullmatch(p)) else p.replace("▁", " ").encode() for p in pieces]
 
 
-def links_and_groups(a: list[int], b: list[int], width_a, width_b) -> tuple[list[int], str, int]:
+def links_and_groups(a: list[int], b: list[int], width_a: list[int], width_b: list[int]) -> tuple[list[int], str, int]:
     """Pairs ``b << 32 | a`` of tokens that overlap, the groups as text, and their number, of one run of bytes.
 
     ``width_a`` and ``width_b`` give tokens' lengths in bytes, which add up to the same.
     """
     pairs, groups = [], []
-    i = j = first_a = first_b = 0
-    end_a, end_b = width_a[a[0]], width_b[b[0]]
+    next_a, next_b = iter(a), iter(b)
+    x, y = next(next_a), next(next_b)
+    ahead = width_a[x] - width_b[y]  # how much further A's token reaches than B's
+    text_a, text_b = f"{x}", f"{y}"
     while True:
-        pairs.append(b[j] << 32 | a[i])
-        if end_a == end_b:
-            i, j = i + 1, j + 1
-            groups.append(f"{','.join(map(str, a[first_a:i]))}|{','.join(map(str, b[first_b:j]))}")
-            if i == len(a):
-                return pairs, ";".join(groups), len(groups)
-            first_a, first_b = i, j
-            end_a, end_b = end_a + width_a[a[i]], end_b + width_b[b[j]]
-        elif end_a < end_b:
-            i += 1
-            end_a += width_a[a[i]]
+        pairs.append(y << 32 | x)
+        if ahead > 0:
+            y = next(next_b)
+            ahead -= width_b[y]
+            text_b += f",{y}"
+        elif ahead < 0:
+            x = next(next_a)
+            ahead += width_a[x]
+            text_a += f",{x}"
         else:
-            j += 1
-            end_b += width_b[b[j]]
+            groups.append(f"{text_a}|{text_b}")
+            x = next(next_a, None)
+            if x is None:
+                return pairs, ";".join(groups), len(groups)
+            y = next(next_b)
+            ahead = width_a[x] - width_b[y]
+            text_a, text_b = f"{x}", f"{y}"
 
 
 class Aligner:
-    """Aligns texts part by part, with a store of bounded size."""
+    """Aligns texts part by part, with a store of bounded size.
+
+    A part is what follows a cut at a single space, or marks after Latin letters where no piece of B holds a letter
+    and such a mark side by side, as then nothing is ever joined there; A begins anew at such marks too.
+    """
 
     def __init__(self, path_a: str, path_b: str):
+        import os
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
+        from tokenizers import Tokenizer
 
-        self.a = PartEncoder(path_a)
-        self.a.library.encode_special_tokens = True
+        self.a = Tokenizer.from_file(path_a)
+        self.a.encode_special_tokens = True
+        self.model, self.letters = self.a.model, byte_letters()
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
-        self.bytes_a = bytes_of_a(self.a.library.get_vocab(with_added_tokens=True))
-        self.bytes_b = bytes_of_b([self.b.id_to_piece(i) for i in range(self.b.get_piece_size())])
-        self.width_a = {i: len(x) for i, x in self.bytes_a.items()}
+        pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
+        self.bytes_a, self.bytes_b = bytes_of_a(self.a.get_vocab(with_added_tokens=True)), bytes_of_b(pieces)
+        self.width_a = [len(self.bytes_a.get(i, b"")) for i in range(max(self.bytes_a) + 1)]
         self.width_b = list(map(len, self.bytes_b))
+        joined = {m for p in pieces for m in _BORDER.findall(p)}
+        marks = "".join(m for m in MARKS if m not in joined)
+        self.cut = re.compile(_CUT + (rf"|(?<=[{LATIN}])(?=[{re.escape(marks)}]+(?: [^\s▁]|\Z))" if marks else ""))
+        self.lead = len(self.b.encode("a"))
         self.store: dict[str, tuple] = {}
 
-    def learn(self, parts: list[str], known: dict[str, tuple]) -> None:
-        """Put (pairs, groups, n_a, n_b, n_groups) of parts that begin with a space into ``known``, or None for one
-        that a tokenizer does not give back."""
-        self.a.learn(parts)
-        ids_a = [np.frombuffer(self.a.store[p], "<u4").tolist() for p in parts]
-        self.a.store.clear()
-        for part, a, b in zip(parts, ids_a, self.b.encode([p[1:] for p in parts], num_threads=1), strict=True):
-            data = part.encode()
-            if b"".join(map(self.bytes_a.__getitem__, a)) != data or b"".join(map(self.bytes_b.__getitem__, b)) != data:
+    def learn(self, parts: list[str]) -> dict[str, tuple]:
+        """(pairs, groups, n_a, n_b, n_groups) of parts, or None for one that a tokenizer does not give back.
+
+        Parts begin with a space, or are marks.
+        """
+        ids_a, others = {}, []
+        for part in parts:
+            if _WORD.fullmatch(part):
+                ids_a[part] = [t.id for t in self.model.tokenize(part.translate(self.letters))]
+            else:
+                others.append(part)
+        ids_a.update(zip(others, [e.ids for e in self.a.encode_batch_fast(others, add_special_tokens=False)], strict=True))
+        ids_b = self.b.encode([p[1:] if p[0] == " " else f"a{p}" for p in parts], num_threads=1)
+        known, width_a, width_b = {}, self.width_a, self.width_b
+        for part, b in zip(parts, ids_b, strict=True):
+            a, data = ids_a[part], part.encode()
+            if part[0] != " ":
+                b = b[self.lead :]
+            if b"".join(map(self.bytes_b.__getitem__, b)) != data or b"".join(map(self.bytes_a.__getitem__, a)) != data:
                 known[part] = None
                 continue
-            pairs, groups, n = links_and_groups(a, b, self.width_a, self.width_b)
-            known[part] = np.array(pairs, np.int64).tobytes(), groups, len(a), len(b), n
+            pairs, groups, n = links_and_groups(a, b, width_a, width_b)
+            known[part] = array("q", pairs).tobytes(), groups, len(a), len(b), n
+        self.store.update((p, x) for p, x in known.items() if x is not None and len(p) <= STORE_LETTERS)
+        return known
 
     def texts(self, texts: list[str]) -> Iterator[tuple]:
         """(n_a, n_b, n_groups, n_links, digest, pairs, counts) of each text; all nothing where a text has no tokens."""
         for text in texts:
             if len(self.store) > STORE_PARTS:
                 self.store = {}
-            parts = _CUT.sub("\0 ", " " + text).split("\0") if "\0" not in text else [" " + text]
+            parts = self.cut.split(" " + text)
             found = list(map(self.store.get, parts))
             if None in found:
-                new = list({p: None for p, x in zip(parts, found, strict=True) if x is None})
-                local: dict[str, tuple] = {}
-                self.learn(new, local)
-                self.store.update((p, x) for p, x in local.items() if x is not None and len(p) <= STORE_LETTERS)
-                found = [local[p] if x is None else x for p, x in zip(parts, found, strict=True)]
+                new = self.learn(list({p: None for p, x in zip(parts, found, strict=True) if x is None}))
+                found = [new[p] if x is None else x for p, x in zip(parts, found, strict=True)]
             if None in found or not text:
                 yield 0, 0, 0, 0, "", np.empty(0, np.int64), np.empty(0, np.int64)
                 continue
