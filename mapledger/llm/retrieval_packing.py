@@ -39,8 +39,8 @@ TASK_TOKENS = 1 << 26
 K1, B = 1.2, 0.75
 # Terms that more than one document in so many holds are frequent.
 FULL_LINE = 8
-# Words that a task remembers.
-STORE_WORDS = 500_000
+# Words of a task's store; it keeps two stores.
+STORE_WORDS = 400_000
 # Longer words are not remembered.
 STORE_LETTERS = 64
 
@@ -50,14 +50,17 @@ _PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:
 
 
 class KnownWords(dict):
-    """Ids of words, found when first asked for and kept unless the word is long."""
+    """Ids of words, found when first asked for and kept unless the word is long; those asked for lately come from
+    the store before this one."""
 
-    def __init__(self, find: Callable[[str], bytes]):
+    def __init__(self, find: Callable[[str], bytes], before: dict[str, bytes]):
         super().__init__()
-        self.find = find
+        self.find, self.before = find, before
 
     def __missing__(self, word: str) -> bytes:
-        ids = self.find(word)
+        ids = self.before.get(word)
+        if ids is None:
+            ids = self.find(word)
         if len(word) <= STORE_LETTERS:
             self[word] = ids
         return ids
@@ -81,7 +84,7 @@ class WordEncoder:
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.kind = "H" if self.library.get_vocab_size() <= 1 << 16 else "I"
         self.model, self.letters = self.library.model, byte_letters()
-        self.store = KnownWords(self.word)
+        self.store = KnownWords(self.word, {})
         self.pieces: dict[str, bytes] = {"": b""}
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -108,7 +111,8 @@ class WordEncoder:
                 yield self.encode([text])[0]
                 continue
             if len(self.store) > STORE_WORDS:
-                self.store, self.pieces = KnownWords(self.word), {"": b""}
+                self.store.before = {}
+                self.store, self.pieces = KnownWords(self.word, self.store), {"": b""}
             yield b"".join(map(self.store.__getitem__, text.split()))
 
 
