@@ -63,9 +63,11 @@ REPORT_COLUMNS = (
 
 # Words of an SQL filter that name no field.
 FILTER_KEYWORDS = (
-    "ALL", "AND", "ANY", "AS", "ASC", "BETWEEN", "CASE", "CAST", "COLLATE", "DATE", "DESC", "DISTINCT", "ELSE", "END",
-    "ESCAPE", "EXISTS", "FALSE", "ILIKE", "IN", "INTERVAL", "IS", "ISNULL", "LIKE", "NOT", "NOTNULL", "NULL", "OR",
-    "REGEXP", "SIMILAR", "THEN", "TIME", "TIMESTAMP", "TO", "TRUE", "WHEN",
+    "ALL", "AND", "ANY", "AS", "ASC", "BETWEEN", "CASE", "CAST", "COLLATE", "CURRENT_CATALOG", "CURRENT_DATE",
+    "CURRENT_ROLE", "CURRENT_SCHEMA", "CURRENT_TIME", "CURRENT_TIMESTAMP", "CURRENT_USER", "DATE", "DESC", "DISTINCT", "ELSE",
+    "END", "ESCAPE", "EXISTS", "FALSE", "ILIKE", "IN", "INTERVAL", "IS", "ISNULL", "LIKE", "LOCALTIME", "LOCALTIMESTAMP", "NOT",
+    "NOTNULL", "NULL", "OR", "REGEXP", "SESSION_USER", "SIMILAR", "SYMMETRIC", "THEN", "TIME", "TIMESTAMP", "TO", "TRUE",
+    "UNKNOWN", "WHEN",
 )
 
 # Outcomes of matching a style bundle to a layer.

@@ -132,15 +132,15 @@ def infer_schema(features: DataFrame) -> DataFrame:
 
 
 def record_fields(records: DataFrame) -> DataFrame:
-    """The same for records with ``table_name, properties``."""
+    """The same for records with ``table_name, properties``; of a repeated key the last value counts."""
     keys = records.select(
-        "table_name", "properties", F.posexplode(F.json_object_keys("properties")).alias("pos", "field_name")
+        "table_name", "properties", F.posexplode(F.array_distinct(F.json_object_keys("properties"))).alias("pos", "field_name")
     )
     shown = keys.filter(~F.col("field_name").isin(*fixed.GEOMETRY_HELPER_COLUMNS))
     parsed = F.from_json("properties", "map<string,variant>")
     return shown.select(
         "table_name", F.col("pos").cast("bigint").alias("field_ord"), "field_name",
-        field_type(F.element_at(parsed, F.col("field_name"))).alias("field_type"),
+        field_type(F.try_element_at(F.filter(F.map_entries(parsed), lambda e: e["key"] == F.col("field_name")), F.lit(-1))["value"]).alias("field_type"),
     )
 
 

@@ -30,24 +30,24 @@ def chosen_layers(layers: DataFrame, chosen: DataFrame | None) -> DataFrame:
 def group_paths(groups: DataFrame) -> DataFrame:
     """Names of a group and its ancestors joined by `` / ``; the root is left out.
 
-    ``groups`` has ``group_id, parent_id, group_name``; the root has no parent. The walk goes
-    one level down per step, and every level is written before the next one reads it, so
-    neither the depth nor the number of groups is limited.
+    ``groups`` has ``group_id, parent_id, group_name``; the root has no parent. Each round puts the path of the
+    ancestor a group has reached before its own and goes on from where that one is, so the reach doubles: a
+    chain of any depth takes its logarithm in rounds, each written once. Groups without a way to a root, also
+    those in a circle, have no path.
     """
-    named = groups.filter(F.col("parent_id").isNotNull())
-    level = groups.filter(F.col("parent_id").isNull()).select("group_id", F.lit(None).cast("string").alias("group_path"))
-    paths = level
-    while True:
-        above = level.select(F.col("group_id").alias("parent_id"), F.col("group_path").alias("above"))
-        level = written(
-            named.join(above, "parent_id").select(
-                "group_id", F.concat_ws(" / ", "above", "group_name").alias("group_path")
-            ),
-            "group-level",
+    root = F.col("parent_id").isNull()
+    state = written(groups.select("group_id", F.col("parent_id").alias("up"), F.when(~root, F.col("group_name")).alias("group_path")), "group-paths")
+    done, rest = state.filter("up IS NULL"), state.filter("up IS NOT NULL")
+    for _ in range(state.count().bit_length() + 1):
+        ahead = done.unionByName(rest).select(F.col("group_id").alias("up"), F.col("up").alias("next"), F.col("group_path").alias("above"))
+        state = split_join(rest, ahead, ["up"]).select(
+            "group_id", F.col("next").alias("up"), F.concat_ws(" / ", "above", "group_path").alias("group_path")
         )
-        if level.isEmpty():
-            return paths
-        paths = paths.unionByName(level)
+        state = written(state, "group-paths")
+        done, rest = done.unionByName(state.filter("up IS NULL")), state.filter("up IS NOT NULL")
+        if rest.isEmpty():
+            break
+    return done.select("group_id", "group_path")
 
 
 def layer_paths(layers: DataFrame, groups: DataFrame) -> DataFrame:

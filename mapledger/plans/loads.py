@@ -15,8 +15,10 @@ from ..session import written
 from ..sources.results import materialize_result
 
 # Types in the order of widening; text holds every value.
-WIDER = {"BIGINT": "DOUBLE", "DOUBLE": "STRING", "BOOLEAN": "STRING"}
+WIDER = {"BIGINT": "DOUBLE", "DOUBLE": "DECIMAL", "DECIMAL": "STRING", "BOOLEAN": "STRING"}
 WHOLE_NUMBER = r"^[+-]?[0-9]+(\.0+)?$"
+# A text that a number is written as, in one way only.
+PLAIN_NUMBER = r"^(?!-0$)-?(0|[1-9][0-9]*)(\.[0-9]*[1-9])?$"
 
 
 class LoadError(Exception):
@@ -37,8 +39,12 @@ def free_names(names: list[str], taken: tuple[str, ...] = ()) -> list[str]:
 
 
 def _value(records: Column, name: str) -> Column:
-    """The value of an exact key as text; objects and lists as JSON; null for JSON null and missing keys."""
-    value = F.element_at(records, F.lit(name))
+    """The value of an exact key, the last one if it is repeated."""
+    return F.try_element_at(F.filter(F.map_entries(records), lambda e: e["key"] == name), F.lit(-1))["value"]
+
+
+def _text(value: Column) -> Column:
+    """A value as text; objects and lists as JSON; null for JSON null and missing keys."""
     kind = F.schema_of_variant(value)
     nested = kind.startswith("OBJECT") | kind.startswith("ARRAY")
     return F.when(nested, F.to_json(value)).otherwise(F.try_variant_get(value, "$", "string"))
@@ -50,18 +56,40 @@ def _converted(text: Column, kind: str) -> Column:
         return F.when(text.rlike(WHOLE_NUMBER), F.regexp_replace(text, r"\.0+$", "").try_cast("bigint"))
     if kind == "BOOLEAN":
         return F.when(text.isin("true", "false"), text == "true")
-    return text if kind == "STRING" else text.try_cast(kind)
+    return text if kind == "STRING" else text.try_cast("decimal(38,18)" if kind == "DECIMAL" else kind)
+
+
+def _fits(value: Column, kind: str) -> Column:
+    """Whether a value comes back from a type as the same number, or, if it is a text, as the same text."""
+    text, own = _text(value), F.schema_of_variant(value)
+    typed = _converted(text, kind)
+    is_text = own == "STRING"
+    if kind == "BOOLEAN":
+        fits = typed.isNotNull()
+    elif kind == "BIGINT":
+        fits = typed.isNotNull() & (~is_text | (typed.cast("string") == text))
+    elif kind == "DECIMAL":
+        fits = typed.isNotNull() & text.rlike(r"^-?[0-9]{1,20}(\.[0-9]{1,18}0*)?$") & (~is_text | text.rlike(PLAIN_NUMBER))
+    else:
+        shown = typed.cast("string")  # the shortest text that names the double
+
+        def equal(scale: int) -> Column:
+            return shown.try_cast(f"decimal(38,{scale})") == text.try_cast(f"decimal(38,{scale})")
+
+        exact = equal(18) & F.when(F.abs(typed) < 1, equal(37)).otherwise(True)
+        # A number written with an exponent is a double in the first place.
+        fits = F.when(is_text, text.rlike(PLAIN_NUMBER) & exact).when(own.isin("DOUBLE", "FLOAT"), F.abs(typed) < float("inf")).otherwise(exact)
+    return text.isNull() | F.coalesce(fits, F.lit(False))
 
 
 def widened_fields(rows: DataFrame, fields: list[tuple[str, str]]) -> list[tuple[str, str]]:
-    """``fields`` with types that hold the values of all rows: a whole number widens to a double, and what
-    does not fit to text. One aggregate over all fields; one row comes to the driver."""
+    """``fields`` with types that give the values of all rows back: a whole number widens to a double, where that is not
+    exact to a decimal, and what does not fit either to text. One aggregate over all fields; one row comes to the driver."""
     records = F.from_json("properties", "map<string,variant>")
     checks = []
     for place, (name, kind) in enumerate(fields):
         while kind != "STRING":
-            text = _value(F.col("r"), name)
-            fits = F.bool_and(text.isNull() | _converted(text, kind).isNotNull())
+            fits = F.bool_and(_fits(_value(F.col("r"), name), kind))
             checks.append(F.coalesce(fits, F.lit(True)).alias(f"{place}_{kind}"))
             kind = WIDER[kind]
     if not checks:
@@ -78,7 +106,7 @@ def widened_fields(rows: DataFrame, fields: list[tuple[str, str]]) -> list[tuple
 def typed_records(fields: list[tuple[str, str]], names: list[str]) -> list[Column]:
     """The attribute columns of JSON records, by exact key and type, under ``names``."""
     records = F.from_json("properties", "map<string,variant>")
-    return [_converted(_value(records, key), kind).alias(name) for (key, kind), name in zip(fields, names, strict=True)]
+    return [_converted(_text(_value(records, key)), kind).alias(name) for (key, kind), name in zip(fields, names, strict=True)]
 
 
 def first_fields(rows: DataFrame) -> list[tuple[str, str]]:

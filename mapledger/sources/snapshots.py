@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,14 +58,27 @@ def read_resource(spark: SparkSession, path: str, ext: str, multi_line: bool = F
     raise ValueError(f"no reader for extension {ext!r}")
 
 
-# What stands outside quotes: an even number of them follows.
-_OUTSIDE = r'(?=(?:[^"]*"[^"]*")*[^"]*$)'
+def _cell(sep: str) -> str:
+    """A cell, quoted or not, of a text delimited by ``sep``. All of it is possessive, so a text is walked through
+    once, without a stack frame for each quote or line."""
+    return rf'(?:[ \t]*+"[^"]*+(?:""[^"]*+)*+"?+)?+[^{sep}\n]*+'
+
+
+def _records(text: Column, sep: str = ",") -> Column:
+    """The lines of a delimited text that are not empty; a quoted cell may hold line breaks."""
+    cell = _cell(sep)
+    lines = F.regexp_extract_all(text, F.lit(rf"((?:{cell}{sep})*+{cell})(?:\n|\z)"), 1)
+    return F.filter(F.transform(lines, lambda line: F.regexp_replace(line, r"\r\z", "")), lambda line: line != "")
 
 
 def _cells(line: Column, sep: str = ",") -> Column:
     """The cells of a delimited line, without their quotes."""
-    cells = F.split(line, sep + _OUTSIDE, -1)
-    return F.transform(cells, lambda c: F.regexp_replace(F.regexp_replace(c, r'\A\s*"|"\s*\z', ""), '""', '"'))
+    cells = F.regexp_extract_all(F.concat(F.lit(sep), line), F.lit(rf"{sep}({_cell(sep)})"), 1)
+
+    def bare(cell: Column) -> Column:
+        return F.replace(F.regexp_replace(cell, r'\A[ \t]*+"|"[ \t]*+\z', ""), F.lit('""'), F.lit('"'))
+
+    return F.transform(cells, lambda c: F.when(c.rlike(r'\A[ \t]*+"'), bare(c)).otherwise(c))
 
 
 def field_dictionary_lines(files: DataFrame) -> DataFrame:
@@ -78,8 +88,7 @@ def field_dictionary_lines(files: DataFrame) -> DataFrame:
     breaks, a byte order mark and any order of columns are allowed.
     """
     text = F.regexp_replace(F.make_valid_utf8(F.col("content").cast("string")), "\\A\ufeff", "")
-    lines = F.filter(F.split(text, r"\r?\n" + _OUTSIDE, -1), lambda line: line != "")
-    parsed = files.select("bundle_url", F.transform(lines, lambda line: _cells(line)).alias("rows"))
+    parsed = files.select("bundle_url", F.transform(_records(text), lambda line: _cells(line)).alias("rows"))
     rows = parsed.select("bundle_url", F.try_element_at("rows", F.lit(1)).alias("head"), F.posexplode("rows").alias("line_no", "cells"))
 
     def cell(name: str) -> Column:
@@ -101,27 +110,6 @@ def read_field_dictionary(spark: SparkSession, path: str) -> DataFrame:
     return clean_dictionary(field_dictionary_lines(named))
 
 
-def archive_members(files: DataFrame) -> DataFrame:
-    """Top-level names of ZIP archives with ``bundle_url, content``; a broken archive has none."""
-
-    def members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import io
-        import zipfile
-
-        for batch in batches:
-            rows = []
-            for url, content in zip(batch["bundle_url"], batch["content"]):
-                try:
-                    names = zipfile.ZipFile(io.BytesIO(bytes(content))).namelist()
-                except zipfile.BadZipFile:
-                    continue
-                top = dict.fromkeys(name.split("/", 1)[0] for name in names)
-                rows.extend((url, pos, name) for pos, name in enumerate(top))
-            yield pd.DataFrame(rows, columns=["bundle_url", "pos", "member"])
-
-    return files.select("bundle_url", "content").mapInPandas(members, "bundle_url STRING, pos BIGINT, member STRING")
-
-
 def bundle_manifest(members: DataFrame) -> DataFrame:
     """The style, dictionary and ESRI style of every archive that has one of them.
 

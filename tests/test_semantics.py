@@ -7,6 +7,7 @@ import pytest
 from mapledger.functions import fixed
 from mapledger.operators import catalog, features, fields, layers, resources, styles, versions
 from mapledger.plans import loads, refresh
+from mapledger.session import written
 
 UID = "0a0b0c0d-0000-1111-2222-333344445555"
 BASE = f"https://pub-9z.r2.dev/datasets/{UID}/v1/"
@@ -222,6 +223,26 @@ def test_values_of_other_types_stay(spark):
     assert rows(loads.load_table(df, "t", "cut", row_cap=2).select("feature_ord", "truncated"), "feature_ord") == [(0, True), (1, True)]
 
 
+def test_values_come_back_as_they_were(spark):
+    """Whole numbers beyond doubles, leading zeros, texts that look like numbers, many digits, and repeated keys."""
+    df = feature_rows(
+        spark, ('{"big":5.5,"code":5,"odd":1.5,"long":1.25,"two":1,"two":2,"e":1,"small":0.5}', POINT),
+        ('{"big":9007199254740993,"code":"007","odd":"1e400","long":0.1234567890123456789012,"two":3,"e":1e3,"small":"0.30000000000000004"}', POINT),
+        ('{"odd":"3d","e":2.5,"big":-3}', POINT),
+    )
+    got = loads.load_table(df, "t", "true").orderBy("feature_ord")
+    assert dict(got.dtypes) == {
+        "feature_ord": "bigint", "big": "decimal(38,18)", "code": "string", "odd": "string", "long": "string", "two": "bigint",
+        "e": "double", "small": "double", "truncated": "boolean",
+    }
+    values = [tuple(r) for r in got.drop("feature_ord", "truncated").collect()]
+    assert [(int(b) if b == int(b) else float(b), *rest) for b, *rest in values] == [
+        (5.5, "5", "1.5", "1.25", 2, 1.0, 0.5), (9007199254740993, "007", "1e400", "0.1234567890123456789012", 3, 1000.0, 0.30000000000000004),
+        (-3, None, "3d", None, None, 2.5, None),
+    ]
+    assert loads.load_table(df, "t", "some", where='"big" > 9007199254740992').count() == 1
+
+
 def test_capped_of_wide_keys(spark):
     wide = spark.createDataFrame([(-9 * 10**18,), (0,), (9 * 10**18,)], "feature_ord bigint")
     assert rows(features.capped(wide, 2, "features"), "feature_ord") == [(-9 * 10**18, True), (0, True)]
@@ -240,10 +261,14 @@ def test_lost_filters_by_quoted_and_bare_names(spark):
     filters = {
         "quoted": '"gone" = 5', "bare": "gone = 5", "kept": '"kept" = \'say "x" and gone\'', "any case": "KEPT > 1 AND kept IS NOT NULL",
         "exact": '"KEPT" = 1', "call": "lower(kept) LIKE 'a%' OR kept IN (1, 2)",
+        "types": "CAST(kept AS INTEGER) = 5 AND kept < CURRENT_DATE AND kept IS UNKNOWN AND kept::text = 'a' AND kept::numeric(5, 2) > 1",
+        "words": "CAST(kept AS double precision) > 1 OR kept::timestamp(3) with time zone < now() OR kept::\"Own\"[] IS NULL",
+        "long": "kept = '" + "it''s " * 200_000 + "'", "open": "kept = '" + "it''s " * 20_000,
     }
     scan = spark.createDataFrame([(k, "update", "u", f"/x|subset={v}") for k, v in filters.items()], "layer_id string, status string, new_url string, source string")
     fields_of = spark.createDataFrame([("u", 0, "kept")], "download_url string, field_ord bigint, field_name string")
-    assert {r.layer_id for r in refresh.lost_filter_fields(scan, fields_of).collect()} == {"quoted", "bare", "exact"}
+    # A literal that never ends is no literal, so its words are names.
+    assert {r.layer_id for r in refresh.lost_filter_fields(scan, fields_of).collect()} == {"quoted", "bare", "exact", "open"}
 
 
 def test_refresh_statuses(spark):
@@ -299,6 +324,17 @@ def test_group_paths_of_any_depth(spark):
     assert got[0] is None and got[7] == " / ".join(f"g{i}" for i in range(1, 8))
 
 
+def test_group_paths_take_few_rounds(spark, monkeypatch):
+    """A chain of 1,000 groups, a circle, and a group whose parent is not there."""
+    rounds = []
+    monkeypatch.setattr(layers, "written", lambda df, label: rounds.append(label) or written(df, label))
+    deep = [(0, None, "root")] + [(i, i - 1, f"g{i}") for i in range(1, 1001)] + [(2001, 2002, "a"), (2002, 2001, "b"), (3000, 4000, "c")]
+    groups = spark.createDataFrame(deep, "group_id bigint, parent_id bigint, group_name string")
+    got = dict(rows(layers.group_paths(groups)))
+    assert len(got) == 1001 and got[1000] == " / ".join(f"g{i}" for i in range(1, 1001))
+    assert len(rounds) <= 13
+
+
 def test_field_case(spark):
     own = spark.createDataFrame(
         [("l", 0, "term_name"), ("l", 1, "Term_Name"), ("l", 2, "stat1tendrtext"), ("l", 3, "X")], "layer_id string, field_ord bigint, field_name string"

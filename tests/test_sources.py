@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import gzip
 import json
-import zipfile
 
 from pyspark.sql import functions as F
 
@@ -101,23 +100,41 @@ def test_dictionary_files(spark, tmp_path):
     assert got == {("a_fields.csv", "x"): "שם, ארוך\nבשתי שורות", ("a_fields.csv", "y"): "אחרון"}
 
 
-def test_archives(spark, tmp_path):
+def test_archives(spark):
     members = {
-        "both.zip": ["icons/a.svg", "s.SLD", "t.sld", "x_fields.csv", "a.lyr"], "lyr.zip": ["a.shp", "b.LYRX"],
-        "nested.zip": ["sub/x.sld"], "case.zip": ["X_FIELDS.CSV"],
+        "both.zip": ["icons", "s.SLD", "t.sld", "x_fields.csv", "a.lyr"], "lyr.zip": ["a.shp", "b.LYRX"],
+        "nested.zip": ["sub"], "case.zip": ["X_FIELDS.CSV"],
     }
-    for name, names in members.items():
-        with zipfile.ZipFile(tmp_path / name, "w") as archive:
-            for member in names:
-                archive.writestr(member, "x")
-    (tmp_path / "broken.zip").write_bytes(b"no archive")
-    files = spark.read.format("binaryFile").load(str(tmp_path)).select(
-        F.element_at(F.split("path", "/"), -1).alias("bundle_url"), "content"
-    )
-    got = {r.bundle_url: (r.sld, r.fields_csv, r.lyr) for r in snapshots.bundle_manifest(snapshots.archive_members(files)).collect()}
+    rows = [(url, pos, name) for url, names in members.items() for pos, name in enumerate(names)]
+    listed = spark.createDataFrame(rows, "bundle_url string, pos long, member string")
+    got = {r.bundle_url: (r.sld, r.fields_csv, r.lyr) for r in snapshots.bundle_manifest(listed).collect()}
     assert got == {"both.zip": ("s.SLD", "x_fields.csv", None), "lyr.zip": (None, None, "b.LYRX")}
 
 
+def test_long_dictionaries_and_headers(spark, tmp_path):
+    """100,000 quoted lines in one file, and a header of 5,000 quoted names, are walked through once."""
+    lines = "".join(f'"name, {i} ""q""\nline two",x{i},1\r\n' for i in range(100_000))
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "long_fields.csv").write_text("hebrew_alias,machine_name,is_served\r\n" + lines, newline="")
+    rows = snapshots.read_field_dictionary(spark, str(tmp_path / "a"))
+    assert rows.count() == 100_000
+    assert rows.filter("machine_name = 'x99999'").first().alias == 'name, 99999 "q"\nline two'
+    (tmp_path / "b").mkdir()
+    (tmp_path / "b" / "wide.csv").write_text(",".join(f'"f ""{i}"", x"' for i in range(5000)) + "\n1\n")
+    names = snapshots.file_field_names(spark, str(tmp_path / "b")).orderBy("field_ord").collect()
+    assert [r.field_name for r in names] == [f'f "{i}", x' for i in range(5000)]
+
+
+def test_cells(spark):
+    texts = ['a,b', 'a,,', '', '"a,b" ,c', 'x"y,z', '"open, and\nnever closed', ' "q""" ,', '"" ,""', 'a,"b\r\nc"\r\nd,"e"\r\n\r\nf']
+    table = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    got = table.orderBy("i").select(F.transform(snapshots._records(F.col("t")), lambda x: snapshots._cells(x)).alias("r")).collect()
+    assert [r.r for r in got] == [
+        [["a", "b"]], [["a", "", ""]], [], [["a,b", "c"]], [['x"y', "z"]], [["open, and\nnever closed"]], [['q"', ""]], [["", ""]],
+        [["a", "b\r\nc"], ["d", "e"], ["f"]],
+    ]
+
+
 def test_report_and_results(spark, tmp_path):
     report = spark.createDataFrame([tuple(None if c == "to_version" else c for c in fixed.REPORT_COLUMNS)], ", ".join(f"{c} string" for c in fixed.REPORT_COLUMNS))
     for fmt in ("parquet", "csv"):
