@@ -1,7 +1,7 @@
 """Main text of web pages, with site templates removed.
 
-A task parses each page once into blocks of text with the hashes of the element subtrees around them.
-Spark counts on how many pages of a host, of distinct main texts, each subtree occurs; subtrees on several are the
+A task parses each page once, in time that grows with its length, into blocks of text and the hashes of the element
+subtrees that hold them, each made of its children's. Spark counts on how many pages of a host, of distinct main texts, each subtree occurs; subtrees on several are the
 site's template, and blocks inside them are taken out, on every page and inside and outside its article alike. What
 markup itself names as no part of an article (menus, headers, footers, asides, notices, adverts, forms,
 comments, scripts) is left out while parsing. Inside an article or main element only containers are counted,
@@ -15,6 +15,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 from html import unescape
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -49,6 +50,12 @@ ASIDE_WORDS = frozenset(
     "widget complementary contentinfo navigation search alert reply replies respond".split()
 )
 
+# Names that, as the id of an element in an article, are not likely to be made from a heading's words.
+ASIDE_IDS = frozenset(
+    "ad ads adv advert breadcrumb breadcrumbs comment comments contentinfo cookie cookies disqus footer gdpr masthead nav navbar "
+    "pager pagination respond sidebar".split()
+)
+
 # Elements that, inside an article, are its own text and not a container that a site puts there.
 OWN_TEXT = frozenset(
     "p h1 h2 h3 h4 h5 h6 pre blockquote li dt dd caption thead tbody tfoot tr td th figure figcaption details summary address "
@@ -58,32 +65,47 @@ OWN_TEXT = frozenset(
 # An article element may be a reader's comment.
 _MARKED_ARTICLE = frozenset("comment comments reply replies".split())
 
-_TOKEN = re.compile(
-    r"<!--(?:.*?--!?>|.*)|<!\[CDATA\[(?P<data>.*?)\]\]>|<[!?][^>]*>"
-    r"|<(?P<end>/?)(?P<tag>[A-Za-z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S
-)
-_NAMES = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+# Markup at a "<". Quantifiers are possessive, so a look at a place takes one pass; after a tag whose quotes never close,
+# quotes mean nothing any more, so such a look is taken once.
+_COMMENT = re.compile(r"<!--(?:.*?--!?>|.*+)", re.S)
+_DATA = re.compile(r"<!\[CDATA\[(.*?)\]\]>", re.S)
+_DECLARATION = re.compile(r"<[!?][^>]*+>")
+_TAG_START = re.compile(r"</?[A-Za-z]")
+_TAG = re.compile(r"<(?P<end>/?)(?P<tag>[A-Za-z][^\s/>]*+)(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
+_LOOSE_TAG = re.compile(r"<(?P<end>/?)(?P<tag>[A-Za-z][^\s/>]*+)(?P<rest>[^>]*+)>")
+_NAMES = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_HIDDEN = re.compile(r"(?:^|\s)(?:hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true)", re.I)
 _SPACE = re.compile(r"\s+")
 _MAIN = frozenset(("article", "main"))
 
 
 def _aside(tag: str, rest: str, in_main: bool) -> bool:
-    """Whether an element is by its markup no part of an article. The header of an article holds its title,
-    and names such as ``has-sidebar`` tell of something else inside the element."""
+    """Whether an element is by its markup no part of an article.
+
+    Names such as ``has-sidebar`` tell of something else inside the element. The header of an article holds its title.
+    Inside an article, an element of its own text is never left out for its names, and a container only for a whole name, as
+    ``search-results`` or ``related-work`` may well be what the article is about.
+    """
     if tag in ASIDE_TAGS or (tag == "header" and not in_main):
         return True
-    if tag in ("html", "body", "article", "main"):
-        tag, words = "", _MARKED_ARTICLE
-    else:
-        words = ASIDE_WORDS - {"header"} if in_main else ASIDE_WORDS
     if not rest.strip(" /"):
         return False
-    for names in _NAMES.findall(rest):
+    root = tag in ("html", "body", "article", "main")
+    if not root and _HIDDEN.search(rest):
+        return True
+    if in_main and tag in OWN_TEXT:
+        return False
+    words = _MARKED_ARTICLE if root else ASIDE_WORDS
+    for kind, *names in _NAMES.findall(rest):
         for name in "".join(names).lower().split():
+            if in_main and not root:
+                if name in (ASIDE_IDS if kind.lower() == "id" else ASIDE_WORDS - {"header"}):
+                    return True
+                continue
             parts = re.split(r"[^a-z0-9]+", name)
             if parts[0] not in ("has", "with", "no") and not words.isdisjoint(parts):
                 return True
-    return bool(tag and re.search(r"(?:^|\s)(?:hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true)", rest, re.I))
+    return False
 
 
 class _Page:
@@ -91,8 +113,10 @@ class _Page:
 
     def __init__(self, html: str):
         self.open: list[tuple[str, bool, bool, int]] = []
+        self.count: dict[str, int] = {}  # open elements by tag
         self.parts: list[str] = []
-        self.blocks: list[list] = []  # text, in main
+        self.inner: list[list[str]] = [[]]  # blocks and subtrees in turn, of the page and of open elements that are not inline
+        self.blocks: list[tuple[str, bool]] = []  # text, in main
         self.subtrees: list[tuple[int, int, int]] = []  # hash, first block, block behind the last
         self.mains: list[tuple[int, int]] = []  # first block of an article or main element, block behind its last
         self.read(html)
@@ -104,7 +128,8 @@ class _Page:
         text = _SPACE.sub(" ", "".join(self.parts)).strip()
         self.parts = []
         if text:
-            self.blocks.append([text, bool(self.open) and self.open[-1][2]])
+            self.blocks.append((text, bool(self.open) and self.open[-1][2]))
+            self.inner[-1].append(text)
 
     def text(self, raw: str) -> None:
         if raw and not (self.open and self.open[-1][1]):
@@ -128,20 +153,32 @@ class _Page:
             skipped = any(left_out and name != "form" for name, left_out, *_ in self.open[: self.first_skipped() + 1])
         skipped = skipped or _aside(tag, rest, in_main)
         self.open.append((tag, skipped, in_main or (tag in _MAIN and not skipped), len(self.blocks)))
+        self.count[tag] = self.count.get(tag, 0) + 1
+        if tag not in INLINE:
+            self.inner.append([])
 
     def pop(self) -> None:
-        if self.open[-1][0] not in INLINE:
+        inline = self.open[-1][0] in INLINE
+        if not inline:
             self.flush()
         tag, skipped, in_main, first = self.open.pop()
-        if tag in INLINE or skipped or len(self.blocks) == first:
+        self.count[tag] -= 1
+        if inline:
             return
+        own = self.inner.pop()
+        if not own:
+            return
+        digest = _digest([tag, *own])
+        self.inner[-1].append(f"\0{digest}")
         if tag in _MAIN:
             self.mains.append((first, len(self.blocks)))
-        elif not in_main or tag not in OWN_TEXT:
-            self.subtrees.append((_digest([tag, *(text for text, _ in self.blocks[first:])]), first, len(self.blocks)))
+        elif not skipped and (not in_main or tag not in OWN_TEXT):
+            self.subtrees.append((digest, first, len(self.blocks)))
 
     def close_until(self, ends, walls) -> None:
         """Close the innermost of some elements, if no wall is around it sooner."""
+        if not any(self.count.get(tag) for tag in ends):
+            return
         for at in range(len(self.open) - 1, -1, -1):
             if self.open[at][0] in ends:
                 while len(self.open) > at:
@@ -151,37 +188,60 @@ class _Page:
                 return
 
     def read(self, html: str) -> None:
-        at = 0
-        while found := _TOKEN.search(html, at):
-            self.text(html[at : found.start()])
-            at = found.end()
-            if found["data"] is not None:
-                self.text(found["data"])
-            if not found["tag"]:
+        at, place = 0, html.find("<")
+        last, last_data, tags = html.rfind(">"), html.rfind("]]>"), _TAG
+        while place >= 0:
+            if html.startswith("<!--", place):
+                found = _COMMENT.match(html, place)
+            elif place > last:
+                break  # no more markup ends
+            elif html.startswith("<![CDATA[", place) and place < last_data:
+                found = _DATA.match(html, place)
+            elif html.startswith(("<!", "<?"), place):
+                found = _DECLARATION.match(html, place)
+            else:
+                found = tags.match(html, place)
+                if not found and _TAG_START.match(html, place):
+                    tags = _LOOSE_TAG
+                    found = tags.match(html, place)
+            if not found:
+                place = html.find("<", place + 1)
                 continue
-            tag = found["tag"].lower()
-            if found["end"]:
-                self.close_until((tag,), ())
-                continue
-            self.begin(tag, found["rest"])
-            if tag in RAW and not found["rest"].endswith("/"):
-                end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(html, at)
-                at = end.end() if end else len(html)
-                self.pop()
+            self.text(html[at:place])
+            at = found.end()
+            if found.re is _DATA:
+                self.text(found[1])
+            elif found.re in (_TAG, _LOOSE_TAG):
+                at = self.markup(html, found)
+            place = html.find("<", at)
         self.text(html[at:])
         while self.open:
             self.pop()
         self.flush()
 
+    def markup(self, html: str, found: re.Match) -> int:
+        """Take a tag, with all that it holds if that is raw text; where to read on."""
+        end, tag, rest = found["end"], found["tag"].lower(), found["rest"]
+        if end:
+            self.close_until((tag,), ())
+            return found.end()
+        self.begin(tag, rest)
+        if tag not in RAW or rest.endswith("/"):
+            return found.end()
+        end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(html, found.end())
+        self.pop()
+        return end.end() if end else len(html)
+
 
 def _digest(parts: list[str]) -> int:
     digest = hashlib.blake2b("\n".join(parts).encode("utf-8", "replace"), digest_size=8).digest()
     return int.from_bytes(digest, "big", signed=True)
 
 
-def parse(html: str) -> tuple[list[tuple[str, list[int]]], int]:
-    """The blocks of a page in order, each with the hashes of the subtrees around it that may be template,
-    and a hash of its content: the text of its article and main elements, or all text if it has none."""
+def parse(html: str) -> tuple[list[tuple[str, bool]], int, list[tuple[int, int, int]]]:
+    """The blocks of a page in order with whether they are in an article or main element, a hash of its content, which is
+    the text of these elements or all text if it has none, and the subtrees that may be template: hash, first block, and
+    the block behind the last."""
     page = _Page(html)
     content = _digest([text for text, in_main in page.blocks if in_main or not page.mains])
     # A page without such an element is as a whole no template either.
@@ -192,16 +252,37 @@ def parse(html: str) -> tuple[list[tuple[str, list[int]]], int]:
         least[start] = min(least[start], stop)
     for at in range(len(page.blocks) - 1, -1, -1):
         least[at] = min(least[at], least[at + 1])
-    around: list[list[int]] = [[] for _ in page.blocks]
-    for digest, first, end in page.subtrees:
-        if least[first] <= end:
-            continue
-        for block in range(first, end):
-            around[block].append(digest)
-    return [(text, hashes) for (text, _), hashes in zip(page.blocks, around, strict=True)], content
+    return page.blocks, content, [found for found in page.subtrees if least[found[1]] > found[2]]
+
+
+def without_subtrees(blocks: list[str], subtrees: list[dict], drop: set[int]) -> list[str]:
+    """The blocks that lie in none of the dropped subtrees."""
+    begun = [0] * (len(blocks) + 1)
+    for found in subtrees:
+        if found["subtree"] in drop:
+            begun[found["first"]] += 1
+            begun[found["behind"]] -= 1
+    return [text for text, depth in zip(blocks, accumulate(begun)) if not depth]
+
 
+_SUBTREES = pa.list_(pa.struct([("subtree", pa.int64()), ("first", pa.int32()), ("behind", pa.int32())]))
+_PARSED = pa.struct([("content", pa.int64()), ("blocks", pa.list_(pa.string())), ("subtrees", _SUBTREES)])
 
-_PARSED = pa.struct([("content", pa.int64()), ("blocks", pa.list_(pa.struct([("text", pa.string()), ("around", pa.list_(pa.int64()))])))])
+
+def _parsed_pages(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    names = ("subtree", "first", "behind")
+    for batch in batches:
+        rows = []
+        for blocks, content, subtrees in map(parse, batch.to_pylist()):
+            found = [dict(zip(names, x, strict=True)) for x in subtrees]
+            rows.append({"content": content, "blocks": [text for text, _ in blocks], "subtrees": found})
+        yield pa.array(rows, _PARSED)
+
+
+def _cleaned_pages(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+    for batch in batches:
+        rows = zip(*(column.to_pylist() for column in batch), strict=True)
+        yield pa.array([without_subtrees(b, s, set(d)) if d else b for b, s, d in rows], pa.list_(pa.string()))
 
 
 def main_text(pages: DataFrame, html: str = "html", url: str = "url", least_pages: int = 3) -> DataFrame:
@@ -219,18 +300,12 @@ def main_text(pages: DataFrame, html: str = "html", url: str = "url", least_page
     kept = [c for c in pages.columns if c not in (html, "text")]
     whole = F.struct(*(F.col(f"`{c}`") for c in kept), F.lit(0).alias("engine_pad")).alias("row")
     host = F.coalesce(F.lower(F.regexp_extract(F.col(f"`{url}`"), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#]*)", 1)), F.lit(""))
-
-    @F.arrow_udf("struct<content:bigint,blocks:array<struct<text:string,around:array<bigint>>>>")
-    def parsed_page(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            found = [parse(p) for p in batch.to_pylist()]
-            yield pa.array([{"content": c, "blocks": [{"text": t, "around": a} for t, a in b]} for b, c in found], _PARSED)
-
+    parsed_page = F.arrow_udf(_parsed_pages, "struct<content:bigint,blocks:array<string>,subtrees:array<struct<subtree:bigint,first:int,behind:int>>>")
+    cleaned_page = F.arrow_udf(_cleaned_pages, "array<string>")
     parsed = pages.select(whole, host.alias("host"), parsed_page(text_or_empty(F.col(f"`{html}`"))).alias("parsed"))
-    parsed = parsed.select("row", "host", "parsed.content", "parsed.blocks")
-    subtrees = F.array_distinct(F.flatten(F.transform("blocks", lambda b: b["around"])))
-    rows = written(parsed.withColumns({"subtrees": subtrees, "page": F.monotonically_increasing_id()}), "blocks")
-    seen = rows.select("page", "host", "content", F.explode("subtrees").alias("subtree"))
+    parsed = parsed.select("row", "host", "parsed.content", "parsed.blocks", "parsed.subtrees")
+    rows = written(parsed.withColumn("page", F.monotonically_increasing_id()), "blocks")
+    seen = rows.select("page", "host", "content", F.explode(F.array_distinct("subtrees.subtree")).alias("subtree"))
     distinct = seen.select("host", "subtree", "content").distinct()
     counted = distinct.groupBy("host", "subtree").agg(F.count("*").alias("n"))
     template = counted.where(F.col("n") >= least_pages).select("host", "subtree")
@@ -238,12 +313,9 @@ def main_text(pages: DataFrame, html: str = "html", url: str = "url", least_page
     # Pages without a subtree in question, such as those of plain paragraphs in an article element, stay where they are.
     rest = F.size("subtrees") > 0
     cleaned = split_join(rows.where(rest), drop, ["page"], "left")
-    left = F.when(F.col("drop").isNull(), F.col("blocks")).otherwise(
-        F.filter("blocks", lambda b: ~F.arrays_overlap(b["around"], F.col("drop")))
-    )
-    cleaned = cleaned.withColumn("blocks", left).drop("drop").unionByName(rows.where(~rest))
-    text = F.array_join(F.transform("blocks", lambda b: b["text"]), "\n\n")
-    return cleaned.select(*(F.col("row").getField(c).alias(c) for c in kept), text.alias("text"))
+    cleaned = cleaned.select("row", cleaned_page("blocks", "subtrees", "drop").alias("blocks"))
+    cleaned = cleaned.unionByName(rows.where(~rest).select("row", "blocks"))
+    return cleaned.select(*(F.col("row").getField(c).alias(c) for c in kept), F.array_join("blocks", "\n\n").alias("text"))
 
 
 def text_report(pages: DataFrame) -> DataFrame:

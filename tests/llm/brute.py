@@ -157,3 +157,18 @@ def alignment(rows: list[tuple], encode_a, bytes_a, encode_b, bytes_b) -> list[t
          hashlib.sha256(";".join(groups).encode()).hexdigest() if groups else "")
         for (i, _), (n_a, n_b, groups), pairs in zip(rows, seen, linked)
     ), key=repr)
+
+
+def main_texts(pages: list[tuple], parse, least: int = 3) -> tuple[dict, int]:
+    """Texts of pages and how many blocks went: a subtree goes if that many contents of its host hold it."""
+    parsed = [(i, url.split("/")[2], *parse(html)) for i, url, html in pages]
+    held = defaultdict(set)
+    for _, host, _, content, subtrees in parsed:
+        for subtree, *_ in subtrees:
+            held[host, subtree].add(content)
+    texts, gone = {}, 0
+    for i, host, blocks, _, subtrees in parsed:
+        out = {k for x, first, behind in subtrees if len(held[host, x]) >= least for k in range(first, behind)}
+        gone += len(out)
+        texts[i] = "\n\n".join(t for k, (t, _) in enumerate(blocks) if k not in out)
+    return texts, gone

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 
 import brute
 import pytest
@@ -98,6 +99,44 @@ def test_copies_and_large_hosts(engine):
     assert got[102] == "story 2" and got[499] == "story 399"
 
 
+KEPT = [
+    "<h2 id='related-work'>k</h2>", "<section id='social-history'><p>k</p></section>", "<p class='alert'>k</p>", "<section id='search'><p>k</p></section>",
+    "<div class='search-results'>k</div>", "<div class='no-ads with-sidebar'>k</div>", "<ul id='share'><li class='promo'>k</ul>",
+]
+LEFT_OUT = ["<div class='ad box'>x</div>", "<section id='comments'><h2>Comments</h2></section>", "<div role='complementary'>x</div>", "<div hidden>x</div>"]
+
+
+@pytest.mark.parametrize(("part", "text"), [(p, "a\n\nk\n\nb") for p in KEPT] + [(p, "a\n\nb") for p in LEFT_OUT])
+def test_names_inside_an_article(part, text):
+    assert "\n\n".join(t for t, _ in html_extract.parse(f"<article><p>a</p>{part}<p>b</p></article>")[0]) == text
+
+
+@pytest.mark.parametrize(("html", "blocks"), [
+    ("<a " * 350_000, 1), ("<a " * 350_000 + ">", 0), ("<div>x" * 50_000, 50_000), ("<div>" * 50_000 + "</b>" * 50_000 + "x", 1), ("<![CDATA[" * 100_000 + "x>", 0),
+    ("<a \"'>x" * 100_000, 1), ("<!-- <p>" * 100_000, 0), ("<p>x" * 100_000, 100_000), ("<" * 500_000, 1), ("<b>" * 20_000 + "<div>x</div>" * 20_000, 20_000),
+])
+def test_odd_pages_take_time_by_their_length(html, blocks):
+    start = time.time()
+    assert len(html_extract.parse(html)[0]) == blocks
+    assert time.time() - start < 20
+
+
+def test_templates_against_plain_counts(engine):
+    """Random pages of three hosts, whose recurring parts only counts can tell: every deletion against a plain counter."""
+    draw = random.Random(11)
+    parts = ["<div>Subscribe to us</div>", "<div><p>Log in</p><p>Sign up</p></div>", "<section><p>Terms</p></section>", "<div><div>Deep</div></div>", "<p>Same words</p>"]
+    pages = []
+    for i in range(240):
+        own = [draw.choice(parts) for _ in range(draw.randint(0, 4))] + [f"<p>story {draw.randint(0, 40)}</p>" for _ in range(draw.randint(1, 3))]
+        draw.shuffle(own)
+        body = "".join(own)
+        pages.append((i, f"https://h{i % 3}.org/{i}", f"<article>{body}</article>" if i % 2 else f"<body>{body}</body>"))
+    got = {r.page_id: r.text for r in html_extract.main_text(engine.createDataFrame(pages, PAGES)).collect()}
+    want, deleted = brute.main_texts(pages, html_extract.parse)
+    assert got == want
+    assert deleted > 200
+
+
 @pytest.mark.parametrize("html", ["<p>a</p><div>b</div>", "<div>x</div><article><p>b</p></article>"])
 def test_content_of_a_page(html):
     same = html_extract.parse(html.replace("x", "y"))[1]
