@@ -34,3 +34,16 @@ def importable(spark: SparkSession) -> SparkSession:
     if root not in paths:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
     return spark
+
+
+def free_names(names: list[str], taken: list[str]) -> list[str]:
+    """``names`` for new columns, with ``_2`` and so on where a column has the name but for case."""
+    used, out = {t.lower() for t in taken}, []
+    for name in names:
+        free, n = name, 1
+        while free.lower() in used:
+            n += 1
+            free = f"{name}_{n}"
+        used.add(free.lower())
+        out.append(free)
+    return out

@@ -110,30 +110,42 @@ def contained_items(
     near = written(near.withColumn("doc", F.monotonically_increasing_id()), "look-up")
     hits = near.select("doc", F.explode("hits").alias("hash"))
     tallied = split_join(hits, sketch, ["hash"]).groupBy("doc", "item", "shingles", "needed").agg(F.count("*").alias("n"))
-    candidates = tallied.where("n >= needed").select("doc", "item", "shingles")
-    pairs = split_join(candidates, near.select("doc", "key", "text"), ["doc"])
-    pairs = split_join(pairs, items.select("item", "name", F.col("text").alias("item_text")), ["item"])
+    candidates = written(tallied.where("n >= needed").select("doc", "item"), "candidates")
+    of = benchmark.schema[item].dataType.simpleString()
+    # A document's row comes before those of its candidates, so its shingles are made once, however many it has.
+    held_by = split_join(candidates, items.select("item", "name", "text"), ["item"]).select(
+        "doc", F.lit(1).alias("turn"), F.lit(None).cast(kind).alias("key"), "name", "text"
+    )
+    texts = split_join(near.select("doc", "key", "text"), candidates.select("doc").distinct(), ["doc"], "left_semi").select(
+        "doc", F.lit(0).alias("turn"), "key", F.lit(None).cast(of).alias("name"), "text"
+    )
+    pairs = texts.unionByName(held_by).repartition("doc").sortWithinPartitions("doc", "turn").drop("doc")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def exact(value: str) -> set[str]:
             own = words(value)
             return {" ".join(own[i : i + SHINGLE_WORDS]) for i in range(len(own) - SHINGLE_WORDS + 1)}
 
+        open_key, open_shingles = None, set()
         for batch in batches:
-            shingles, kept = [], []
-            for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                wanted = exact(b)
-                shingles.append(len(wanted))
-                kept.append(len(wanted & exact(a)))
+            rows, keys, shingles, kept = [], [], [], []
+            values = batch.select(["turn", "key", "text"]).to_pylist()
+            for row, value in enumerate(values):
+                found = exact(value["text"])
+                if not value["turn"]:
+                    open_key, open_shingles = value["key"], found
+                    continue
+                rows.append(row)
+                keys.append(open_key)
+                shingles.append(len(found))
+                kept.append(len(found & open_shingles))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(shingles, pa.int64()), pa.array(kept, pa.int64())],
+                [pa.array(keys, batch.schema.field("key").type), batch.column("name").take(pa.array(rows, pa.int64())),
+                 pa.array(shingles, pa.int64()), pa.array(kept, pa.int64())],
                 ["key", "name", "shingles", "held"],
             )
 
-    of = benchmark.schema[item].dataType.simpleString()
-    counted = pairs.select("key", "name", "text", "item_text").mapInArrow(
-        verify, f"key {kind}, name {of}, shingles long, held long"
-    )
+    counted = pairs.mapInArrow(verify, f"key {kind}, name {of}, shingles long, held long")
     counted = counted.withColumn("containment", F.col("held") / F.col("shingles"))
     return counted.where(F.col("held") >= F.ceil(F.col("shingles") * share - 1e-9)).select(
         F.col("key").alias(key), F.col("name").alias(item), "shingles", "held", "containment"
@@ -141,11 +153,16 @@ def contained_items(
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, share: float = 0.8) -> DataFrame:
-    """``docs`` without those that contain an item; rows with null doc_id are told apart by their text."""
-    mark = F.xxhash64("doc_id", "text")
-    marked = docs.withColumn("engine_mark", mark)
-    found = contained_items(marked, benchmark, share, key="engine_mark").select("engine_mark").distinct()
-    return split_join(marked, found, ["engine_mark"], "left_anti").drop("engine_mark")
+    """``docs`` without those that contain an item, all other rows with all their columns, whatever their names.
+
+    Rows are told apart by the SHA-256 of doc_id and text, as rows that agree in both contain the same.
+    """
+    parts = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.lit("\n"), F.coalesce("text", F.lit("")))
+    marked = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.unhex(F.sha2(parts.cast("binary"), 256)).alias("mark"))
+    texts = marked.select("mark", F.col("row").getField("text").alias("text"))
+    found = contained_items(texts, benchmark, share, key="mark").select("mark").distinct()
+    kept = split_join(marked, found, ["mark"], "left_anti")
+    return kept.select(*(F.col("row").getField(c).alias(c) for c in docs.columns))
 
 
 def contamination_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

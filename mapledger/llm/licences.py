@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from mapledger.operators.joins import split_join
 from mapledger.session import written
 
-from .common import text_or_empty
+from .common import free_names, text_or_empty
 from .licence_texts import KNOWN
 
 # Equivalent spellings, as commonly listed for comparing licence texts. They are replaced
@@ -34,9 +34,10 @@ SPELLINGS = {
 MARK_DIGITS = 32
 
 # A copyright line names its owner, so it differs between copies of one licence. Without a sign or year it is one if
-# only such lines are between blank lines or begin the text: sentences may go on with "copyright" in a new line.
+# only such lines are between blank lines or begin the text: sentences may go on with "copyright" in a new line. The run
+# of lines is possessive, so it takes no stack frame for each; as no such line is blank, it gives nothing back anyway.
 COPYRIGHT_LINE = (
-    r"(?m)(?:\A|^[^\p{L}\p{N}\n]*\n)(?:[^\p{L}\p{N}\n]*(?:copyright\b|\(c\)|©|all rights reserved)[^\n]{0,120}\n)+[^\p{L}\p{N}\n]*$"
+    r"(?m)(?:\A|^[^\p{L}\p{N}\n]*\n)(?:[^\p{L}\p{N}\n]*(?:copyright\b|\(c\)|©|all rights reserved)[^\n]{0,120}\n)++[^\p{L}\p{N}\n©]*$"
     r"|(?m)^[^\p{L}\p{N}\n]*(?:copyright|\(c\)|©)[^\n]*(?:\(c\)|©|\d{4})[^\n]*$|(?m)^[^\p{L}\p{N}\n]*all rights reserved\.?[^\p{L}\p{N}\n]*$"
 )
 
@@ -71,7 +72,8 @@ def find_licences(docs: DataFrame, known: DataFrame, text: str = "text", keep_te
     ``licence`` is the known licence whose text the whole document is, else null. ``notices`` are the
     distinct names, sorted, of known texts that stand as a line of the document, empty if there are none.
     Null text counts as empty; a text without letters and digits has the digest of the empty text, which is
-    no licence. Rows are kept one by one, repeated rows too. ``known`` has columns digest and licence, one
+    no licence. Rows are kept one by one, repeated rows too, with all their columns; where one has the name of a new
+    column, the new one gets ``_2`` and so on. ``known`` has columns digest and licence, one
     row per digest. Lines are looked up by the first half of their digests.
     """
     known = known.where(F.col("digest") != F.sha2(F.lit(""), 256)).select("digest", "licence")
@@ -87,10 +89,11 @@ def find_licences(docs: DataFrame, known: DataFrame, text: str = "text", keep_te
     found = split_join(rows.drop("marks"), known, ["digest"], "left")
     found = split_join(found, notices, ["at"], "left")
     kept = [c for c in docs.columns if keep_text or c != text]
+    digest, licence, named = free_names(["licence_digest", "licence", "notices"], kept)
     return found.select(
         *(F.col("row").getField(c).alias(c) for c in kept),
-        F.col("digest").alias("licence_digest"), "licence",
-        F.coalesce("notices", F.array().cast("array<string>")).alias("notices"),
+        F.col("digest").alias(digest), F.col("licence").alias(licence),
+        F.coalesce("notices", F.array().cast("array<string>")).alias(named),
     )
 
 

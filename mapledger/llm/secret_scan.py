@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from mapledger.operators.joins import split_join
 
-from .common import text_or_empty
+from .common import free_names, text_or_empty
 
 # More alternatives than this are not kept apart: the query gets wider, never narrower.
 MOST_ALTERNATIVES = 32
@@ -170,16 +170,8 @@ def _count(kind: str) -> Column:
     return F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
 
-def scan_secrets(
-    docs: DataFrame, text: str = "text", key: tuple[str, ...] = ("doc_id",), rules: tuple[Rule, ...] = RULES
-) -> DataFrame:
-    """``docs`` with a column ``secrets``: array of (start, rank, end, kind), by start and then by rule.
-
-    ``key`` names columns that tell rows apart well; rows that agree in key and text share their postings,
-    which changes nothing, as they have the same spans. Null text counts as empty and has no spans; empty
-    tables give empty results. All other columns are kept as they are, whatever their names; engine
-    columns live in structs during the join.
-    """
+def _scanned(docs: DataFrame, text: str, key: tuple[str, ...], rules: tuple[Rule, ...]) -> DataFrame:
+    """(row, words, secrets): every row as a struct, its text, and its spans."""
     whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
     keyed = docs.select(F.xxhash64(*(F.col(f"`{k}`") for k in key), F.col(f"`{text}`")).alias("at"), whole)
     keyed = keyed.withColumn("words", text_or_empty(F.col("row").getField(text)))
@@ -198,17 +190,34 @@ def scan_secrets(
             spans = F.when(F.array_contains("kinds", rule.kind), spans).otherwise(nothing)
         found.append(_named(spans, rank, rule.kind))
     secrets = F.array_sort(F.concat(*found)).alias("secrets")
-    return keyed.select("row", "words", secrets).select(
-        *(F.col("row").getField(c).alias(c) for c in docs.columns), "secrets"
+    return keyed.select("row", "words", secrets)
+
+
+def scan_secrets(
+    docs: DataFrame, text: str = "text", key: tuple[str, ...] = ("doc_id",), rules: tuple[Rule, ...] = RULES
+) -> DataFrame:
+    """``docs`` with a column ``secrets``: array of (start, rank, end, kind), by start and then by rule.
+
+    ``key`` names columns that tell rows apart well; rows that agree in key and text share their postings,
+    which changes nothing, as they have the same spans. Null text counts as empty and has no spans; empty
+    tables give empty results. All other columns are kept as they are, whatever their names; where one is called
+    ``secrets``, the new column is ``secrets_2``, and so on.
+    """
+    name, = free_names(["secrets"], docs.columns)
+    return _scanned(docs, text, key, rules).select(
+        *(F.col("row").getField(c).alias(c) for c in docs.columns), F.col("secrets").alias(name)
     )
 
 
-def redact_secrets(docs: DataFrame, text: str = "text", mask: str = "[SECRET]", **options) -> DataFrame:
-    """``docs`` with every span replaced by ``mask``; overlapping spans become one. Null text stays null."""
-    scanned = scan_secrets(docs, text, **options)
+def redact_secrets(
+    docs: DataFrame, text: str = "text", mask: str = "[SECRET]", key: tuple[str, ...] = ("doc_id",), rules: tuple[Rule, ...] = RULES
+) -> DataFrame:
+    """``docs`` with every span replaced by ``mask``; overlapping spans become one. Null text stays null, and all other
+    columns stay as they are, whatever their names."""
+    words = F.col("words")
 
     def step(state, s):
-        before = F.when(s["start"] > state["at"], F.substring(F.col(text), state["at"] + 1, s["start"] - state["at"]))
+        before = F.when(s["start"] > state["at"], F.substring(words, state["at"] + 1, s["start"] - state["at"]))
         begun = F.concat(state["out"], F.coalesce(before, F.lit("")), F.lit(mask))
         fresh = (s["start"] >= state["at"]) | (state["at"] == 0)
         return F.struct(
@@ -218,10 +227,13 @@ def redact_secrets(docs: DataFrame, text: str = "text", mask: str = "[SECRET]",
     zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     masked = F.aggregate(
         "secrets", zero, step,
-        lambda state: F.concat(state["out"], F.substring(F.col(text), state["at"] + 1, F.length(F.col(text)))),
+        lambda state: F.concat(state["out"], F.substring(words, state["at"] + 1, F.length(words))),
+    )
+    own = F.col("row").getField(text)
+    clean = F.when(F.size("secrets") > 0, masked).otherwise(own)
+    return _scanned(docs, text, key, rules).select(
+        *(clean.alias(c) if c == text else F.col("row").getField(c).alias(c) for c in docs.columns)
     )
-    clean = F.when(F.size("secrets") > 0, masked).otherwise(F.col(text))
-    return scanned.withColumn(text, clean).drop("secrets")
 
 
 def secret_report(docs: DataFrame) -> DataFrame:

@@ -34,6 +34,10 @@ def safe_parts(text: str) -> list[str]:
     return text.split(" ")
 
 
+def utf8_length(text: str) -> int:
+    return len(text) if text.isascii() else len(text.encode())
+
+
 class PieceCounter:
     """Counts tokens part by part, with a store of bounded size."""
 
@@ -49,7 +53,7 @@ class PieceCounter:
         batch, size = [], 0
         for part in parts:
             batch.append(part)
-            size += len(part)
+            size += utf8_length(part)
             if size >= CALL_BYTES:
                 self.count(batch)
                 batch, size = [], 0
@@ -63,9 +67,9 @@ class PieceCounter:
         """Counts of texts, taken together in groups of about equal bytes."""
         start = 0
         while start < len(texts):
-            end, size = start, 0
-            while end < len(texts) and (end == start or size + len(texts[end]) <= 4 * CALL_BYTES):
-                size += len(texts[end])
+            end, size = start + 1, utf8_length(texts[start])
+            while end < len(texts) and size + (own := utf8_length(texts[end])) <= 4 * CALL_BYTES:
+                size += own
                 end += 1
             yield from self.group(texts[start:end])
             start = end

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 
 import brute
 import numpy as np
@@ -55,8 +56,43 @@ def test_trigram_queries():
 def test_redaction_and_clashing_columns(engine, rows):
     docs = engine.createDataFrame(
         [(1, "a token=abcdefghijklm b", "x"), (2, None, "y"), (3, "deadbeefdeadbeef", None)], "doc_id long, text string, secrets string"
-    ).withColumnRenamed("secrets", "kinds")
-    assert rows(secret_scan.redact_secrets(docs)) == [(1, "a [SECRET] b", "x"), (2, None, "y"), (3, "[SECRET]", None)]
+    )
+    for name in ("secrets", "kinds", "words", "row", "at"):
+        own = docs.withColumnRenamed("secrets", name)
+        got = secret_scan.redact_secrets(own)
+        assert got.columns == own.columns
+        assert rows(got) == [(1, "a [SECRET] b", "x"), (2, None, "y"), (3, "[SECRET]", None)]
+    assert secret_scan.scan_secrets(docs).columns == ["doc_id", "text", "secrets", "secrets_2"]
+
+
+def test_licences_and_decontamination_keep_all_columns(engine, rows):
+    docs = engine.createDataFrame([(1, KNOWN["MIT"], "x"), (2, " ".join(f"w{i}" for i in range(9)), "y"), (None, "z", None)], "doc_id long, text string, licence string")
+    docs = docs.selectExpr("*", "licence AS notices", "licence AS engine_mark", "licence AS row", "licence AS mark")
+    found = licences.find_licences(docs, licences.known_licences(engine))
+    assert found.columns == [*docs.columns, "licence_digest", "licence_2", "notices_2"]
+    assert rows(found.select("doc_id", "licence", "licence_2", "notices", "engine_mark")) == [(1, "x", "MIT", "x", "x"), (2, "y", None, "y", "y"), (None, None, None, None, None)]
+    items = engine.createDataFrame([(1, " ".join(f"w{i}" for i in range(2, 8)))], "item_id long, text string")
+    kept = decontaminate.drop_contaminated(docs, items)
+    assert kept.columns == docs.columns
+    assert rows(kept.select("doc_id", "licence", "engine_mark", "row", "mark")) == [(1, "x", "x", "x", "x"), (None, None, None, None, None)]
+
+
+def test_many_copyright_lines(engine):
+    """100,000 lines of owners, alone and before a licence, take no stack."""
+    owners = "".join(f"Copyright Owner {i}\n" for i in range(100_000))
+    texts = [owners, owners + "\n" + KNOWN["MIT"], "x\n" + owners + "\n" + KNOWN["MIT"]]
+    got = {r.doc_id: r.licence for r in licences.licence_report(engine.createDataFrame(list(enumerate(texts)), DOCS)).collect()}
+    assert got == {0: None, 1: "MIT", 2: None}
+
+
+def test_a_document_that_holds_many_items(engine, rows):
+    """A dump of 1,500 items in one document is shingled once."""
+    items = [(i, " ".join(f"w{i}x{k}" for k in range(12))) for i in range(1500)]
+    docs = engine.createDataFrame([(1, " ".join(t for _, t in items)), (2, "nothing of it")], DOCS)
+    start = time.time()
+    got = rows(decontaminate.contamination_report(docs, engine.createDataFrame(items, "item_id long, text string")))
+    assert got == sorted([(1, i, 8, 8) for i, _ in items], key=repr)
+    assert time.time() - start < 60
 
 
 def test_scan_of_nothing(engine):
