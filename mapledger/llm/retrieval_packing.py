@@ -1,9 +1,9 @@
 """Packing of related documents into windows, by lexical retrieval from a sharded BM25 inverted index.
 
 Documents are tokenised once, and their ids are stored. Corpus statistics (documents, tokens, documents that hold
-each id) are counted over all of them; they hold one number for each entry of the vocabulary. Documents are then
-put in order of their most telling ids, so related ones lie side by side, and shards are runs of that order with a bounded
-number of tokens; a group of copies of any size is cut into as many shards as it needs. In a shard, an inverted index of
+each id) are counted over all of them; they hold one number for each entry of the vocabulary. Documents are
+put in order of their rarest ids, by the vocabulary's own order of merges, so related ones lie side by side, and shards are runs
+of that order with a bounded number of tokens; a group of copies of any size is cut into as many shards as it needs. In a shard, an inverted index of
 the documents is scored by BM25. The first unused document is the seed of a window; unused neighbours follow by
 falling score until the window is full, and what a cut neighbour has left is the next seed. Documents longer than a window
 fill windows of their own first. The end of a shard is laid out in sequences of powers of two, which are not padded.
@@ -44,9 +44,12 @@ STORE_WORDS = 400_000
 # Longer words are not remembered.
 STORE_LETTERS = 64
 
-_SEPARATORS = re.compile("[\x1c-\x1f]")
-# A word of plain or accented Latin letters, and ASCII marks that no contraction begins with.
-_PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\\[-`{-~]*)")
+# White space to Python alone.
+SEPARATORS = "\x1c\x1d\x1e\x1f"
+_OTHERS = re.compile("[^\0-\u00ff]")
+# ASCII marks that no contraction begins with.
+MARKS = "".join(map(chr, [*range(33, 39), *range(40, 48), *range(58, 65), *range(91, 97), *range(123, 127)]))
+
 
 
 class KnownWords(dict):
@@ -69,7 +72,7 @@ class KnownWords(dict):
 class WordEncoder:
     """Ids of whole texts, word by word, as the tokenizer drops white space and never joins across it.
 
-    Words of Latin letters, perhaps with marks after them, are put in lower case and given to the library's model, as the
+    Words of letters up to U+00FF, perhaps with marks after them, are put in lower case and given to the library's model, as the
     tokenizer does; it cuts before such marks. Other words go to the library, and so do whole texts with one of its
     special tokens or a separator that only Python takes as white space. Stores of what is known are bounded.
     """
@@ -83,37 +86,45 @@ class WordEncoder:
         self.library = Tokenizer.from_file(path)
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.kind = "H" if self.library.get_vocab_size() <= 1 << 16 else "I"
+        self.dtype = {"H": "=u2", "I": "=u4"}[self.kind]
         self.model, self.letters = self.library.model, byte_letters()
         self.store = KnownWords(self.word, {})
-        self.pieces: dict[str, bytes] = {"": b""}
+        self.pieces: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         return [array(self.kind, e.ids).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def piece(self, piece: str) -> bytes:
         """Ids of lower-case letters or of marks, by the library's model alone."""
-        ids = self.pieces.get(piece)
-        if ids is None:
-            ids = self.pieces[piece] = array(self.kind, [t.id for t in self.model.tokenize(piece.translate(self.letters))]).tobytes()
+        shown = piece if piece.isascii() else piece.translate(self.letters)
+        ids = self.pieces[piece] = array(self.kind, [t.id for t in self.model.tokenize(shown)]).tobytes()
         return ids
 
     def word(self, word: str) -> bytes:
-        found = _PLAIN.fullmatch(word) if len(word) <= STORE_LETTERS else None
-        if found:
-            letters, marks = found.groups()
-            return self.piece(letters.lower()) + self.piece(marks)
-        return self.encode([word])[0]
+        letters = word.rstrip(MARKS) if len(word) <= STORE_LETTERS else ""
+        if not letters.isalpha() or not (letters.isascii() or max(letters) < "\u0100"):
+            return self.encode([word])[0]
+        marks, letters, known = word[len(letters) :], letters.lower(), self.pieces
+        ids = known.get(letters)
+        if ids is None:
+            ids = self.piece(letters)
+        if not marks:
+            return ids
+        more = known.get(marks)
+        return ids + (self.piece(marks) if more is None else more)
 
     def ids(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of each text, in the machine's order of bytes."""
         for text in texts:
-            if any(s in text for s in self.special) or _SEPARATORS.search(text):
+            if any(s in text for s in self.special) or any(s in text for s in SEPARATORS):
                 yield self.encode([text])[0]
                 continue
             if len(self.store) > STORE_WORDS:
                 self.store.before = {}
-                self.store, self.pieces = KnownWords(self.word, self.store), {"": b""}
-            yield b"".join(map(self.store.__getitem__, text.split()))
+                self.store, self.pieces = KnownWords(self.word, self.store), {}
+            # Letters up to U+00FF have one lower case wherever they stand.
+            plain = text.lower() if text.isascii() or not _OTHERS.search(text) else text
+            yield b"".join(map(self.store.__getitem__, plain.split()))
 
 
 @cache
@@ -122,8 +133,18 @@ def word_encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
+def rarest_two(ids: np.ndarray) -> tuple[int, int]:
+    """The two ids that come last in the vocabulary, whose merges are in order of falling frequency; -1 where there is none."""
+    if not len(ids):
+        return -1, -1
+    first = ids.max()
+    others = ids[ids < first]
+    return int(first), int(others.max()) if len(others) else -1
+
+
 def stored_ids(docs: DataFrame, path: str, separator: int) -> DataFrame:
-    """(number, doc_id, n, ids): every document's ids with the separator last, numbered and written once."""
+    """(number, doc_id, n, first, second, ids): every document's ids with the separator last, and its two rarest ids, numbered
+    and written once."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_encoder(path)
@@ -134,12 +155,14 @@ def stored_ids(docs: DataFrame, path: str, separator: int) -> DataFrame:
                 part = batch.slice(start, 512)
                 ids = [x + end.tobytes() for x in encoder.ids(part.column(1).to_pylist())]
                 lengths = [len(x) // end.itemsize for x in ids]
+                first, second = zip(*[rarest_two(_unpacked(x, encoder.dtype)[:-1]) for x in ids], strict=True)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(lengths, pa.int64()), pa.array(ids, pa.binary())], ["doc_id", "n", "ids"]
+                    [part.column(0), pa.array(lengths, pa.int64()), pa.array(first, pa.int32()), pa.array(second, pa.int32()), pa.array(ids, pa.binary())],
+                    ["doc_id", "n", "first", "second", "ids"],
                 )
 
     kind = dict(docs.dtypes)["doc_id"]
-    rows = docs.select("doc_id", text_or_empty().alias("text")).mapInArrow(encode, f"doc_id {kind}, n long, ids binary")
+    rows = docs.select("doc_id", text_or_empty().alias("text")).mapInArrow(encode, f"doc_id {kind}, n long, first int, second int, ids binary")
     rows = rows.select(F.monotonically_increasing_id().alias("number"), "*")
     place = fresh_path(docs.sparkSession, "token-ids")
     rows.write.option("compression", "zstd").parquet(place)
@@ -182,30 +205,6 @@ def rarity(held: np.ndarray, documents: int) -> np.ndarray:
     return np.log1p((documents - held + 0.5) / (held + 0.5))
 
 
-def telling_terms(parts: list[np.ndarray], weights: np.ndarray, held: np.ndarray, mean: float) -> list[np.ndarray]:
-    """The two terms that say most about each document among those that others hold too, -1 where there is none.
-
-    Of equally good terms the smaller one is taken.
-    """
-    row, term, count = term_counts(parts, len(weights))
-    shared = held[term] > 1
-    row, term, count = row[shared], term[shared], count[shared]
-    lengths = np.array([len(p) for p in parts], np.int64)
-    score = weights[term] * count / (count + K1 * (1 - B + B * lengths[row] / mean))
-    out = []
-    for _ in range(2):
-        best = np.full(len(parts), -1, np.int64)
-        if len(row):
-            first = np.flatnonzero(np.diff(row, prepend=-1))
-            top = np.maximum.reduceat(score, first)
-            at = np.flatnonzero((score == np.repeat(top, np.diff([*first, len(row)]))) & (score > 0))
-            at = at[np.flatnonzero(np.diff(row[at], prepend=-1))]
-            best[row[at]] = term[at]
-            score[at] = 0
-        out.append(best)
-    return out
-
-
 class Shard:
     """Windows of a bounded run of documents, given as (first id, ids without separator) of their last parts."""
 
@@ -321,21 +320,12 @@ def pack_related(
     spark = docs.sparkSession
     path = tokenizer or public_tokenizers.path(TOKENIZER)
     encoder = word_encoder(path)
-    size, dtype = encoder.library.get_vocab_size(), {"H": "=u2", "I": "=u4"}[encoder.kind]
+    size, dtype = encoder.library.get_vocab_size(), encoder.dtype
     stored = stored_ids(docs, path, separator)
     documents, tokens = stored.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     held = held_counts(stored, size, dtype)
     weights, mean = rarity(held, documents), max(1.0, tokens / max(1, documents))
 
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, 512):
-                some = batch.slice(start, 512)
-                terms = telling_terms([_unpacked(x, dtype)[:-1] for x in some.column("ids").to_pylist()], weights, held, mean)
-                yield pa.RecordBatch.from_arrays(
-                    [*some.columns, *[pa.array(t, pa.int32()) for t in terms]], [*some.schema.names, "first", "second"]
-                )
-
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = TaskContext.get().partitionId() << 40
         doc_ids, own, held_tokens = [], [], 0
@@ -372,10 +362,9 @@ def pack_related(
             yield shard()
 
     kind = dict(docs.dtypes)["doc_id"]
-    marked = stored.select("number", "doc_id", "ids").mapInArrow(keyed, f"number long, doc_id {kind}, ids binary, first int, second int")
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-tokens // TASK_TOKENS))
     order = ["first", "second", "number"]
-    runs = marked.repartitionByRange(tasks, *order).sortWithinPartitions(*order).select("doc_id", "ids")
+    runs = stored.drop("n").repartitionByRange(tasks, *order).sortWithinPartitions(*order).select("doc_id", "ids")
     schema = f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
     return runs.mapInArrow(pack, schema)
 
