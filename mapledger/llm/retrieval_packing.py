@@ -20,6 +20,7 @@ from functools import cache
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,6 +42,8 @@ K1, B = 1.2, 0.75
 FULL_LINE = 8
 # Words of a task's store; it keeps two stores.
 STORE_WORDS = 400_000
+# Letters of texts that are taken together, and one text more.
+GROUP_LETTERS = 1 << 23
 # Longer words are not remembered.
 STORE_LETTERS = 64
 
@@ -114,17 +117,33 @@ class WordEncoder:
         return ids + (self.piece(marks) if more is None else more)
 
     def ids(self, texts: list[str]) -> Iterator[bytes]:
-        """The ids of each text, in the machine's order of bytes."""
+        """The ids of each text, in the machine's order of bytes, of texts taken together in groups of bounded size."""
+        group, size = [], 0
         for text in texts:
-            if any(s in text for s in self.special) or any(s in text for s in SEPARATORS):
-                yield self.encode([text])[0]
-                continue
-            if len(self.store) > STORE_WORDS:
-                self.store.before = {}
-                self.store, self.pieces = KnownWords(self.word, self.store), {}
-            # Letters up to U+00FF have one lower case wherever they stand.
-            plain = text.lower() if text.isascii() or not _OTHERS.search(text) else text
-            yield b"".join(map(self.store.__getitem__, plain.split()))
+            group.append(text)
+            size += len(text)
+            if size >= GROUP_LETTERS:
+                yield from self.group(group)
+                group, size = [], 0
+        yield from self.group(group)
+
+    def group(self, texts: list[str]) -> Iterator[bytes]:
+        """The distinct words of a group are looked up once, and Arrow puts the texts' ids together."""
+        if len(self.store) > STORE_WORDS:
+            self.store.before = {}
+            self.store, self.pieces = KnownWords(self.word, self.store), {}
+        odd = [any(s in text for s in self.special) or any(s in text for s in SEPARATORS) for text in texts]
+        # Letters up to U+00FF have one lower case wherever they stand.
+        plain = ["" if o else t.lower() if t.isascii() or not _OTHERS.search(t) else t for t, o in zip(texts, odd, strict=True)]
+        words = pc.utf8_split_whitespace(pa.array(plain, pa.large_string()))
+        coded = words.flatten().dictionary_encode()
+        known = pa.array(list(map(self.store.__getitem__, coded.dictionary.to_numpy(zero_copy_only=False).tolist())), pa.large_binary())
+        joined = known.take(coded.indices)
+        offsets = np.frombuffer(joined.buffers()[1], np.int64)[: len(joined) + 1] if len(joined) else np.zeros(1, np.int64)
+        data = memoryview(joined.buffers()[2] or b"")
+        starts = offsets[words.offsets.to_numpy()].tolist()
+        for text, o, start, end in zip(texts, odd, starts, starts[1:], strict=False):
+            yield self.encode([text])[0] if o else data[start:end].tobytes()
 
 
 @cache
