@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from mapledger.functions import fixed
 from mapledger.operators import catalog as ops
+from mapledger.operators import search
 from mapledger.plans.contents import dataset_contents
 
 from . import duck
@@ -189,6 +190,33 @@ def _(r):
     return found.select("query_no", "table_ord", "rank")
 
 
+def _table_twin(capped: bool) -> str:
+    cut = " QUALIFY rank <= 25" if capped else ""
+    return f"""WITH q AS (SELECT table_ord AS text_id, string_split(title,' ')[1]||'  '||upper(substr(coalesce(string_split(title,' ')[2],''),1,2)) AS text FROM catalog_tables),
+        w AS (SELECT text_id, [x FOR x IN string_split(lower(text),' ') IF x <> ''] AS words FROM q)
+        SELECT w.text_id, t.table_ord, row_number() OVER (PARTITION BY w.text_id ORDER BY t.table_ord) AS rank FROM w, catalog_tables t
+        WHERE len(w.words) > 0 AND len([x FOR x IN w.words IF contains(lower(t.title), x)]) = len(w.words){cut}"""
+
+
+def _table_search(r, limit: int | None):
+    """The first word of every title and the beginning of the second, searched in all titles."""
+    words = F.split("title", " ", -1)
+    begun = F.upper(F.substring(F.coalesce(F.get(words, F.lit(1)), F.lit("")), 1, 2))
+    texts = r("catalog_tables").select(F.col("table_ord").alias("text_id"), F.concat(F.get(words, F.lit(0)), F.lit("  "), begun).alias("text"))
+    found = search.search_table(r("catalog_tables"), texts, limit, order=("table_ord",))
+    return found.select("text_id", "table_ord", "rank")
+
+
+@registered("search_table", _table_twin(True), ("catalog_tables",))
+def _(r):
+    return _table_search(r, fixed.SEARCH_LIMIT)
+
+
+@registered("search_table_all", _table_twin(False), ("catalog_tables",))
+def _(r):
+    return _table_search(r, None)
+
+
 @registered(
     "route_search_text",
     f"""WITH {duck.CATALOG} SELECT {COLUMNS} FROM catalog WHERE contains(lower(title),'red') AND contains(lower(title),'ring')

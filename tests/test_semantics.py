@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 
 from mapledger.functions import fixed
-from mapledger.operators import catalog, features, fields, layers, resources, styles, versions
+from mapledger.operators import catalog, features, fields, layers, resources, search, styles, versions
 from mapledger.plans import loads, refresh
 from mapledger.session import written
 
@@ -376,3 +376,18 @@ def test_last_registration_wins(spark):
     reg = spark.createDataFrame([("/x.csv", "old", 1), ("/x.csv|layerid=2", "new", 2), ("/x.csv", "", 3), ("", "z", 4)],
                                 "uri string, bundle_url string, reg_ord bigint")
     assert rows(layers.layer_bundle(lay, reg).select("layer_id", "bundle_url"), "layer_id") == [("a", "new"), ("b", None)]
+
+
+def test_search_by_a_table_of_texts(spark):
+    """The same rows and ranks as one search for each text, among titles with odd letters, and without a cross join."""
+    titles = ["Red Ring", "red herring", "אנדרטאות מ.א. רמת הנגב", "ab", "a", None, "", "ring of red rings", "İstanbul ring", "x.y (z)", "red ring"]
+    cat = catalog_of(spark, *[(f"d{i}", t, "o", "s", True, True, False, i) for i, t in enumerate(titles * 3)])
+    asked = ["red ring", " RING  red ", "אנדרטאות רמת הנגב", "a", "b", "", None, "  ", "zzz", "red zzz", "x.y", ".", "ring ring", "(z", "rin"]
+    texts = spark.createDataFrame(list(enumerate(asked)), "text_id long, text string")
+    for limit in (None, 2):
+        got = search.search_table(cat, texts, limit)
+        assert sorted((r.text_id, r.rank, r.dataset_id) for r in got.collect()) == sorted(
+            (i, rank + 1, r.dataset_id) for i, text in enumerate(asked) for rank, r in enumerate(catalog.search_titles(cat, text or "", limit).collect())
+        )
+    plan = got._jdf.queryExecution().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
