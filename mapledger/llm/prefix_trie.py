@@ -58,6 +58,8 @@ def turn_rows(conversations: DataFrame) -> DataFrame:
         F.regexp_count(text, F.lit(WORD)).cast("long").alias("words"),
     )
     within = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    # Sorting by ranges looks at its rows twice; texts are hashed and their words counted once.
+    narrow = written(narrow, "turn-ids")
     ordered = narrow.orderBy("conv_id", F.col("turn").asc_nulls_first(), "id", "words")
     stored = written(ordered.select("conv_id", "id", "words", F.spark_partition_id().alias("range_no"), within.alias("at")), "turns")
     # A conversation's rows before a range: one row for each range that holds some of it.
