@@ -110,21 +110,26 @@ def version_change_rows(parsed: DataFrame) -> DataFrame:
     )
 
 
+def feature_columns(feature: Column) -> list[Column]:
+    """``properties`` and ``geojson`` of a parsed feature; an empty geometry is none."""
+    shape = feature["geometry"]
+    empty = F.get_json_object(shape, "$.type").isNull() & (F.size(F.json_object_keys(shape)) == 0)
+    return [
+        F.coalesce(given(feature["properties"]), F.lit("{}")).alias("properties"),
+        F.when(~F.coalesce(empty, F.lit(False)), shape).alias("geojson"),
+    ]
+
+
 def geojson_features(payloads: DataFrame) -> DataFrame:
     """Features of FeatureCollections with ``table_name, page_no, payload``.
 
-    A page is one row until here and holds at most a page of features; larger collections
-    are converted once and kept as Parquet.
+    A page is one row until here and holds at most a page of features; large files are
+    read by ``collections.collection_features``.
     """
     shape = "STRUCT<features ARRAY<STRUCT<properties STRING, geometry STRING>>, exceededTransferLimit BOOLEAN>"
     parsed = payloads.select("table_name", "page_no", F.from_json("payload", shape).alias("c"))
     rows = parsed.select("table_name", "page_no", F.posexplode("c.features").alias("pos", "f"))
-    empty = F.get_json_object("f.geometry", "$.type").isNull() & (F.size(F.json_object_keys("f.geometry")) == 0)
-    return rows.select(
-        "table_name", "page_no", F.col("pos").cast("bigint").alias("page_pos"),
-        F.coalesce(given(F.col("f.properties")), F.lit("{}")).alias("properties"),
-        F.when(~F.coalesce(empty, F.lit(False)), F.col("f.geometry")).alias("geojson"),
-    )
+    return rows.select("table_name", "page_no", F.col("pos").cast("bigint").alias("page_pos"), *feature_columns(F.col("f")))
 
 
 def search_records(payloads: DataFrame) -> DataFrame:

@@ -49,12 +49,9 @@ def read_resource(spark: SparkSession, path: str, ext: str, multi_line: bool = F
     if ext == "parquet":
         return spark.read.parquet(path)
     if ext == "geojson":
-        from .payloads import geojson_features, read_payloads
+        from .collections import collection_features
 
-        pages = read_payloads(spark, path).select(
-            F.col("file_name").alias("table_name"), F.lit(0).cast("bigint").alias("page_no"), "payload"
-        )
-        return geojson_features(pages)
+        return collection_features(spark, path)
     raise ValueError(f"no reader for extension {ext!r}")
 
 

@@ -146,3 +146,35 @@ def test_report_and_results(spark, tmp_path):
     bare = spark.createDataFrame([(1, None), (2, "")], "a int, _geojson string")
     assert results.materialize_result(bare, "bare").count() == 2
     assert results.materialize_result(mixed, "plain", spatial=False).columns == ["a"]
+
+
+def test_large_collection_is_cut_among_tasks(spark, tmp_path):
+    def features(n, extra):
+        geometry = [None, {}, {"type": "Point", "coordinates": [1, 1.5]}]
+        tricky = 'a}"{,[\\"features":[' + extra
+        return [{"type": "Feature", "properties": {"i": i, "t": tricky, "n": {"x": [{"y": 1}], "features": [{"z": 1}]}}, "geometry": geometry[i % 3]}
+                for i in range(n)]
+
+    crs = {"type": "name", "properties": {"name": "x", "features": [{"q": 1}]}}
+    wanted = {"large": features(3000, "ש"), "indented": features(40, "b")}
+    large = {"links": [{"a": {"b": [1]}}], "crs": crs, "note": '"features":[', "features": wanted["large"]}
+    (tmp_path / "large").write_text(json.dumps(large, ensure_ascii=False), encoding="utf-8")
+    (tmp_path / "indented").write_text(json.dumps({"features": wanted["indented"], "crs": crs, "more": [{"a": {}}]}, indent=2))
+    (tmp_path / "none").write_text('{"features": [ ]  , "other":[{"features":[{"a":{}}]}]}')
+    (tmp_path / "single").write_text(json.dumps(features(1, "c")[0]))
+    (tmp_path / "blank").write_text("")
+    (tmp_path / "broken").write_text('{"features":[{"properties":{"i":0}},{"properties":{"i":1}')
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        assert spark.read.text(str(tmp_path / "large"), lineSep="}").rdd.getNumPartitions() > 20
+        got = snapshots.read_resource(spark, str(tmp_path), "geojson").orderBy("table_name", "page_pos").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+    assert {r.table_name for r in got} == {"large", "indented", "broken"}
+    for name, items in wanted.items():
+        rows = [r for r in got if r.table_name == name]
+        assert [r.page_pos for r in rows] == list(range(len(items)))
+        assert [json.loads(r.properties) for r in rows] == [f["properties"] for f in items]
+        assert [json.loads(r.geojson) if r.geojson else None for r in rows] == [f["geometry"] or None for f in items]
+    assert [r.properties for r in got if r.table_name == "broken"] == ['{"i":0}']
