@@ -249,6 +249,18 @@ def _(r):
     return page.select(*SHOWN, "total", "limit", "offset")
 
 
+@registered(
+    "list_datasets_stored",
+    f"""WITH {duck.CATALOG}, m AS (SELECT * FROM catalog WHERE contains(lower(title),'customer'))
+        SELECT {COLUMNS}, (SELECT count(*) FROM m) AS total, cast(40 AS bigint) AS "limit", cast(25 AS bigint) AS "offset"
+        FROM m ORDER BY file_only, first_ord LIMIT 40 OFFSET 25""",
+    duck.CATALOG_NEEDS,
+)
+def _(r):
+    path = ops.store_listing(full_catalog(r), query="Customer", rows_per_file=50)
+    return ops.stored_listing_page(r.spark, path, 40, 25).select(*SHOWN, "total", "limit", "offset")
+
+
 @registered(
     "list_datasets_all",
     f"""WITH {duck.CATALOG}, m AS (SELECT * FROM catalog WHERE contains(lower(title),'customer'))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from mapledger.functions import fixed, geometry
 from mapledger.operators import features as ops
+from mapledger.operators import ranks
 from mapledger.operators.boxjoin import bbox_join
 from mapledger.plans import loads
 from mapledger.session import fresh_path
@@ -127,6 +128,17 @@ def _(r):
     return ops.page(r("features"), 500, 300).select("feature_ord", "table_name", "properties")
 
 
+@registered(
+    "page_stored",
+    """SELECT feature_ord, table_name, properties, row_number() OVER (ORDER BY feature_ord) - 1 AS position
+       FROM features ORDER BY feature_ord LIMIT 500 OFFSET 300""",
+    ("features",),
+)
+def _(r):
+    path = ranks.store_in_order(r("features"), "feature_ord", rows_per_file=400)
+    return ranks.stored_page(r.spark, path, 500, 300).select("feature_ord", "table_name", "properties", "position")
+
+
 @registered(
     "capped_features",
     "SELECT feature_ord, table_name, (SELECT count(*) FROM features) > 700 AS truncated FROM features ORDER BY feature_ord LIMIT 700",

@@ -8,13 +8,13 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..functions.text import given, tokens
 from .joins import split_join
-from .ranks import positions, ranked_in_groups
+from .ranks import positions, ranked_in_groups, store_in_order, stored_page, stored_total
 
 CATALOG_ORDER = ("file_only", "first_ord")
 
@@ -277,6 +277,28 @@ def route_search(catalog: DataFrame, text: str, limit: int | None = None) -> Dat
     return search_titles(catalog, typed, limit)
 
 
+def _listed(catalog: DataFrame, source_type, organization, tag, query) -> DataFrame:
+    rows = catalog
+    if source_type:
+        rows = rows.filter(F.col("source_type") == source_type)
+    if organization:
+        rows = rows.filter(F.col("organization") == organization)
+    if tag:
+        rows = rows.filter(F.array_contains("tags", tag))
+    if query:
+        rows = rows.filter(F.lower("title").contains(query.lower()))
+    return rows
+
+
+def _as_page(page: DataFrame, total: DataFrame, limit: int | None, offset: int) -> DataFrame:
+    # The total is one row, so this attaches a constant.
+    return page.withColumns({
+        "total": total.scalar(),
+        "limit": F.lit(limit).cast("bigint"),
+        "offset": F.lit(offset).cast("bigint"),
+    })
+
+
 def list_datasets(
     catalog: DataFrame,
     limit: int | None = None,
@@ -289,17 +311,9 @@ def list_datasets(
     """One page of the filtered catalog, or all of it; ``total`` counts all matching datasets.
 
     ``tag`` needs an array column ``tags``; ``query`` is a case-insensitive part of the title. Only
-    the rows of the page are gathered, however deep it lies.
+    the rows of the page are gathered, however deep it lies; for page after page see ``store_listing``.
     """
-    rows = catalog
-    if source_type:
-        rows = rows.filter(F.col("source_type") == source_type)
-    if organization:
-        rows = rows.filter(F.col("organization") == organization)
-    if tag:
-        rows = rows.filter(F.array_contains("tags", tag))
-    if query:
-        rows = rows.filter(F.lower("title").contains(query.lower()))
+    rows = _listed(catalog, source_type, organization, tag, query)
     if offset:
         wanted = positions(rows, *CATALOG_ORDER).filter(F.col("position") >= offset)
         page = (wanted if limit is None else wanted.filter(F.col("position") < offset + limit)).drop("position")
@@ -307,13 +321,24 @@ def list_datasets(
     else:
         page = rows.orderBy(*CATALOG_ORDER)
         page = page if limit is None else page.limit(limit)
-    total = rows.agg(F.count("*").alias("total"))
-    # The total is one row, so this attaches a constant.
-    return page.withColumns({
-        "total": total.scalar(),
-        "limit": F.lit(limit).cast("bigint"),
-        "offset": F.lit(offset).cast("bigint"),
-    })
+    return _as_page(page, rows.agg(F.count("*").alias("total")), limit, offset)
+
+
+def store_listing(
+    catalog: DataFrame,
+    source_type: str | None = None,
+    organization: str | None = None,
+    tag: str | None = None,
+    query: str | None = None,
+    rows_per_file: int = 1_000_000,
+) -> str:
+    """Order the filtered catalog once for all its pages; returns the path that ``stored_listing_page`` takes."""
+    return store_in_order(_listed(catalog, source_type, organization, tag, query), *CATALOG_ORDER, rows_per_file=rows_per_file)
+
+
+def stored_listing_page(spark: SparkSession, path: str, limit: int, offset: int = 0) -> DataFrame:
+    """The page that ``list_datasets`` returns, from a stored listing: its directory and the files of the page are read."""
+    return _as_page(stored_page(spark, path, limit, offset).drop("position"), stored_total(spark, path), limit, offset)
 
 
 def top_datasets(catalog: DataFrame, cap: int | None = None) -> DataFrame:

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from checks.compare import TESTDATA
 from checks.relations import Relations
 from mapledger.functions import geometry
-from mapledger.operators import features
+from mapledger.operators import features, ranks
 from mapledger.operators.boxjoin import bbox_join
 from mapledger.operators.catalog import first_per_group
 from mapledger.operators.joins import split_join
@@ -32,28 +34,42 @@ def test_box_filter_reaches_the_scan(spark, capsys):
     assert "ReadSchema: struct<feature_ord:bigint,xmin:double,ymin:double,xmax:double,ymax:double>" in plan
 
 
-def test_hot_key_is_split(spark):
-    settings = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
-    }
-    before = {k: spark.conf.get(k, None) for k in settings}
-    for k, v in settings.items():
+HOT_SETTINGS = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
+}
+
+
+@pytest.fixture
+def splitting(spark):
+    """Thresholds at which small tables have hot partitions."""
+    before = {k: spark.conf.get(k, None) for k in HOT_SETTINGS}
+    for k, v in HOT_SETTINGS.items():
         spark.conf.set(k, v)
-    try:
-        left = spark.range(0, 400_000, 1, 8).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), F.md5(F.col("id").cast("string")).alias("v"))
-        right = spark.range(0, 400_000, 1, 8).select("id", F.col("id").alias("k")).repartition(8).groupBy("k").agg(F.max_by(F.col("id").cast("string"), "id").alias("w"))
-        plans = []
-        for joined in (split_join(left, right, ["k"], "left"), left.join(right, "k", "left")):
-            total = joined.agg(F.count("w"), F.countDistinct("v"))
-            assert tuple(total.collect()[0]) == (400_000, 400_000)
-            plans.append("skew=true" in plan_of(total))
-        # The plain join on the aggregate's own keys is not split.
-        assert plans == [True, False]
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_hot_key_is_split(spark, splitting):
+    left = spark.range(0, 400_000, 1, 8).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), F.md5(F.col("id").cast("string")).alias("v"))
+    right = spark.range(0, 400_000, 1, 8).select("id", F.col("id").alias("k")).repartition(8).groupBy("k").agg(F.max_by(F.col("id").cast("string"), "id").alias("w"))
+    plans = []
+    for joined in (split_join(left, right, ["k"], "left"), left.join(right, "k", "left")):
+        total = joined.agg(F.count("w"), F.countDistinct("v"))
+        assert tuple(total.collect()[0]) == (400_000, 400_000)
+        plans.append("skew=true" in plan_of(total))
+    # The plain join on the aggregate's own keys is not split.
+    assert plans == [True, False]
+
+
+def test_hot_group_of_ranks_is_split(spark, splitting):
+    rows = spark.range(300_000).select(F.when(F.col("id") % 3 < 2, "hot").otherwise(F.col("id").cast("string")).alias("g"), "id")
+    rows = rows.withColumn("v", F.md5(F.col("id").cast("string")))
+    total = ranks.ranked_in_groups(rows, ["g"], ["id"]).agg(F.max("rank"), F.count("rank"), F.countDistinct("v"))
+    assert tuple(total.collect()[0]) == (200_000, 300_000, 300_000)
+    assert re.search(r"SortMergeJoin\(skew=true\) \[g#", plan_of(total))
 
 
 class Settings:
@@ -143,3 +159,17 @@ def test_hot_group_top(spark):
     hot = [r.id for r in top.filter("g = 'hot'").orderBy("rank").collect()]
     assert hot == [i for i in range(100_000) if i % 3 < 2][:1500]
     assert top.filter("g <> 'hot'").count() == len([i for i in range(100_000) if i % 3 == 2])
+
+
+def test_stored_page_opens_its_own_files(spark):
+    rows = spark.range(20_000).select((F.col("id") * 7 % 20_000).alias("k"), F.lit("x").alias("range"))
+    path = ranks.store_in_order(rows, "k", rows_per_file=500)
+    assert ranks.stored_total(spark, path).collect() == [(20_000,)]
+    for offset, limit in ((0, 30), (1_234, 700), (19_990, 50), (20_000, 5)):
+        page = ranks.stored_page(spark, path, limit, offset)
+        want = list(range(offset, min(offset + limit, 20_000)))
+        assert [(r.k, r.position) for r in page.collect()] == [(i, i) for i in want]
+        opened = [f for f in page.inputFiles() if "/rows/" in f]
+        assert len(opened) <= limit // 500 + 3 or not want
+    nothing = ranks.store_in_order(rows.limit(0), "k")
+    assert ranks.stored_page(spark, nothing, 5).collect() == [] and ranks.stored_total(spark, nothing).collect() == [(0,)]
