@@ -126,7 +126,7 @@ def _(r):
     )
 
 
-VERSION_SPAN = 1_000_000
+VERSION_SPAN = 500
 
 LISTED_VERSIONS = f"""
 WITH v AS (SELECT dataset_id||'/'||cast(version_ord // {VERSION_SPAN} AS string) AS dataset_id, version_id,
@@ -299,10 +299,16 @@ def _(r):
 
 @registered(
     "file_field_names",
-    "SELECT a.ord AS field_ord, a.name AS field_name FROM (VALUES (0, 'o_orderkey'), (1, 'o \"key\", twice'), (2, 'שם')) a(ord, name) WHERE (SELECT count(*) FROM orders) > 0",
+    """SELECT head, row_number() OVER (PARTITION BY head ORDER BY p_type) - 1 AS field_ord, p_type||', "'||lower(p_type)||'"' AS field_name
+       FROM (SELECT DISTINCT regexp_extract(p_brand,'[0-9]+')||'-'||cast(p_size AS string) AS head, p_type FROM part) h""",
 )
 def _(r):
+    # A file for every brand and size; its header names the types of its parts, with commas and quotes, and a row follows.
+    head = F.concat_ws("-", F.regexp_extract("p_brand", "[0-9]+", 0), F.col("p_size").cast("string")).alias("head")
+    heads = r("part").groupBy(head).agg(F.sort_array(F.collect_set("p_type")).alias("types"))
+    quoted = F.transform("types", lambda t: F.concat(F.lit('"'), t, F.lit(', ""'), F.lower(t), F.lit('"""')))
     path = fresh_path(r.spark, "headers")
-    rows = r("orders").select("o_orderkey", F.col("o_orderkey").alias('o "key", twice'), F.lit("x").alias("שם"))
-    rows.write.csv(path, header=True, escape='"')
-    return snapshots.file_field_names(r.spark, path).select("field_ord", "field_name").distinct()
+    files = heads.select("head", F.concat(F.array_join(quoted, ","), F.lit("\nx")).alias("value"))
+    files.write.partitionBy("head").text(path)
+    names = snapshots.file_field_names(r.spark, path)
+    return names.select(F.regexp_extract("file", "head=([^/]+)", 1).alias("head"), "field_ord", "field_name")

@@ -5,6 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,17 +51,48 @@ def shared_folder(spark: SparkSession) -> str:
     raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
 
 
-def fresh_path(spark: SparkSession, label: str) -> str:
-    """An unused path below the shared folder."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+# Tables of the job that runs, if one is declared.
+_JOB: ContextVar[list[str] | None] = ContextVar("mapledger_job", default=None)
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+@contextmanager
+def job(spark: SparkSession) -> Iterator[None]:
+    """Tables stored inside the block are removed at its end, however it ends.
+
+    DataFrames made inside are to be read, written elsewhere or named by ``materialize_result`` before
+    that. Blocks may be nested; each removes its own tables. Without a block tables stay.
+    """
+    mine: list[str] = []
+    token = _JOB.set(mine)
+    try:
+        yield
+    finally:
+        _JOB.reset(token)
+        for path in mine:
+            remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a stored table on whatever file system it lies."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def fresh_path(spark: SparkSession, label: str, lasting: bool = False) -> str:
+    """An unused path below the shared folder; a ``lasting`` one does not end with its job."""
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    mine = _JOB.get()
+    if mine is not None and not lasting:
+        mine.append(path)
+    return path
+
+
+def written(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     Cuts the lineage at a table that outlives lost executors, so that a relation read
-    by several branches of a plan is computed once.
+    by several branches of a plan is computed once. ``job`` says when it is removed.
     """
-    path = fresh_path(df.sparkSession, label)
+    path = path or fresh_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

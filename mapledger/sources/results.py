@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..functions.text import given
-from ..session import written
+from ..session import fresh_path, remove, written
+
+# Tables behind named results, by application and name.
+_NAMED: dict[tuple[str, str], list[str]] = {}
 
 
 def write_refresh_report(report: DataFrame, path: str, fmt: str = "parquet") -> None:
@@ -33,10 +36,14 @@ def materialize_result(result: DataFrame, name: str, spatial: bool | None = None
 
     Whether a free result is spatial follows from its records; a layer load is always
     spatial, a table load never. Helper geometry columns other than the GeoJSON are dropped. A free
-    result is stored before its kind is asked for, so it is computed once, unless it is ``stored``.
+    result is stored before its kind is asked for, so it is computed once, unless it is ``stored``. That table
+    outlives the job it is made in and goes with ``drop_result``.
     """
     if spatial is None and not stored and fixed.GEOJSON_COLUMN in result.columns:
-        result = written(result, "free-result")
+        spark = result.sparkSession
+        path = fresh_path(spark, "free-result", lasting=True)
+        result = written(result, "free-result", path)
+        _NAMED.setdefault((spark.sparkContext.applicationId, name), []).append(path)
     columns = [c for c in result.columns if c not in (fixed.GEOMETRY_COLUMN, "geometry_wkt")]
     rows = result.select(*columns)
     if fixed.GEOJSON_COLUMN in columns:
@@ -49,3 +56,10 @@ def materialize_result(result: DataFrame, name: str, spatial: bool | None = None
             rows = rows.drop(fixed.GEOJSON_COLUMN)
     rows.createOrReplaceTempView(name)
     return rows
+
+
+def drop_result(spark: SparkSession, name: str) -> None:
+    """Forget a named result and remove the tables stored for it; a name that is not there is no error."""
+    spark.catalog.dropTempView(name)
+    for path in _NAMED.pop((spark.sparkContext.applicationId, name), []):
+        remove(spark, path)

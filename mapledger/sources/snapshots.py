@@ -29,14 +29,14 @@ def read_table_files(spark: SparkSession, path: str, sep: str, multi_line: bool
 
 
 def file_field_names(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
-    """The field lists of delimited files: ``file_name, field_ord, field_name`` from their headers, in one job."""
+    """The field lists of delimited files: ``file, file_name, field_ord, field_name`` from their headers, in one job."""
     heads = spark.read.text(path).select(
         F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("start"), "value", F.monotonically_increasing_id().alias("place"),
     )
     firsts = heads.filter("start = 0").groupBy("file", "file_name").agg(F.min_by("value", "place").alias("header"))
     names = _cells(F.regexp_replace("header", "\\A\ufeff", ""), sep)
-    rows = firsts.select("file_name", F.posexplode(names).alias("field_ord", "field_name"))
+    rows = firsts.select("file", "file_name", F.posexplode(names).alias("field_ord", "field_name"))
     return rows.withColumn("field_ord", F.col("field_ord").cast("bigint"))
 
 

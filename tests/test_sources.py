@@ -5,8 +5,10 @@ from __future__ import annotations
 import gzip
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
+from mapledger import session
 from mapledger.functions import fixed
 from mapledger.sources import payloads, results, snapshots
 
@@ -178,3 +180,22 @@ def test_large_collection_is_cut_among_tasks(spark, tmp_path):
         assert [json.loads(r.properties) for r in rows] == [f["properties"] for f in items]
         assert [json.loads(r.geojson) if r.geojson else None for r in rows] == [f["geometry"] or None for f in items]
     assert [r.properties for r in got if r.table_name == "broken"] == ['{"i":0}']
+
+
+def test_stored_tables_end_with_their_job(spark, tmp_path, monkeypatch):
+    shared = tmp_path / "shared"
+    monkeypatch.setattr(session, "shared_folder", lambda _: str(shared))
+    rows = spark.range(10).selectExpr("id", "CASE WHEN id < 3 THEN '{}' END AS _geojson")
+    with session.job(spark):
+        session.written(rows, "outer")
+        with session.job(spark):
+            assert session.written(rows, "inner").count() == 10
+            results.materialize_result(rows, "kept_result")
+        assert sorted(p.name.split("-")[0] for p in shared.iterdir()) == ["free", "outer"]
+    with pytest.raises(KeyError), session.job(spark):
+        session.written(rows, "failed")
+        raise KeyError("a job that fails")
+    assert [p.name.split("-")[0] for p in shared.iterdir()] == ["free"] and spark.table("kept_result").count() == 3
+    results.drop_result(spark, "kept_result")
+    results.drop_result(spark, "kept_result")
+    assert list(shared.iterdir()) == [] and not spark.catalog.tableExists("kept_result")
