@@ -81,19 +81,6 @@ def file_versions(ranked_files: DataFrame) -> DataFrame:
     )
 
 
-def suffix_files(ranked_files: DataFrame) -> DataFrame:
-    """For every suffix of a dataset the file in the newest version that has the suffix."""
-    newest = ranked_files.groupBy("dataset_id", "suffix").agg(
-        F.max_by(F.struct("version_id", "file_name", "download_url"), "rank").alias("f")
-    )
-    return newest.select(
-        "dataset_id", "suffix",
-        F.col("f.version_id").alias("file_version_id"),
-        F.col("f.file_name").alias("new_file"),
-        F.col("f.download_url").alias("new_url"),
-    )
-
-
 def layer_current_version(layers: DataFrame, files: DataFrame, versions: DataFrame) -> DataFrame:
     """The newest version that contains the file a layer points at; null when none does."""
     found = file_versions(versioned_files(files, versions))
