@@ -30,3 +30,22 @@ def test_exact_pairs_are_not_moved(spark):
     shapes = r("features").select("feature_ord", *geometry.BOX, F.lit(None).cast("string").alias("geojson"))
     got = bbox_join(extents, shapes, exact=True)
     assert got.join(bbox_join(extents, shapes), ["extent_id", "feature_ord"], "left_anti").isEmpty()
+
+
+def stored_sizes(spark, label):
+    """Rows of every table stored under a label, by its path."""
+    folder = shared_folder(spark).removeprefix("file://")
+    return {n: spark.read.parquet(f"{folder}/{n}").count() for n in os.listdir(folder) if n.startswith(f"{label}-")}
+
+
+def test_equal_texts_are_one_question(spark):
+    """What is compared grows with the titles and with the different texts, not with their product with equal ones."""
+    titles = spark.range(0, 300).select(F.col("id").alias("ord"), F.concat(F.lit("Red ring "), F.col("id").cast("string")).alias("title"))
+    texts = spark.range(0, 200).select(F.col("id").alias("text_id"), F.when(F.col("id") % 2 == 0, "ring RED").otherwise(" red  ring red").alias("text"))
+    before = set(stored_sizes(spark, "search-candidates"))
+    for limit, wanted in ((None, 300), (3, 3)):
+        got = search.search_table(titles, texts, limit, order=("ord",))
+        assert got.columns == ["ord", "text_id", "title", "rank"]
+        assert got.groupBy("text_id").agg(F.countDistinct("ord").alias("n"), F.max("rank").alias("m")).filter(f"n = {wanted} AND m = {wanted}").count() == 200
+    made = {n: rows for n, rows in stored_sizes(spark, "search-candidates").items() if n not in before}
+    assert list(made.values()) == [300, 300]
