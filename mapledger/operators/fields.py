@@ -38,9 +38,21 @@ def spelling_of(ref: Column, fields: Column) -> Column:
     return F.when(F.array_contains(fields, ref), ref).otherwise(F.try_element_at(alike, F.lit(-1)))
 
 
-def names_difference(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
-    """Rows of ``left`` whose names are not in ``right``; repeats stay."""
-    return split_join(left, right.select(*on), on, "left_anti")
+def names_difference(left: DataFrame, right: DataFrame, on: list[str], hot: int = 100_000) -> DataFrame:
+    """Rows of ``left`` whose names are not in ``right``; repeats stay.
+
+    Names that fill more than ``hot`` rows are looked up once each, and their rows stay where they are; the list of
+    these names is shorter than ``left`` by that factor. Only rows of rarer names meet ``right``.
+    """
+    names = right.select(*on).distinct()
+    often = left.groupBy(*on).agg(F.count("*").alias("n")).filter(F.col("n") > hot).select(*on)
+    known = split_join(often, names.withColumn("known", F.lit(True)), on, "left")
+    known = known.select(*[F.col(c).alias(f"often_{c}") for c in on], F.coalesce("known", F.lit(False)).alias("known"))
+    # Null names are never found; they are compared as equal here, so that many of them are looked up once too.
+    same = [F.col(c).eqNullSafe(F.col(f"often_{c}")) for c in on]
+    marked = left.join(F.broadcast(known), same, "left").select(*left.columns, "known")
+    rare = split_join(marked.filter("known IS NULL").drop("known"), names, on, "left_anti").select(*left.columns)
+    return marked.filter(~F.col("known")).drop("known").unionByName(rare)
 
 
 def clean_dictionary(lines: DataFrame) -> DataFrame:

@@ -49,3 +49,13 @@ def test_equal_texts_are_one_question(spark):
         assert got.groupBy("text_id").agg(F.countDistinct("ord").alias("n"), F.max("rank").alias("m")).filter(f"n = {wanted} AND m = {wanted}").count() == 200
     made = {n: rows for n, rows in stored_sizes(spark, "search-candidates").items() if n not in before}
     assert list(made.values()) == [300, 300]
+
+
+def test_frequent_names_stay_where_they_are(spark):
+    rows = spark.range(0, 60).select("id", F.when(F.col("id") % 4 < 3, F.element_at(F.array(F.lit("a"), F.lit("b"), F.lit(None)), (F.col("id") % 4 + 1).cast("int")))
+                                     .otherwise(F.concat(F.lit("n"), F.col("id").cast("string"))).alias("name"))
+    rows = rows.unionAll(rows)
+    known = spark.createDataFrame([("a",), ("a",), ("n3",), (None,)], "name string")
+    want = sorted(map(str, rows.join(known, "name", "left_anti").select("id", "name").collect()))
+    for hot in (5, 100):
+        assert sorted(map(str, fields.names_difference(rows, known, ["name"], hot).collect())) == want
