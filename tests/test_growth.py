@@ -59,3 +59,15 @@ def test_frequent_names_stay_where_they_are(spark):
     want = sorted(map(str, rows.join(known, "name", "left_anti").select("id", "name").collect()))
     for hot in (5, 100):
         assert sorted(map(str, fields.names_difference(rows, known, ["name"], hot).collect())) == want
+
+
+def test_features_lie_in_few_files(spark):
+    """Files are as many as spans of half a million keys, not as pages; each is a whole collection."""
+    path = fresh_path(spark, "collections")
+    rows = spark.range(0, 5_000, 1, 8).unionAll(spark.range(700_000, 700_003)).select(F.col("id").alias("o"))
+    source_queries.feature_files(rows, "o", F.to_json(F.struct("o"))).write.partitionBy("file_no").text(path)
+    assert len(spark.read.text(path).inputFiles()) == 2
+    got = snapshots.read_resource(spark, path, "geojson").agg(
+        F.count("*").alias("n"), F.sum(F.get_json_object("properties", "$.o").cast("bigint")).alias("s")
+    ).first()
+    assert (got.n, got.s) == (5_003, sum(range(5_000)) + 2_100_003)
