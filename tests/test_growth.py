@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from checks import source_queries
 from checks.compare import TESTDATA
+from checks.registry import QUERIES
 from checks.relations import Relations
 from mapledger.functions import geometry
 from mapledger.operators import fields, search
@@ -71,3 +72,12 @@ def test_features_lie_in_few_files(spark):
         F.count("*").alias("n"), F.sum(F.get_json_object("properties", "$.o").cast("bigint")).alias("s")
     ).first()
     assert (got.n, got.s) == (5_003, sum(range(5_000)) + 2_100_003)
+
+
+def test_answers_hold_all_versions(spark):
+    """An answer is of a whole dataset, however far its versions lie apart, under the dataset's own id."""
+    r = Relations(spark, SF_DIR)
+    for name, rows in (("version_resources", r("resources")), ("version_change_rows", r("resource_rows"))):
+        got = QUERIES[name](spark, SF_DIR)
+        assert got.count() == rows.count()
+        assert got.select("dataset_id").distinct().join(r("versions"), "dataset_id", "left_anti").isEmpty()
