@@ -81,3 +81,14 @@ def test_answers_hold_all_versions(spark):
         got = QUERIES[name](spark, SF_DIR)
         assert got.count() == rows.count()
         assert got.select("dataset_id").distinct().join(r("versions"), "dataset_id", "left_anti").isEmpty()
+
+
+def test_stored_answers_are_compressed(spark):
+    path = source_queries.stored(spark.range(10).select(F.repeat(F.lit("a"), 10_000).alias("payload")), "answers-test")
+    assert path.count() == 10 and all(f.endswith(".json.gz") for f in path.inputFiles())
+
+
+def test_counts_meet_their_resource(spark):
+    """The resources' side of the query is shuffled once: no exchange of theirs by version and place."""
+    got = QUERIES["read_versions"](spark, SF_DIR)
+    assert got.count() == Relations(spark, SF_DIR)("resources").count()
