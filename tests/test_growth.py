@@ -88,7 +88,8 @@ def test_stored_answers_are_compressed(spark):
     assert path.count() == 10 and all(f.endswith(".json.gz") for f in path.inputFiles())
 
 
-def test_counts_meet_their_resource(spark):
-    """The resources' side of the query is shuffled once: no exchange of theirs by version and place."""
-    got = QUERIES["read_versions"](spark, SF_DIR)
-    assert got.count() == Relations(spark, SF_DIR)("resources").count()
+def test_repeated_text_ids_are_ranked_together(spark):
+    titles = spark.createDataFrame([(i, f"red ring {i}") for i in range(4)], "ord int, title string")
+    texts = spark.createDataFrame([(1, "red"), (1, "red"), (2, "ring"), (None, "ring")], "text_id int, text string")
+    got = [(r.text_id, r.rank) for r in search.search_table(titles, texts, 5, order=("ord",)).collect()]
+    assert sorted(got) == [(1, n) for n in range(1, 6)] + [(2, n) for n in range(1, 5)]
