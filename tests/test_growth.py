@@ -13,6 +13,7 @@ from checks.relations import Relations
 from mapledger.functions import geometry
 from mapledger.operators import fields, search
 from mapledger.operators.boxjoin import bbox_join
+from mapledger.plans import refresh
 from mapledger.session import fresh_path, shared_folder
 from mapledger.sources import snapshots
 
@@ -93,3 +94,22 @@ def test_repeated_text_ids_are_ranked_together(spark):
     texts = spark.createDataFrame([(1, "red"), (1, "red"), (2, "ring"), (None, "ring")], "text_id int, text string")
     got = [(r.text_id, r.rank) for r in search.search_table(titles, texts, 5, order=("ord",)).collect()]
     assert sorted(got) == [(1, n) for n in range(1, 6)] + [(2, n) for n in range(1, 5)]
+
+
+def test_fields_of_a_file_lie_together(spark):
+    """Addresses are made distinct before they get their fields, so the fields of one are never spread again."""
+    r = Relations(spark, SF_DIR)
+    fields_of = r("file_fields").withColumn("part", F.input_file_name())
+    assert fields_of.groupBy("download_url").agg(F.countDistinct("part").alias("n")).filter("n > 1").isEmpty()
+    assert fields_of.select("download_url", "field_ord").distinct().count() == fields_of.count() > 0
+
+
+def test_layers_meet_their_file_once(spark):
+    """Names of filters and files are lists: one join, and one exchange of the layers for it."""
+    url = spark.sparkContext.parallelize([("u", n) for n in ("A", "b", None)] + [("empty", None)]).toDF("download_url string, field_name string")
+    rows = [("kept", "u", 'x|subset="A" = 1 AND B = 2'), ("case", "u", 'x|subset="a" = 1'), ("gone", "u", "x|subset=c > 1"),
+            ("unread", "v", "x|subset=c > 1"), ("nameless", "empty", "x|subset=c > 1"), ("plain", "u", "x"), ("plain", None, "x|subset=c > 1")]
+    scan = spark.sparkContext.parallelize([(*r, "update") for r in rows]).toDF("layer_id string, new_url string, source string, status string")
+    lost = refresh.lost_filter_fields(scan, url)
+    assert sorted(r.layer_id for r in lost.collect()) == ["case", "gone", "nameless"]
+    assert refresh.lost_filter_fields(scan, url)._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") <= 4
