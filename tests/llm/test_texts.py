@@ -46,6 +46,20 @@ def test_secret_spans(engine, rows):
     assert got == sorted(want, key=repr)
 
 
+def test_texts_stream_past_candidates(engine):
+    """Texts are moved once, not twice in a row, and are not sorted on the way."""
+    limit = engine.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    engine.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        docs = documents(engine, SECRETS)
+        plan = secret_scan.secret_report(docs)._jdf.queryExecution().sparkPlan().toString()
+        assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+        moved = secret_scan._scanned(docs, "text", ("doc_id",), secret_scan.RULES)._jdf.queryExecution().optimizedPlan().toString()
+        assert "AS words" not in moved[moved.index("Join "):].split("Aggregate")[0]
+    finally:
+        engine.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
 def test_trigram_queries():
     assign, access, run = map(secret_scan.trigram_query, secret_scan.RULES)
     assert ["oke", "ken"] not in assign and ["ken", "oke", "tok"] in assign and len(assign) == 6
