@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import os
+import re
 
 from pyspark.sql import functions as F
 
-from checks import source_queries
+from checks import queries as registered, source_queries
 from checks.compare import TESTDATA
 from checks.registry import QUERIES
 from checks.relations import Relations
 from mapledger.functions import geometry
-from mapledger.operators import fields, search
+from mapledger.operators import fields, joins, search
 from mapledger.operators.boxjoin import bbox_join
 from mapledger.plans import refresh
 from mapledger.session import fresh_path, shared_folder
@@ -113,3 +114,28 @@ def test_layers_meet_their_file_once(spark):
     lost = refresh.lost_filter_fields(scan, url)
     assert sorted(r.layer_id for r in lost.collect()) == ["case", "gone", "nameless"]
     assert refresh.lost_filter_fields(scan, url)._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") <= 4
+
+
+def optimized(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_picks_move_what_is_read(spark):
+    """A pick of one row per version sorts and shuffles only the columns that are read afterwards."""
+    for name in ("pick_default", "pick_default_first"):
+        assert "/vsicurl/" not in optimized(registered.QUERIES[name](spark, SF_DIR))
+    plan = optimized(registered.QUERIES["layer_current_version"](spark, SF_DIR))
+    assert "max_by(" in plan and not re.search(r"max_by\([^)]*download_url", plan)
+
+
+def test_picks_take_one_row(spark):
+    """Equal orders, missing values and missing keys: all columns come from the same row, as from one struct."""
+    rows = spark.createDataFrame(
+        [(1, 5, "a", None), (1, 5, None, "b"), (1, 7, "c", "c"), (None, 1, "d", None), (None, None, None, "e"), (2, None, "f", "g")],
+        "k int, o int, x string, y string",
+    ).coalesce(1)
+    for pick in (F.min_by, F.max_by):
+        for order in (F.struct("o"), F.col("o")):
+            whole = rows.groupBy("k").agg(pick(F.struct("o", "x", "y"), order).alias("r")).select("k", "r.*")
+            got = joins.picked(rows, ["k"], pick, order)
+            assert sorted(map(str, got.collect())) == sorted(map(str, whole.collect()))
