@@ -23,11 +23,14 @@ def dataset_contents(catalog: DataFrame, versions: DataFrame, resources: DataFra
         F.substring(F.coalesce("detected_at", F.lit("")), 1, 10).alias("detected"),
     )
     counted = versions.groupBy("dataset_id").agg((F.count("*") - 1).alias("older"))
-    newest_files = resources.join(latest.select("version_id"), "version_id", "left_semi")
-    visible = resource_ops.resources_in_mode(resource_ops.classify_resources(newest_files), level)
-    files = visible.groupBy("dataset_id").agg(
-        *[F.count_if(F.col("category") == c).alias(f"{c}_files") for c in ("spatial", "data", "other")]
+    visible = resource_ops.resources_in_mode(resource_ops.classify_resources(resources), level)
+    # Counted by version first: a row for each version meets the newest ones, not a row with address for each file.
+    kinds = ("spatial", "data", "other")
+    by_version = visible.groupBy("version_id", "dataset_id").agg(
+        *[F.count_if(F.col("category") == c).alias(f"{c}_files") for c in kinds]
     )
+    newest = by_version.join(latest.select("version_id"), "version_id", "left_semi")
+    files = newest.groupBy("dataset_id").agg(*[F.sum(f"{c}_files").alias(f"{c}_files") for c in kinds])
     rows = (
         shown.select("dataset_id", "title", "is_spatial", "spatial_table", "primary_table")
         .join(latest, "dataset_id", "left")
