@@ -99,8 +99,9 @@ def _(r):
     duck.SCAN_NEEDS,
 )
 def _(r):
-    files = resource_ops.files_by_suffix(r("resources"))
-    found = ops.layer_latest_file(r("layers"), files, version_ops.latest_version(r("versions")))
+    latest = version_ops.latest_version(r("versions"))
+    newest = r("resources").join(latest.select("version_id"), "version_id", "left_semi")
+    found = ops.layer_latest_file(r("layers"), resource_ops.files_by_suffix(newest), latest)
     return found.select("layer_id", "new_file", "new_url")
 
 

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import addresses, fixed
 from ..functions.text import given
 from ..session import written
-from .joins import split_join
+from .joins import digest, picked, split_join
 from .versions import version_rank
 
 
@@ -83,8 +83,19 @@ def file_versions(ranked_files: DataFrame) -> DataFrame:
 
 def layer_current_version(layers: DataFrame, files: DataFrame, versions: DataFrame) -> DataFrame:
     """The newest version that contains the file a layer points at; null when none does."""
-    found = file_versions(versioned_files(files, versions))
-    return split_join(bucket_layers(layers), found, ["dataset_id", "old_file"], "left")
+    # Files and layers are many, and their names long: they meet under a digest of dataset and file name.
+    def key(name: str) -> Column:
+        return digest(F.concat(F.length("dataset_id").cast("string"), F.lit(":"), "dataset_id", name)).alias("file_key")
+
+    ranked = versioned_files(files.select("version_id", key("file_name")), versions)
+    info = {"version_number": "from_version", "detected": "from_detected", "total_rows": "rows_before"}
+    found = picked(ranked.select("file_key", *info, "rank"), ["file_key"], F.max_by, F.col("rank"))
+    found = found.select("file_key", *[F.col(c).alias(name) for c, name in info.items()])
+    saved = bucket_layers(layers)
+    keys = ["dataset_id", "old_file"]
+    return split_join(saved.select("*", key("old_file")), found, ["file_key"], "left").select(
+        *keys, *[c for c in saved.columns if c not in keys], *info.values()
+    )
 
 
 def layer_latest_file(layers: DataFrame, files: DataFrame, latest: DataFrame) -> DataFrame:
@@ -99,26 +110,33 @@ def layer_latest_file(layers: DataFrame, files: DataFrame, latest: DataFrame) ->
 def layer_bundle(layers: DataFrame, registrations: DataFrame) -> DataFrame:
     """The style bundle registered for a layer's source; the last registration wins.
 
-    ``registrations`` has ``uri, bundle_url, reg_ord``.
+    ``registrations`` has ``uri, bundle_url, reg_ord``, and may bring the ``source_key`` of the address.
     """
-    known = (
-        registrations.filter(given(F.col("uri")).isNotNull() & given(F.col("bundle_url")).isNotNull())
-        .withColumn("source_key", addresses.norm_source(F.col("uri")))
-        .groupBy("source_key")
-        .agg(F.max_by("bundle_url", "reg_ord").alias("bundle_url"))
-    )
-    keyed = layers.withColumn("source_key", addresses.norm_source(F.col("source")))
+    known = registrations.filter(given(F.col("uri")).isNotNull() & given(F.col("bundle_url")).isNotNull())
+    if "source_key" not in known.columns:
+        known = known.withColumn("source_key", source_key(F.col("uri")))
+    known = known.groupBy("source_key").agg(F.max_by("bundle_url", "reg_ord").alias("bundle_url"))
+    keyed = layers.withColumn("source_key", source_key(F.col("source")))
     return split_join(keyed, known, ["source_key"], "left").drop("source_key")
 
 
+def source_key(source: Column) -> Column:
+    """What two ways to name a source have in common, as a digest: addresses are long, and there is one in every row."""
+    return digest(addresses.norm_source(source))
+
+
 def bundle_registrations(classified: DataFrame, bundles: DataFrame, versions: DataFrame) -> DataFrame:
     """Every loadable file of a version with the bundle of that version, in listing order.
 
     Files with a map-layer kind are registered; later versions come after earlier ones.
     """
-    picked = bundles.select("version_id", F.col("download_url").alias("bundle_url"))
-    loadable = classified.filter(F.col("layer_kind").isNotNull()).select("version_id", "res_ord", "uri")
-    ordered = versions.select("version_id", "version_ord")
-    return split_join(loadable, picked, ["version_id"]).join(ordered, "version_id").select(
-        "uri", "bundle_url", F.struct("version_ord", "res_ord").alias("reg_ord")
+    # What is known of a version is put together first, so the files, which are many, meet it in one join.
+    styled = bundles.select("version_id", F.col("download_url").alias("bundle_url")).join(
+        versions.select("version_id", "version_ord"), "version_id"
+    )
+    loadable = classified.filter(F.col("layer_kind").isNotNull()).select(
+        "version_id", "res_ord", "uri", source_key(F.col("uri")).alias("source_key")
+    )
+    return split_join(loadable, styled, ["version_id"]).select(
+        "uri", "source_key", "bundle_url", F.struct("version_ord", "res_ord").alias("reg_ord")
     )
