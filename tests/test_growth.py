@@ -139,3 +139,29 @@ def test_picks_take_one_row(spark):
             whole = rows.groupBy("k").agg(pick(F.struct("o", "x", "y"), order).alias("r")).select("k", "r.*")
             got = joins.picked(rows, ["k"], pick, order)
             assert sorted(map(str, got.collect())) == sorted(map(str, whole.collect()))
+
+
+def test_long_addresses_meet_by_digest(spark):
+    """Sources, files and captions meet under 16 bytes; missing and run-together names do not meet."""
+    named = spark.createDataFrame([(1, "b1", "x"), (2, "b", "1x"), (3, None, "x"), (4, "b1", None), (5, "b1", "y")], "i int, bundle_url string, field_name string")
+    words = spark.createDataFrame([("b1", "x", "X"), (None, "x", "N")], "bundle_url string, machine_name string, alias string")
+    captioned = fields.apply_captions(named, words)
+    assert captioned.columns == ["bundle_url", "field_name", "i", "caption"]
+    got = {r.i: r.caption for r in captioned.collect()}
+    assert got == {1: "X", 2: "1x", 3: "x", 4: None, 5: "y"}
+    for name in ("layer_bundle", "layer_current_version", "apply_captions"):
+        assert "sha2(" in optimized(registered.QUERIES[name](spark, SF_DIR))
+
+
+def test_versions_meet_files_once(spark):
+    """Files of all versions are shuffled for one join, with what is known of their version."""
+    spark_limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = optimized(registered.QUERIES["dataset_contents"](spark, SF_DIR))
+        newest = plan[plan.index("Join LeftSemi"):].splitlines()
+        assert "Aggregate" in newest[1]
+        plan = optimized(registered.QUERIES["layer_latest_file"](spark, SF_DIR))
+        assert plan.count("Join LeftSemi") == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", spark_limit)
