@@ -5,12 +5,13 @@ from __future__ import annotations
 import os
 import re
 
+import duckdb
 from pyspark.sql import functions as F
 
 from checks import queries as registered, source_queries
-from checks.compare import TESTDATA
-from checks.registry import QUERIES
-from checks.relations import Relations
+from checks.compare import TESTDATA, compare
+from checks.registry import ORACLES, QUERIES
+from checks.relations import _WRITTEN, Relations
 from mapledger.functions import geometry
 from mapledger.operators import fields, joins, search
 from mapledger.operators.boxjoin import bbox_join
@@ -165,3 +166,39 @@ def test_versions_meet_files_once(spark):
         assert plan.count("Join LeftSemi") == 2
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", spark_limit)
+
+
+def tables_with_odd_keys(spark, label):
+    """Customers, parts, orders and lines with keys that repeat, are missing or meet nothing; returns folder and DuckDB views."""
+    folder = fresh_path(spark, label).removeprefix("file://")
+    key = F.when(F.col("id") % 11 != 10, F.col("id") % 20)
+    made = {
+        "customer": spark.range(25).select(key.alias("c_custkey")),
+        "part": spark.range(30).select(key.alias("p_partkey")),
+        "orders": spark.range(60).select(
+            F.when(F.col("id") % 13 != 12, F.col("id") % 50).alias("o_orderkey"), F.when(F.col("id") % 7 != 6, F.col("id") % 23).alias("o_custkey"),
+            F.lit("O").alias("o_orderstatus"), F.lit(1.5).alias("o_totalprice"), F.lit("1995-03-01 00:00:00").cast("timestamp").alias("o_orderdate"),
+        ),
+        "lineitem": spark.range(900).select(
+            F.when(F.col("id") % 17 != 16, F.col("id") % 53).alias("l_orderkey"), F.when(F.col("id") % 19 != 18, F.col("id") % 30).alias("l_partkey"),
+            (F.col("id") % 5).alias("l_suppkey"), (F.col("id") % 8).cast("int").alias("l_linenumber"), (F.col("id") % 40).cast("double").alias("l_quantity"),
+        ),
+    }
+    con = duckdb.connect()
+    for name, rows in made.items():
+        rows.write.parquet(f"{folder}/{name}.parquet")
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet/*.parquet'")
+    return folder, con
+
+
+def test_tables_behind_narrow_ones_are_not_stored(spark):
+    """Dictionaries and styles are derived from the tables at once; what another relation of the query needs is stored."""
+    of_layers = {"dataset_ids", "versions", "resources", "layers", "layer_fields"}
+    for name, stored in (
+        ("clean_dictionary", {"field_dictionary"}), ("absolutize_styles", {"style_docs"}), ("bundle_manifest", {"field_dictionary", "style_docs"}),
+        ("names_difference", {"field_dictionary", *of_layers}),
+    ):
+        folder, con = tables_with_odd_keys(spark, f"odd-{name}")
+        good, text = compare(spark, con, name, QUERIES[name], ORACLES[name], folder)
+        assert good and not text.startswith("0 rows"), text
+        assert {relation for _, at, relation in _WRITTEN if at == folder} == stored
