@@ -35,6 +35,12 @@ def _structure(bare: Column, inside: bool | Column) -> Column:
     return F.when(inside, _structure(bare, True)).otherwise(_structure(bare, False))
 
 
+def _unsent(rows: DataFrame) -> DataFrame:
+    """``rows`` with a row for many pieces, for a join that may not broadcast either side: stored pieces are compressed, so
+    Spark takes them for small, and a broadcast of them is put together in the driver's memory."""
+    return rows.hint("merge")
+
+
 def _gain(structure: Column) -> Column:
     """Brackets opened less brackets closed."""
     opened, closed = (F.length(structure) - F.length(F.translate(structure, c, "")) for c in ("{[", "]"))
@@ -87,7 +93,7 @@ def _with_state(pieces: DataFrame) -> DataFrame:
     starts = sums.withColumn("starts_odd", _so_far(F.col("quotes"), _blocks()) % 2 == 1).withColumn(
         "starts_at", _so_far(_chosen(F.col("starts_odd"), "gain_even", "gain_odd"), _blocks())
     )
-    known = local.join(starts.select("file", "block", "starts_odd", "starts_at"), ["file", "block"])
+    known = _unsent(local).join(starts.select("file", "block", "starts_odd", "starts_at"), ["file", "block"])
     known = known.withColumn("gain", _chosen(F.col("starts_odd"), "gain_even", "gain_odd"))
     return known.withColumns({
         "inside": F.col("odd") != F.col("starts_odd"),
@@ -120,7 +126,7 @@ def collection_features(spark: SparkSession, path: str) -> DataFrame:
     pieces = written(_pieces(spark, path), "collection-pieces")
     # Texts stay behind, but for the few that name the list.
     opener = F.when(F.col("value").contains('"features"'), F.col("value")).alias("opener")
-    state = _with_state(pieces.drop("table_name", "value").join(
+    state = _with_state(_unsent(pieces.drop("table_name", "value")).join(
         pieces.select(*PLACE, opener).filter("opener IS NOT NULL"), PLACE, "left"))
     rest = _after_opening(F.col("opener"), F.col("inside"), F.col("depth"))
     state = state.withColumn("rest", rest)
@@ -136,18 +142,18 @@ def collection_features(spark: SparkSession, path: str) -> DataFrame:
     closed = state.filter("closes").select("file", at.alias("at")).join(opened, "file").filter("at > opened_at")
     bounds = opened.join(closed.groupBy("file").agg(F.min("at").alias("closed_at")), "file", "left")
     # One row for each block of a file, so that a large file is no hot key.
-    listed = state.join(state.select("file", "block").distinct().join(bounds, "file"), ["file", "block"]).filter(
+    listed = _unsent(state).join(state.select("file", "block").distinct().join(bounds, "file"), ["file", "block"]).filter(
         (at >= F.col("opened_at")) & F.coalesce(at < F.col("closed_at"), F.lit(True))
     )
     ended = F.when(F.col("ends"), 1).otherwise(0)
     ahead = listed.groupBy("file", "block").agg(F.sum(ended).alias("n")).select(
         "file", "block", _so_far(F.col("n"), _blocks()).alias("ahead")
     )
-    numbered = listed.join(ahead, ["file", "block"]).select(
+    numbered = _unsent(listed).join(ahead, ["file", "block"]).select(
         *PLACE, F.when(F.col("opens"), F.col("rest")).alias("rest"), "ends",
         (F.col("ahead") + _so_far(ended, _in_block())).alias("page_pos"),
     )
-    parts = pieces.select(*PLACE, "table_name", "value").join(numbered, PLACE)
+    parts = _unsent(pieces.select(*PLACE, "table_name", "value")).join(numbered, PLACE)
     whole = parts.groupBy("file", "table_name", "page_pos").agg(
         F.sort_array(F.collect_list(F.struct("block", "place", F.coalesce("rest", "value").alias("text")))).alias("parts"),
         F.bool_or("ends").alias("complete"),

@@ -202,3 +202,13 @@ def test_tables_behind_narrow_ones_are_not_stored(spark):
         good, text = compare(spark, con, name, QUERIES[name], ORACLES[name], folder)
         assert good and not text.startswith("0 rows"), text
         assert {relation for _, at, relation in _WRITTEN if at == folder} == stored
+
+
+def test_pieces_of_collections_are_not_broadcast(spark, tmp_path):
+    """Stored pieces are compressed and look small; what has a row for each of them never goes through the driver."""
+    (tmp_path / "c.geojson").write_text('{"features":[' + ",".join('{"properties":{"a":%d}}' % n for n in range(200)) + "]}")
+    got = snapshots.read_resource(spark, str(tmp_path), "geojson")
+    assert got.count() == 200
+    plan = got._jdf.queryExecution().sparkPlan().toString()
+    # The bounds alone, a row for each file, may be.
+    assert "block" not in "".join(re.findall(r"BroadcastHashJoin \[([^\]]*)\]", plan))
