@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+import time
 
 import duckdb
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from mapledger.functions import geometry
 from mapledger.operators import fields, joins, search
 from mapledger.operators.boxjoin import bbox_join
 from mapledger.plans import refresh
-from mapledger.session import fresh_path, shared_folder
+from mapledger.session import fresh_path, shared_folder, written
 from mapledger.sources import snapshots
 
 SF_DIR = f"{TESTDATA}/sf0.001"
@@ -212,3 +213,59 @@ def test_pieces_of_collections_are_not_broadcast(spark, tmp_path):
     plan = got._jdf.queryExecution().sparkPlan().toString()
     # The bounds alone, a row for each file, may be.
     assert "block" not in "".join(re.findall(r"BroadcastHashJoin \[([^\]]*)\]", plan))
+
+
+def shuffle_files(spark) -> int:
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+    return files.count("/shuffle_")
+
+
+def test_stored_tables_leave_no_shuffles(spark):
+    """The shuffles behind a table go as soon as it is written, and the session's setting is as before."""
+    rows = spark.range(0, 1_000, 1, 4).groupBy((F.col("id") % 7).alias("k")).agg(F.count("*").alias("n"))
+    before = shuffle_files(spark)
+    assert written(rows, "no-shuffles").count() == 7
+    kept = [1]
+    for _ in range(50):
+        kept.append(shuffle_files(spark) - before)
+        if kept[-1] <= 8:
+            break
+        time.sleep(0.1)
+    assert kept[-1] <= 8  # those of the count
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) is None
+
+
+def test_resolved_steps_are_removed(spark, monkeypatch):
+    """The refresh scan is made in stored steps; what they stored is gone when the scanned layers are stored."""
+    at = []
+    monkeypatch.setattr(refresh, "written", lambda df, label, path=None: at.append((label, path or fresh_path(spark, label))) or written(df, label, at[-1][1]))
+    r = Relations(spark, SF_DIR)
+    scan = refresh.refresh_scan(*[r(name) for name in ("layers", "versions", "resources", "layer_fields", "file_fields")])
+    assert scan.count() == r("layers").filter("source LIKE '%r2.dev%'").count() > 0
+    left = {label for label, path in at if os.path.exists(path.removeprefix("file:").replace("//", "/", 1))}
+    assert left == {"scanned-layers", "drifted-layers"} < {label for label, _ in at}
+
+
+def test_rows_that_meet_nothing_stay(spark, monkeypatch):
+    """Only rows whose key may be known are moved; keys that repeat, are missing or share a mark join as in a left join."""
+    left = spark.range(400).select(F.when(F.col("id") % 9 != 8, F.concat(F.lit("L"), (F.col("id") % 150).cast("string"))).alias("k"), F.col("id").alias("wide"))
+    right = spark.createDataFrame([("L3", 1), ("L3", 2), ("L140", 3), (None, 4), ("none", 5)], "k string, v int")
+    want = sorted(map(str, left.join(right, "k", "left").select("k", "wide", "v").collect()))
+    for marks in (joins.MARKS, 16):
+        monkeypatch.setattr(joins, "MARKS", marks)
+        assert sorted(map(str, joins.seldom_join(left, right, "k").select("k", "wide", "v").collect())) == want
+        nothing = joins.seldom_join(left, right.limit(0), "k")
+        assert nothing.count() == 400 and nothing.filter("v IS NOT NULL").isEmpty()
+    monkeypatch.setattr(joins, "MARKS", 1 << 25)
+    moved = optimized(joins.seldom_join(left, right, "k")).split("Join LeftOuter, ((")[1]
+    assert "getbit" in moved
+
+
+def test_layers_of_read_resources_are_not_stored(spark):
+    """A query that reads resources derives layers and their fields from them as it reads."""
+    folder, con = tables_with_odd_keys(spark, "odd-restated")
+    for name in ("style_missing_refs", "refresh_scan"):
+        good, text = compare(spark, con, name, QUERIES[name], ORACLES[name], folder)
+        assert not text.startswith("0 rows"), text
+    stored = {relation for _, at, relation in _WRITTEN if at == folder}
+    assert "resources" in stored and not stored & {"layers", "layer_fields"}
