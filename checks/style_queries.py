@@ -10,6 +10,7 @@ from mapledger.operators import layers as layer_ops
 from mapledger.operators import resources as resource_ops
 from mapledger.operators import styles as ops
 from mapledger.plans.styles import style_audit
+from mapledger.session import written
 
 from . import duck
 from .registry import registered
@@ -77,6 +78,11 @@ def layer_bundles(r):
     return layer_ops.layer_bundle(r("layers"), registered_files).select("layer_id", "bundle_url")
 
 
+def stored_bundles(r):
+    """The bundles of layers as a table, so that the shuffles behind it are gone before fields and styles are moved."""
+    return written(layer_bundles(r), "layer-bundles")
+
+
 @registered("layer_bundle", f"WITH {BUNDLED} SELECT layer_id, bundle_url FROM pairs", BUNDLE_NEEDS)
 def _(r):
     return layer_bundles(r)
@@ -100,14 +106,14 @@ STYLE_NEEDS = (*BUNDLE_NEEDS, "style_docs", "field_dictionary", "layer_fields")
     "style_missing_refs", f"WITH {BUNDLED}, {REFS} SELECT layer_id, bundle_url, ref FROM sld_missing", STYLE_NEEDS
 )
 def _(r):
-    return ops.style_missing_refs(layer_bundles(r), ops.style_refs(r("style_docs")), r("layer_fields"))
+    return ops.style_missing_refs(stored_bundles(r), ops.style_refs(r("style_docs")), r("layer_fields"))
 
 
 @registered(
     "reconcile_field_case", f"WITH {BUNDLED}, {REFS} SELECT layer_id, bundle_url, ref, mapped, is_missing FROM checked", STYLE_NEEDS
 )
 def _(r):
-    refs = layer_bundles(r).join(ops.attribute_refs(r("style_docs")), "bundle_url")
+    refs = stored_bundles(r).join(ops.attribute_refs(r("style_docs")), "bundle_url")
     return field_ops.reconcile_field_case(refs, r("layer_fields")).select(
         "layer_id", "bundle_url", "ref", "mapped", "is_missing"
     )
@@ -132,7 +138,7 @@ def _(r):
     STYLE_NEEDS,
 )
 def _(r):
-    named = layer_bundles(r).join(r("layer_fields"), "layer_id")
+    named = stored_bundles(r).join(r("layer_fields"), "layer_id")
     captioned = field_ops.apply_captions(named, field_ops.clean_dictionary(r("field_dictionary")))
     return captioned.select("layer_id", "field_ord", "field_name", "caption")
 
@@ -159,7 +165,7 @@ judged AS (SELECT p.layer_id, p.bundle_url,
     STYLE_NEEDS,
 )
 def _(r):
-    pairs = layer_bundles(r).filter("bundle_url IS NOT NULL")
+    pairs = stored_bundles(r).filter("bundle_url IS NOT NULL")
     dictionary = field_ops.clean_dictionary(r("field_dictionary"))
     found = ops.style_outcome(pairs, r("style_docs"), dictionary, r("layer_fields"), converter_available=False)
     return found.drop("captioned")

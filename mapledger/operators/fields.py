@@ -70,18 +70,23 @@ def apply_captions(fields: DataFrame, dictionary: DataFrame) -> DataFrame:
 
     ``fields`` has ``bundle_url, field_name``.
     """
-    # Fields are many and addresses long: both meet under a digest of address and name.
-    def named(name: str) -> Column:
-        return digest(F.concat(F.length("bundle_url").cast("string"), F.lit(":"), "bundle_url", name))
-
-    # Fields without a bundle are many too; eight bytes of their own, which no digest equals, keep them apart.
-    own = F.unhex(F.hex(F.xxhash64(*[c for c, kind in fields.dtypes if "map<" not in kind and "variant" not in kind])))
-    keyed = fields.select("*", F.coalesce(named("field_name"), own).alias("caption_key"))
-    captions = dictionary.select(named("machine_name").alias("caption_key"), "alias")
-    keys = ["bundle_url", "field_name"]
-    return split_join(keyed, captions, ["caption_key"], "left").select(
-        *keys, *[c for c in fields.columns if c not in keys], F.coalesce("alias", "field_name").alias("caption")
+    # Fields are many and addresses long: both meet under a digest of the address, so the fields of a layer, which stand
+    # together, are moved together. The captions of a bundle are a list, as long as its dictionary.
+    key = digest(F.col("bundle_url"))
+    # Fields without a bundle are many too; eight bytes, which no digest equals, keep layers apart. They are of the texts
+    # beside the field's own name, so that the fields of a layer stay together here too.
+    texts = [c for c, kind in fields.dtypes if kind == "string" and c not in ("bundle_url", "field_name")]
+    own = texts or [c for c, kind in fields.dtypes if "map<" not in kind and "variant" not in kind]
+    keyed = fields.select("*", F.coalesce(key, F.unhex(F.hex(F.xxhash64(*own)))).alias("bundle_key"))
+    captions = dictionary.filter("bundle_url IS NOT NULL").groupBy(key.alias("bundle_key")).agg(
+        F.collect_list(F.struct("machine_name", "alias")).alias("captions")
     )
+    met = split_join(keyed, captions, ["bundle_key"], "left")
+    # A name that a dictionary has several times makes as many rows.
+    named = F.explode_outer(F.filter("captions", lambda c: c["machine_name"] == F.col("field_name"))).alias("named")
+    keys = ["bundle_url", "field_name"]
+    rest = [c for c in fields.columns if c not in keys]
+    return met.select(*keys, *rest, named).select(*keys, *rest, F.coalesce("named.alias", "field_name").alias("caption"))
 
 
 def reconcile_field_case(refs: DataFrame, layer_fields: DataFrame) -> DataFrame:

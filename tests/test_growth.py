@@ -269,3 +269,12 @@ def test_layers_of_read_resources_are_not_stored(spark):
         assert not text.startswith("0 rows"), text
     stored = {relation for _, at, relation in _WRITTEN if at == folder}
     assert "resources" in stored and not stored & {"layers", "layer_fields"}
+
+
+def test_captions_meet_by_bundle(spark):
+    """The fields of a layer are moved together, to the captions of their bundle; repeated captions make as many rows."""
+    named = spark.createDataFrame([(f"l{n % 5}", None if n % 5 == 4 else "b", f"f{n // 5}") for n in range(50)], "layer_id string, bundle_url string, field_name string")
+    words = spark.createDataFrame([("b", "f1", "one"), ("b", "f1", "uno"), ("b", None, "x"), (None, "f2", "y")], "bundle_url string, machine_name string, alias string")
+    got = fields.apply_captions(named, words)
+    assert sorted(r.caption for r in got.filter("field_name = 'f1'").collect()) == ["f1"] + ["one"] * 4 + ["uno"] * 4
+    assert got.count() == 54 and "bundle_key" in optimized(got)
