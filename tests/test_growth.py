@@ -14,7 +14,7 @@ from checks.compare import TESTDATA, compare
 from checks.registry import ORACLES, QUERIES
 from checks.relations import _WRITTEN, Relations
 from mapledger.functions import geometry
-from mapledger.operators import fields, joins, search
+from mapledger.operators import fields, joins, ranks, search
 from mapledger.operators.boxjoin import bbox_join
 from mapledger.plans import refresh
 from mapledger.session import fresh_path, shared_folder, written
@@ -278,3 +278,11 @@ def test_captions_meet_by_bundle(spark):
     got = fields.apply_captions(named, words)
     assert sorted(r.caption for r in got.filter("field_name = 'f1'").collect()) == ["f1"] + ["one"] * 4 + ["uno"] * 4
     assert got.count() == 54 and "bundle_key" in optimized(got)
+
+
+def test_searched_rows_are_narrow(spark, monkeypatch):
+    """Ranked matches are stored with the columns that are searched and shown only."""
+    kept = []
+    monkeypatch.setattr(ranks, "written", lambda df, label: kept.extend(df.columns) or written(df, label))
+    assert registered.QUERIES["search_table_all"](spark, SF_DIR).count() > 0
+    assert "table_ord" in kept and not {"dataset_id", "versions_url", "organization"} & set(kept)
